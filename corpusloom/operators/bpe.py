@@ -131,40 +131,63 @@ def _constant(codes: Sequence[str]) -> Column:
     return F.split(F.lit(",".join(codes)), ",")
 
 
+def _touched(word: Column, merges: Sequence[tuple[str, str]]) -> Column:
+    """Whether any merge changes the word: the first that does finds its pair in the word as it is."""
+    return word.rlike("|".join(pair for pair, _ in merges))
+
+
 def _merged(word: Column, merges: Sequence[tuple[str, str]]) -> Column:
     """A word after all the merges."""
     if not merges:
         return word
     pairs, results = _constant([p for p, _ in merges]), _constant([m for _, m in merges])
-    return F.aggregate(
+    merged = F.aggregate(
         F.sequence(F.lit(0), F.lit(len(merges) - 1)),
         word,
         lambda t, i: F.replace(t, F.get(pairs, i), F.get(results, i)),
     )
+    return F.when(_touched(word, merges), merged).otherwise(word)
 
 
 def _changes(word: Column, merges: Sequence[tuple[str, str]]) -> Column:
     """What each merge (steps from 1) does to a word; merges that leave it alone are not listed."""
+    nothing = F.array().cast(_CHANGES)
     if not merges:
-        return F.array().cast(_CHANGES)
+        return nothing
     pairs, results = _constant([p for p, _ in merges]), _constant([m for _, m in merges])
 
+    # The state of a fold is copied at every step, so the changes are noted in a string. No symbol is a
+    # comma or a colon.
     def step(state: Column, i: Column) -> Column:
-        now = state["now"]
-        after = F.replace(now, F.get(pairs, i), F.get(results, i))
-        change = F.struct(
-            (i + 1).alias("step"), now.alias("before"), after.alias("after")
-        )
+        after = F.replace(state["now"], F.get(pairs, i), F.get(results, i))
+        seen = F.concat(state["seen"], F.lit(","), (i + 1).cast("string"), F.lit(":"), after)
         return F.when(
-            F.contains(now, F.get(pairs, i)),
-            F.struct(
-                after.alias("now"), F.concat(state["seen"], F.array(change)).alias("seen")
-            ),
+            F.contains(state["now"], F.get(pairs, i)),
+            F.struct(after.alias("now"), seen.alias("seen")),
         ).otherwise(state)
 
-    start = F.struct(word.alias("now"), F.array().cast(_CHANGES).alias("seen"))
-    steps = F.sequence(F.lit(0), F.lit(len(merges) - 1))
-    return F.aggregate(steps, start, step, lambda state: state["seen"])
+    noted = F.aggregate(
+        F.sequence(F.lit(0), F.lit(len(merges) - 1)),
+        F.struct(word.alias("now"), F.lit("").alias("seen")),
+        step,
+        lambda state: F.split(state["seen"], ","),
+    )
+
+    def listed(notes: Column) -> Column:
+        # the note before the first is empty: there the word itself is what came before
+        return F.transform(
+            F.slice(notes, F.lit(2), F.size(notes) - 1),
+            lambda note, k: F.struct(
+                F.substring_index(note, ":", 1).cast("int").alias("step"),
+                F.when(k == 0, word)
+                .otherwise(F.substring_index(F.get(notes, k), ":", -1))
+                .alias("before"),
+                F.substring_index(note, ":", -1).alias("after"),
+            ),
+        )
+
+    found = F.get(F.transform(F.array(noted), listed), F.lit(0))
+    return F.when(_touched(word, merges), found).otherwise(nothing)
 
 
 class _WrittenTable:

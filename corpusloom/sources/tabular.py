@@ -17,9 +17,9 @@ CSV_WRITE = {"header": True, "quoteAll": True, "quote": '"', "escape": '"', "emp
 # keep leading and trailing blanks of a text
 _KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
-LABELED = T.StructType.fromDDL("text string, label int")
-PAIRS = T.StructType.fromDDL("article string, summary string")
-LOG_HISTORY = T.StructType.fromDDL("step bigint, loss double, eval_loss double, eval_wer double")
+LABELED = "text string, label int"
+PAIRS = "article string, summary string"
+LOG_HISTORY = "step bigint, loss double, eval_loss double, eval_wer double"
 
 
 def read_split_csv(
@@ -104,7 +104,14 @@ def read_record(spark: SparkSession, path: str, schema: T.StructType | str) -> D
 
 
 def read_log_history(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType = LOG_HISTORY
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType | str = LOG_HISTORY,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Trainer logs, each an array of records; a key a record lacks is NULL."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Trainer logs; a key a record lacks is NULL.
+
+    A file is one array of records, over any number of lines, or with ``multi_line=False`` holds an array
+    or a record on each line and can be read in parts.
+    """
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
