@@ -26,6 +26,8 @@ def balanced_sample(
     The ``n``-th place of each class is found among the keys; the table is then filtered in place,
     so a class with most of the rows never meets in one task.
     """
+    if n < 1:
+        return df.where(F.lit(False))
     cut = rows_at(
         df,
         keys,
