@@ -32,7 +32,7 @@ from corpusloom.operators import (  # noqa: E402
     wer,
 )
 from corpusloom.plans import labeled, speech, summaries  # noqa: E402
-from corpusloom.session import scratch_path  # noqa: E402
+from corpusloom.session import scratch_path, spread  # noqa: E402
 from corpusloom.sources import labeled as labeled_source  # noqa: E402
 from corpusloom.sources import tabular  # noqa: E402
 
@@ -58,15 +58,27 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _labeled(spark: SparkSession, sf: str) -> DataFrame:
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents for work on their text."""
+    return spread(_table(spark, sf, "documents").select("doc_id", "text"))
+
+
+def _labeled(spark: SparkSession, sf: str, documents=None) -> DataFrame:
     labels = _table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
-    return _table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id")
+    if documents is None:
+        documents = _table(spark, sf, "documents").select("doc_id", "text")
+    return documents.join(labels, "doc_id")
+
+
+def _labeled_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for work on the text."""
+    return _labeled(spark, sf, _texts(spark, sf))
 
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     turns = _table(spark, sf, "conversations").select("conv_id", "turn", "text")
     following = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("summary"))
-    return turns.withColumnRenamed("text", "article").join(following, ["conv_id", "turn"])
+    return spread(turns).withColumnRenamed("text", "article").join(following, ["conv_id", "turn"])
 
 
 def _log(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,7 +102,7 @@ def _steps(spark: SparkSession, sf: str) -> DataFrame:
 
 def _ids(spark: SparkSession, sf: str) -> DataFrame:
     tokens = text.pretokenize("text")
-    return _table(spark, sf, "documents").select(
+    return _texts(spark, sf).select(
         "doc_id", F.transform(tokens, lambda t: F.length(t)).alias("ids")
     )
 
@@ -152,8 +164,8 @@ _SPLIT = (
 )
 
 
-def _split(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.ratio_split(_labeled(spark, sf), ["doc_id"])
+def _split(spark: SparkSession, sf: str, rows=_labeled) -> DataFrame:
+    return sampling.ratio_split(rows(spark, sf), ["doc_id"])
 
 
 # --- flagship ---------------------------------------------------------------------------------------
@@ -183,7 +195,7 @@ FROM sizes s JOIN uniq u ON s.split = u.split AND s.label = u.label
 )
 def split_word_report(spark: SparkSession, sf: str) -> DataFrame:
     """Balanced sample, ratio split, words per split and class."""
-    return labeled.split_word_report(_labeled(spark, sf), ["doc_id"], "text", "label", 500)
+    return labeled.split_word_report(_labeled_texts(spark, sf), ["doc_id"], "text", "label", 500)
 
 
 # --- sampling, shuffling, splitting -----------------------------------------------------------------
@@ -460,7 +472,7 @@ _SQL_CLEAN = r"trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9\s\x0b\x1
 
 @_query(f"SELECT doc_id, md5({_SQL_CLEAN.format('text')}) AS clean_md5 FROM documents")
 def clean_transcripts(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _table(spark, sf, "documents")
+    docs = _texts(spark, sf)
     return docs.select("doc_id", F.md5(text.clean_transcript("text")).alias("clean_md5"))
 
 
@@ -521,7 +533,7 @@ SELECT doc_id, md5({_SQL_CLEAN.format('text')}) AS transcript_md5 FROM ints
 )
 def normalized_transcripts(spark: SparkSession, sf: str) -> DataFrame:
     """Numbers to words, then the cleaning. The given documents hold no ordinals, which SQL leaves out."""
-    docs = _table(spark, sf, "documents")
+    docs = _texts(spark, sf)
     return docs.select(
         "doc_id", F.md5(speech.normalize_transcript("text")).alias("transcript_md5")
     )
@@ -533,7 +545,7 @@ def normalized_transcripts(spark: SparkSession, sf: str) -> DataFrame:
 )
 def pretokens(spark: SparkSession, sf: str) -> DataFrame:
     tokens = text.pretokenize("text")
-    return _table(spark, sf, "documents").select(
+    return _texts(spark, sf).select(
         "doc_id",
         F.size(tokens).cast("bigint").alias("tokens"),
         F.md5(F.array_join(tokens, " ")).alias("tokens_md5"),
@@ -558,7 +570,7 @@ def _trained(key: tuple[str, str], texts: DataFrame, columns: list[str], special
 
 
 def _tokenizer(spark: SparkSession, sf: str) -> bpe.BpeTokenizer:
-    texts = _table(spark, sf, "documents")
+    texts = _texts(spark, sf)
     return _trained((sf, "documents"), texts, ["text"], bpe.CLASSIFIER_SPECIALS)
 
 
@@ -626,7 +638,7 @@ _SQL_DOC = _sql_encoded("doc", "documents", "doc_id", "text")
     + ") AS word FROM documents) GROUP BY word"
 )
 def word_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return bpe.word_counts(_table(spark, sf, "documents"), ["text"])
+    return bpe.word_counts(_texts(spark, sf), ["text"])
 
 
 @_query(
@@ -658,7 +670,7 @@ def bpe_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     )
 )
 def encoded_documents(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    docs = _texts(spark, sf)
     ids = encode.encode(docs, "text", _tokenizer(spark, sf))
     return ids.select(
         "doc_id",
@@ -677,7 +689,7 @@ def encoded_documents(spark: SparkSession, sf: str) -> DataFrame:
 def decoded_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Encoded with the template, decoded without the specials."""
     tokenizer = _tokenizer(spark, sf)
-    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    docs = _texts(spark, sf)
     ids = encode.encode(docs, "text", tokenizer)
     return ids.select("doc_id", F.md5(encode.decode_column("input_ids", tokenizer)).alias("text_md5"))
 
@@ -690,7 +702,7 @@ def decoded_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 )
 def max_token_length(spark: SparkSession, sf: str) -> DataFrame:
-    return encode.max_token_length(_table(spark, sf, "documents"), "text", _tokenizer(spark, sf))
+    return encode.max_token_length(_texts(spark, sf), "text", _tokenizer(spark, sf))
 
 
 @_query("SELECT unnest(['[PAD]', '[UNK]', '[CLS]', '[SEP]']) AS token, unnest([0, 1, 2, 3]) AS id FROM (SELECT count(*) FROM documents)")
@@ -749,7 +761,7 @@ CAST(max(coalesce(tokens, 0)) + 2 AS INTEGER) AS max_length, 0 AS pad_token_id,
 def prepared_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Balance, split, encode and fit to the longest text: the metadata record."""
     prepared = labeled.prepare_labeled_corpus(
-        _labeled(spark, sf), ["doc_id"], tokenizer=_tokenizer(spark, sf)
+        _labeled_texts(spark, sf), ["doc_id"], tokenizer=_tokenizer(spark, sf)
     )
     return prepared.metadata
 
@@ -1138,13 +1150,13 @@ def transcript_scores(spark: SparkSession, sf: str) -> DataFrame:
 @_query()
 def text_classifier(spark: SparkSession, sf: str) -> DataFrame:
     """A linear classifier fitted on the train split, reported for every split."""
-    return labeled.train_and_report(_split(spark, sf))
+    return labeled.train_and_report(_split(spark, sf, _labeled_texts))
 
 
 @_query(f"WITH {_SPLIT} SELECT split, count(*) AS samples FROM parts GROUP BY split")
 def classifier_samples(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per split as the classifier's report counts them."""
-    rows = _split(spark, sf)
+    rows = _split(spark, sf, _labeled_texts)
     model = classifier.fit_text_classifier(rows.where(F.col("split") == "train"), iterations=2)
     report = classifier.classification_report(classifier.score(model, rows))
     return report.select("split", "samples")

@@ -68,3 +68,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a scan of few, small files over all cores, for work that costs more than its bytes.
+
+    A scan with a partition for each core, as any large one has, passes as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores)
