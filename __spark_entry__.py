@@ -363,18 +363,18 @@ def results_record(spark: SparkSession, sf: str) -> DataFrame:
     record = results.results_record(
         total.select("total_steps"),
         nested={"architecture": {"kind": F.lit("sgd")}},
-        lists={"history": (parts, ["part"], ["steps", "mean_loss"])},
+        history=parts,
     )
     path = scratch_path(spark, "results")
     tabular.write_record(record, path)
     schema = (
         "total_steps bigint, architecture struct<kind:string>, "
-        "history array<struct<steps:array<bigint>,mean_loss:array<double>>>"
+        "history struct<steps:array<bigint>,mean_loss:array<double>>"
     )
     saved = tabular.read_record(spark, path, schema)
+    points = F.inline(F.arrays_zip("history.steps", "history.mean_loss"))
     return (
-        saved.select("total_steps", "architecture.kind", F.explode("history").alias("h"))
-        .select("total_steps", "kind", F.inline(F.arrays_zip("h.steps", "h.mean_loss")))
+        saved.select("total_steps", "architecture.kind", points)
         .select("total_steps", "kind", "steps", F.round("mean_loss", 6).alias("losses"))
     )
 

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import pretokenize
@@ -113,81 +113,74 @@ def word_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def symbol_pairs(col: Column | str) -> Column:
-    """Neighbouring symbols of a word; a pair that occurs twice is listed twice."""
-    symbols = F.split(col, "")
-    count = F.size(symbols) - 1
-    return F.zip_with(
-        F.slice(symbols, F.lit(1), count),
-        F.slice(symbols, F.lit(2), count),
-        lambda a, b: F.concat(a, b),
-    )
-
+# The expressions below are written as SQL text, since they are built anew for every job: symbols stand for
+# themselves in it, and none of them is a quote, a comma or a colon.
 
 _CHANGES = "array<struct<step:int,before:string,after:string>>"
 
 
-def _constant(codes: Sequence[str]) -> Column:
-    return F.split(F.lit(",".join(codes)), ",")
+def _symbol_pairs(word: str) -> str:
+    """Neighbouring symbols of a word; a pair that occurs twice is listed twice."""
+    symbols = f"split({word}, '')"
+    left, right = (f"slice({symbols}, {i}, length({word}) - 1)" for i in (1, 2))
+    return f"zip_with({left}, {right}, (a, b) -> concat(a, b))"
+
+
+def _constants(merges: Sequence[tuple[str, str]]) -> tuple[str, str, str]:
+    """The pairs, what they become, and their places, as constant arrays."""
+    pairs, results = (",".join(codes) for codes in zip(*merges))
+    return f"split('{pairs}', ',')", f"split('{results}', ',')", f"sequence(0, {len(merges) - 1})"
 
 
-def _touched(word: Column, merges: Sequence[tuple[str, str]]) -> Column:
+def _touched(word: str, merges: Sequence[tuple[str, str]]) -> str:
     """Whether any merge changes the word: the first that does finds its pair in the word as it is."""
-    return word.rlike("|".join(pair for pair, _ in merges))
+    return f"{word} RLIKE '{'|'.join(pair for pair, _ in merges)}'"
 
 
-def _merged(word: Column, merges: Sequence[tuple[str, str]]) -> Column:
+def _merged(word: str, merges: Sequence[tuple[str, str]]) -> str:
     """A word after all the merges."""
     if not merges:
         return word
-    pairs, results = _constant([p for p, _ in merges]), _constant([m for _, m in merges])
-    merged = F.aggregate(
-        F.sequence(F.lit(0), F.lit(len(merges) - 1)),
-        word,
-        lambda t, i: F.replace(t, F.get(pairs, i), F.get(results, i)),
-    )
-    return F.when(_touched(word, merges), merged).otherwise(word)
+    pairs, results, places = _constants(merges)
+    step = f"replace(t, get({pairs}, i), get({results}, i))"
+    return f"IF({_touched(word, merges)}, aggregate({places}, {word}, (t, i) -> {step}), {word})"
+
 
+def _changes(word: str, merges: Sequence[tuple[str, str]]) -> str:
+    """What each merge (steps from 1) does to a word; merges that leave it alone are not listed.
 
-def _changes(word: Column, merges: Sequence[tuple[str, str]]) -> Column:
-    """What each merge (steps from 1) does to a word; merges that leave it alone are not listed."""
-    nothing = F.array().cast(_CHANGES)
+    Of a word before and after a merge only the stretch with the merged pairs is kept, and one symbol to
+    each side: the pairs outside are the same in both.
+    """
+    nothing = f"CAST(array() AS {_CHANGES})"
     if not merges:
         return nothing
-    pairs, results = _constant([p for p, _ in merges]), _constant([m for _, m in merges])
-
-    # The state of a fold is copied at every step, so the changes are noted in a string. No symbol is a
-    # comma or a colon.
-    def step(state: Column, i: Column) -> Column:
-        after = F.replace(state["now"], F.get(pairs, i), F.get(results, i))
-        seen = F.concat(state["seen"], F.lit(","), (i + 1).cast("string"), F.lit(":"), after)
-        return F.when(
-            F.contains(state["now"], F.get(pairs, i)),
-            F.struct(after.alias("now"), seen.alias("seen")),
-        ).otherwise(state)
-
-    noted = F.aggregate(
-        F.sequence(F.lit(0), F.lit(len(merges) - 1)),
-        F.struct(word.alias("now"), F.lit("").alias("seen")),
-        step,
-        lambda state: F.split(state["seen"], ","),
+    pairs, results, places = _constants(merges)
+    # the state of a fold is copied at every step, so the changes are noted in a string
+    after = f"replace(s.now, get({pairs}, i), get({results}, i))"
+    noted = f"concat(s.seen, ',', string(i + 1), ':', {after})"
+    step = f"IF(contains(s.now, get({pairs}, i)), struct({after} AS now, {noted} AS seen), s)"
+    notes = (
+        f"aggregate({places}, struct({word} AS now, '' AS seen), (s, i) -> {step}, "
+        "s -> split(s.seen, ','))"
     )
-
-    def listed(notes: Column) -> Column:
-        # the note before the first is empty: there the word itself is what came before
-        return F.transform(
-            F.slice(notes, F.lit(2), F.size(notes) - 1),
-            lambda note, k: F.struct(
-                F.substring_index(note, ":", 1).cast("int").alias("step"),
-                F.when(k == 0, word)
-                .otherwise(F.substring_index(F.get(notes, k), ":", -1))
-                .alias("before"),
-                F.substring_index(note, ":", -1).alias("after"),
-            ),
-        )
-
-    found = F.get(F.transform(F.array(noted), listed), F.lit(0))
-    return F.when(_touched(word, merges), found).otherwise(nothing)
+    # the note before the first is empty: there the word itself is what came before
+    listed = (
+        "transform(slice(notes, 2, size(notes) - 1), (note, k) -> struct("
+        "int(substring_index(note, ':', 1)) AS step, "
+        f"IF(k = 0, {word}, substring_index(get(notes, k), ':', -1)) AS before, "
+        "substring_index(note, ':', -1) AS after))"
+    )
+    pair = f"get({pairs}, c.step - 1)"
+    head = f"greatest(locate({pair}, c.before) - 1, 1)"
+    tail = f"greatest(locate(reverse({pair}), reverse(c.before)) - 2, 0)"
+    stretch = (
+        f"transform({listed}, c -> struct(c.step AS step, "
+        f"substring(c.before, {head}, length(c.before) - {head} + 1 - {tail}) AS before, "
+        f"substring(c.after, {head}, length(c.after) - {head} + 1 - {tail}) AS after))"
+    )
+    found = f"get(transform(array({notes}), notes -> {stretch}), 0)"
+    return f"IF({_touched(word, merges)}, {found}, {nothing})"
 
 
 class _WrittenTable:
@@ -213,7 +206,7 @@ class _WrittenTable:
 
 def _count_pairs(words: DataFrame) -> DataFrame:
     return (
-        words.select(F.explode(symbol_pairs("s")).alias("pair"), "n")
+        words.selectExpr(f"explode({_symbol_pairs('s')}) AS pair", "n")
         .groupBy("pair")
         .agg(F.sum("n").alias("n"))
     )
@@ -233,56 +226,33 @@ def _count_paths(
     highest counts on the way, highest first and smaller ids first among equals. Only words that change
     are looked at, and only the changes are shuffled.
     """
-    current = _merged(F.col("s"), done)
-    jump = F.struct(F.lit(0).alias("step"), F.col("s").alias("before"), F.col("t").alias("after"))
-    changed = words.withColumn("t", current).select(
-        "n",
-        F.explode(
-            F.concat(
-                F.when(F.col("s") != F.col("t"), F.array(jump)).otherwise(
-                    F.array().cast(_CHANGES)
-                ),
-                _changes(F.col("t"), planned),
-            )
-        ).alias("c"),
+    jump = (
+        f"IF(s <> t, array(struct(0 AS step, s AS before, t AS after)), CAST(array() AS {_CHANGES}))"
     )
-
-    def signed(word: str, sign: int) -> Column:
-        return F.transform(
-            symbol_pairs(word),
-            lambda p: F.struct(p.alias("pair"), (F.col("n") * sign).alias("n")),
+    changed = (
+        words.selectExpr("s", "n", f"{_merged('s', done)} AS t")
+        .selectExpr("n", f"inline(concat({jump}, {_changes('t', planned)}))")
+        .selectExpr(
+            "step",
+            f"inline(concat(transform({_symbol_pairs('before')}, p -> struct(p AS pair, -n AS n)), "
+            f"transform({_symbol_pairs('after')}, p -> struct(p AS pair, n AS n))))",
         )
-
-    shifts = (
-        changed.select("n", "c.step", "c.before", "c.after")
-        .select("step", F.inline(F.concat(signed("before", -1), signed("after", 1))))
-        .groupBy("pair", "step")
-        .agg(F.sum("n").alias("n"))
-        .where("n <> 0")
     )
+    shifts = changed.groupBy("pair", "step").agg(F.sum("n").alias("n")).where("n <> 0")
+    # one entry per planned step at most
+    later = "array_sort(collect_list(IF(step > 0, struct(step, n), NULL))) AS later"
     paths = (
-        pairs.select("pair", F.lit(0).alias("step"), "n")
+        pairs.selectExpr("pair", "0 AS step", "n")
         .unionByName(shifts)
         .groupBy("pair")
-        .agg(
-            F.sum(F.when(F.col("step") == 0, F.col("n")).otherwise(0)).alias("now"),
-            # one entry per planned step at most
-            F.array_sort(
-                F.collect_list(F.when(F.col("step") > 0, F.struct("step", "n")))
-            ).alias("later"),
-        )
+        .agg(F.expr("sum(IF(step = 0, n, 0)) AS now"), F.expr(later))
     )
-    walk = F.aggregate(
-        "later",
-        F.struct(F.col("now").alias("at"), F.col("now").alias("top")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["n"]).alias("at"),
-            F.greatest(acc["top"], acc["at"] + x["n"]).alias("top"),
-        ),
-        lambda acc: acc["top"],
+    top = (
+        "aggregate(later, struct(now AS at, now AS top), (acc, x) -> "
+        "struct(acc.at + x.n AS at, greatest(acc.top, acc.at + x.n) AS top), acc -> acc.top) AS top"
     )
     ranked = (
-        paths.withColumn("top", walk)
+        paths.selectExpr("pair", "now", "later", top)
         .where(F.col("top") >= floor)
         .orderBy(F.desc("top"), "pair")
         .limit(limit)
@@ -363,7 +333,7 @@ def train_bpe(
         .repartition(spark.sparkContext.defaultParallelism, "s")
     )
     pairs = pair_table.replace(_count_pairs(words))
-    plan, done, length = _Plan(), [], lookahead // 4
+    plan, done, length = _Plan(), [], lookahead // 2
 
     while len(tokens) < vocab_size:
         guess = plan.guess(length, ids, floor)
@@ -409,14 +379,14 @@ def train_bpe(
         if kept or not guess:
             effects = {pair: spelt(shifts.get(i, {})) for i, pair in enumerate(guess, start=1)}
             plan.learn(spelt(ranking), effects, guess[:kept])
-            length = min(lookahead, max(8, 3 * kept)) if guess else length
+            length = min(lookahead, max(24, 3 * kept)) if guess else length
         else:
             # The fetched ranking was too short for this guess. A plain ranking always has a certain
             # first place, and a guess of one merge after it always holds.
             plan, length = _Plan(), 1
         if len(done) >= rewrite_every and len(tokens) < vocab_size:
             words = word_table.replace(
-                words.select(_merged(F.col("s"), done).alias("s"), "n").where(F.length("s") > 1)
+                words.selectExpr(f"{_merged('s', done)} AS s", "n").where(F.length("s") > 1)
             )
             pairs = pair_table.replace(_count_pairs(words))
             done = []

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -26,23 +27,27 @@ def fit_text_classifier(
     regularization: float = 0.01,
     iterations: int = 20,
 ) -> PipelineModel:
-    """Fit on all given rows. Gradients are summed over partitions; no row reaches the driver."""
-    stages = [
-        HashingTF(inputCol="_tokens", outputCol="_counts", numFeatures=features),
-        IDF(inputCol="_counts", outputCol="_weights"),
-        LogisticRegression(
-            featuresCol="_weights",
-            labelCol=label,
-            rawPredictionCol="_logits",
-            probabilityCol="_probability",
-            predictionCol="_class",
-            family="multinomial",
-            regParam=regularization,
-            maxIter=iterations,
-        ),
-    ]
-    rows = _tokens(train, text).withColumn(label, F.col(label).cast("double"))
-    return Pipeline(stages=stages).fit(rows.select("_tokens", label))
+    """Fit on all given rows. Gradients are summed over partitions; no row reaches the driver.
+
+    The hashed counts are kept, in memory or on the executors' disks, for the passes over them.
+    """
+    rows = _tokens(train, text).select("_tokens", F.col(label).cast("double").alias(label))
+    hashing = HashingTF(inputCol="_tokens", outputCol="_counts", numFeatures=features)
+    counts = hashing.transform(rows).select("_counts", label).persist(StorageLevel.MEMORY_AND_DISK)
+    weighting = IDF(inputCol="_counts", outputCol="_weights").fit(counts)
+    regression = LogisticRegression(
+        featuresCol="_weights",
+        labelCol=label,
+        rawPredictionCol="_logits",
+        probabilityCol="_probability",
+        predictionCol="_class",
+        family="multinomial",
+        regParam=regularization,
+        maxIter=iterations,
+    )
+    fitted = regression.fit(weighting.transform(counts))
+    counts.unpersist()
+    return PipelineModel(stages=[hashing, weighting, fitted])
 
 
 def score(model: PipelineModel, df: DataFrame, text: str = "text") -> DataFrame:

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from corpusloom.session import broadcast_if_small
 
 # Hash prefixes of three hex digits give 4,096 buckets, of four 65,536: also the size of the offset table.
+# A rank sorts whole rows in every bucket, a cut only keys in the few buckets it needs.
+RANK_DIGITS = 4
 BUCKET_DIGITS = 3
 
 
@@ -43,7 +45,7 @@ def shuffle_rank(
     keys: Sequence[str],
     seed: int = 42,
     rank: str = "rank",
-    digits: int = BUCKET_DIGITS,
+    digits: int = RANK_DIGITS,
 ) -> DataFrame:
     """Add the 1-based rank of each row in the seeded shuffle."""
     hashed = df.withColumn("_h", shuffle_hash(keys, seed)).withColumn(
@@ -100,13 +102,11 @@ def rows_at(
         (F.col("_position") > F.col("_before"))
         & (F.col("_position") <= F.col("_before") + F.col("_n"))
     ).select(*group, "_bucket", "_cut", (F.col("_position") - F.col("_before")).alias("_local"))
-    inside = Window.partitionBy(*group, "_bucket").orderBy("_place")
-    chosen = placed.join(
-        broadcast_if_small(hit.select(*group, "_bucket").distinct()), [*group, "_bucket"]
-    )
+    inside = Window.partitionBy(*group, "_bucket", "_cut").orderBy("_place")
     return (
-        chosen.withColumn("_local", F.row_number().over(inside))
-        .join(hit, [*group, "_bucket", "_local"])
+        placed.join(broadcast_if_small(hit), [*group, "_bucket"])
+        .withColumn("_row", F.row_number().over(inside))
+        .where(F.col("_row") == F.col("_local"))
         .select(*group, "_cut", "_place")
     )
 

@@ -56,7 +56,8 @@ def cut_splits(
 ) -> DataFrame:
     """Cut the seeded shuffle at the positions ``ends(total)`` and name the parts.
 
-    Adds the split as a column without moving a row.
+    Adds the split as a column without moving a row. The places of the cuts are looked up at once; a
+    cut at position 0 has none and leaves its part empty.
     """
 
     def wanted(totals: DataFrame) -> DataFrame:
@@ -64,17 +65,16 @@ def cut_splits(
         return totals.select(F.posexplode(positions).alias("_cut", "_position"))
 
     found = rows_at(df, keys, seed, wanted, digits=digits)
-    parts = len(names) - 1
-    places = found.agg(
-        F.struct(
-            *[F.max(F.when(F.col("_cut") == i, F.col("_place"))).alias(f"c{i}") for i in range(parts)]
-        )
-    ).scalar()
+    # one row per cut at most; as constants they leave the result a plain projection of the table
+    places = {row["_cut"]: row["_place"] for row in found.collect()}
+    types = {f.name: f.dataType for f in found.schema["_place"].dataType.fields}
     here = shuffle_place(keys, seed)
-    # a cut at position 0 has no row: the comparison is then NULL and the part stays empty
     name = F.lit(names[-1])
-    for i in reversed(range(parts)):
-        name = F.when(here <= places.getField(f"c{i}"), F.lit(names[i])).otherwise(name)
+    for cut in sorted(places, reverse=True):
+        fields = [
+            F.lit(value).cast(types[f]).alias(f) for f, value in places[cut].asDict().items()
+        ]
+        name = F.when(here <= F.struct(*fields), F.lit(names[cut])).otherwise(name)
     return df.withColumn(split, name)
 
 

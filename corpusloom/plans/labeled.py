@@ -88,7 +88,8 @@ def split_word_report(
     df: DataFrame, keys: Sequence[str], text: str, label: str, per_class: int, seed: int = 42
 ) -> DataFrame:
     """Rows, words, distinct words and the 95th percentile of words, per split and class."""
-    split = ratio_split(balanced_sample(df, label, per_class, keys, seed), keys, seed)
+    balanced = balanced_sample(df.select(*keys, text, label), label, per_class, keys, seed)
+    split = cut_lineage(ratio_split(balanced, keys, seed))
     tokens = split.select("split", label, pretokenize(text).alias("tokens"))
     sizes = tokens.groupBy("split", label).agg(
         F.count("*").alias("rows"),
