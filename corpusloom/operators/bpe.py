@@ -35,11 +35,6 @@ def _code(symbol: int) -> str:
     return chr(point if point < _SURROGATES.start else point + len(_SURROGATES))
 
 
-def _symbol(code: str) -> int:
-    point = ord(code)
-    return point - _FIRST_CODE - (len(_SURROGATES) if point >= _SURROGATES.stop else 0)
-
-
 @dataclass(frozen=True)
 class BpeTokenizer:
     """Vocabulary and merges. Specials are (padding, unknown, first, last)."""
@@ -314,6 +309,36 @@ def train_bpe(
     keeps the part of the guess in which every merge is what the exact counts demand at its turn. Guesses
     only affect the number of jobs, never the result.
     """
+    spark = counts.sparkSession
+    word_table, pair_table = _WrittenTable(spark, "words"), _WrittenTable(spark, "pairs")
+    try:
+        return _train(
+            counts,
+            vocab_size,
+            specials,
+            min_frequency,
+            lookahead,
+            candidates,
+            rewrite_every,
+            word_table,
+            pair_table,
+        )
+    finally:
+        word_table.drop()
+        pair_table.drop()
+
+
+def _train(
+    counts: DataFrame,
+    vocab_size: int,
+    specials: Sequence[str],
+    min_frequency: int,
+    lookahead: int,
+    candidates: int,
+    rewrite_every: int,
+    word_table: _WrittenTable,
+    pair_table: _WrittenTable,
+) -> BpeTokenizer:
     spark = counts.sparkSession
     floor = max(min_frequency, 1)
     characters = (
@@ -324,7 +349,6 @@ def train_bpe(
     ids = {t: i for i, t in enumerate(tokens)}
     merges: list[tuple[int, int, int]] = []
 
-    word_table, pair_table = _WrittenTable(spark, "words"), _WrittenTable(spark, "pairs")
     symbols = "".join(_code(ids[c]) for c in alphabet)
     # the work per word outweighs its bytes: at least one file, and so one task, for each core
     words = word_table.replace(
@@ -390,6 +414,4 @@ def train_bpe(
             )
             pairs = pair_table.replace(_count_pairs(words))
             done = []
-    word_table.drop()
-    pair_table.drop()
     return BpeTokenizer(tuple(tokens), tuple(merges), tuple(specials))

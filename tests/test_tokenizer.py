@@ -11,7 +11,13 @@ from tokenizers.pre_tokenizers import Whitespace
 from tokenizers.processors import TemplateProcessing
 from tokenizers.trainers import BpeTrainer
 
-from corpusloom.operators.bpe import CLASSIFIER_SPECIALS, BpeTokenizer, train_bpe, word_counts
+from corpusloom.operators.bpe import (
+    CLASSIFIER_SPECIALS,
+    BpeTokenizer,
+    _code,
+    train_bpe,
+    word_counts,
+)
 from corpusloom.operators.encode import decode_column, encode, encode_pairs
 
 VOCAB = 260
@@ -105,7 +111,7 @@ def _plain_merges(words, alphabet_start, specials, vocab_size):
 
 
 @pytest.mark.parametrize(
-    "seed,letters,candidates", [(0, "ab", 3), (1, "abc", 4), (2, "abcdefg", 2_048)]
+    "seed,letters,candidates", [(0, "ab", 3), (1, "a\U0001f600é中", 2_048), (2, "abcdefg", 9)]
 )
 def test_ties_and_short_rankings(spark, seed, letters, candidates):
     """Few letters give ties, equal pairs and texts made in two ways; short rankings end guesses."""
@@ -120,6 +126,11 @@ def test_ties_and_short_rankings(spark, seed, letters, candidates):
     assert list(got.tokens) == tokens
 
 
+def test_symbols_pass_the_surrogates():
+    codes = [_code(i) for i in range(70_000)]
+    assert codes == sorted(set(codes)) and all(c.encode() for c in codes)
+
+
 def test_word_counts_ignore_partitioning(documents):
     def total(df):
         return word_counts(df, ["text"]).agg(F.count("*"), F.sum("n")).first()
