@@ -7,6 +7,7 @@ scores and vectors. Token ids are lengths of pre-tokens where only their shape m
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -1258,6 +1259,27 @@ def elapsed_time(spark: SparkSession, sf: str) -> DataFrame:
 # --- the driver's three functions -------------------------------------------------------------------
 
 
+def _found(module: str) -> bool:
+    """Whether an optional part of the repository is there; errors inside it are not hidden."""
+    try:
+        return importlib.util.find_spec(module) is not None
+    except ModuleNotFoundError:
+        return False
+
+
+if _found("corpusloom.llm.queries"):
+    from corpusloom.llm import queries as llm_queries
+
+    _QUERIES.update(llm_queries.QUERIES)
+    _SQL.update(llm_queries.SQL)
+    if _found("corpus_pipeline"):
+        import corpus_pipeline
+
+        _QUERIES["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL is not None:
+            _SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return split_word_report(spark, "/root/testdata/sf0.001")
 

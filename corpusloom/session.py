@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -36,20 +37,63 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, or a local one where nothing is set."""
+    """The folder all executors see, from ``spark.checkpoint.dir``.
+
+    Only a session whose driver is its one executor may leave it unset: it gets a local folder, removed
+    at exit. Any other session raises, since executors would write to disks of their own.
+    """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(configured)
         return configured
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
-    return spark.sparkContext.getCheckpointDir()
+    if context.getCheckpointDir() is None:
+        # "local", "local[8]" and the like; "local-cluster[...]" has executors of its own
+        if context.master.split("[")[0] != "local":
+            raise ValueError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share"
+            )
+        own = tempfile.mkdtemp(prefix="corpusloom-")
+        context.setCheckpointDir(own)
+        _remove_at_exit(spark, own)
+    return context.getCheckpointDir()
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this application when Python ends, through Hadoop's file systems."""
+    context = spark.sparkContext
+
+    def remove() -> None:
+        if context._jsc is None:
+            return
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+    atexit.register(remove)
+
+
+_ROOTS: set[str] = set()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in this application's own part of it.
+
+    The part is removed when the application ends: results are lazy, so that a written table may be
+    read until then.
+    """
+    root = f"{shared_dir(spark).rstrip('/')}/corpusloom-{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        _remove_at_exit(spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and go on from the written table."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
