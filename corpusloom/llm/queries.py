@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import exact_dedup, language_id, sharding
+from corpusloom.llm import exact_dedup, language_id, pii, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,6 +64,22 @@ def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(docs.withColumn("text_sha256", digest), carry=["text_sha256"])
 
 
+@_query()
+def op5_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    found = pii.with_spans(docs, pii.fit(docs)).select("doc_id", "base_spans", "spans")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(pii.joined("base_spans").cast("binary"), 256).alias("base_sha256"),
+        pii.joined("spans").alias("spans"),
+    )
+
+
 @_query()
 def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
     """Dictionaries from three quarters of the labelled documents, predictions for all."""
