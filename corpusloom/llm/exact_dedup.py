@@ -66,7 +66,8 @@ def exact_groups(
             break
         # read back from the written table, so that a group with a third of all rows can be split
         state = materialize(
-            placed.join(shared, ["__group", "__digit"]).select(
+            # merged whatever the size: a small table of shared digits must not hide what a large one costs
+            placed.join(shared.hint("merge"), ["__group", "__digit"]).select(
                 ROW,
                 F.col("__next").alias("__group"),
                 (F.octet_length("__digit") < width).alias("__ended"),
