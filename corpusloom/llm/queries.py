@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import exact_dedup, language_id, pii, sharding
+from corpusloom.llm import exact_dedup, language_id, packing, pii, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +34,22 @@ def _crc_of_id(col: str = "doc_id") -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
+def _tokenizer(name: str) -> str:
+    """Where a public tokenizer's file is, unless TOKENIZER_DIR names another folder."""
+    folder = os.environ.get("TOKENIZER_DIR")
+    return os.path.join(folder, name) if folder else public_tokenizers.path(name)
+
+
+@_query()
+def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    pieces = packing.token_pieces(docs, _tokenizer("byte_bpe_50k.json"))
+    pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(pieces).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 @_query()
 def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
     """Eight equal shards by key, and the shard with a ninth one added."""
