@@ -302,15 +302,15 @@ def pack(
             taken[n] += k * p.times
             at += n * k
         first += p.times
-    schema = "__n long, __from long, __to long, __first long, __each long, __at long"
+    schema = "__tokens long, __from long, __to long, __first long, __each long, __at long"
     # as many rows as the patterns have lengths: bounded by the capacity, not by the corpus
     plan_rows = F.broadcast(pieces.sparkSession.createDataFrame(ranges, schema))
-    ranked = gapless(written.withColumn("__n", F.col(length).cast("long")), ["__n"], "__rank")
+    ranked = gapless(written.withColumn("__tokens", F.col(length).cast("long")), ["__tokens"], "__rank")
     inside = F.col("__rank") - F.col("__from")
     return (
-        ranked.join(plan_rows, "__n")
+        ranked.join(plan_rows, "__tokens")
         .where((F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to")))
         .withColumn(sequence, F.col("__first") + F.floor(inside / F.col("__each")))
-        .withColumn(offset, F.col("__at") + inside % F.col("__each") * F.col("__n"))
+        .withColumn(offset, F.col("__at") + inside % F.col("__each") * F.col("__tokens"))
         .select(*pieces.columns, sequence, offset)
     )
