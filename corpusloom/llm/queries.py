@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import exact_dedup, language_id, packing, pii, sharding
+from corpusloom.llm import exact_dedup, language_id, lexicon, packing, pii, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,3 +109,17 @@ def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"), "rejected"
     )
+
+
+@_query()
+def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    vocabulary = lexicon.Vocabulary.read(_tokenizer("word_bpe_49k.json"))
+    compiled = lexicon.lexicon_of(lexicon.frequent_words(docs), vocabulary)
+    coded = lexicon.encode_documents(docs, vocabulary, compiled)
+    return coded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
