@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import exact_dedup, language_id, lexicon, packing, pii, sharding
+from corpusloom.llm import exact_dedup, jaccard_join, language_id, lexicon, packing, pii, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,6 +50,11 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query()
+def op2_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.join_documents(_table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @_query()
 def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
     """Eight equal shards by key, and the shard with a ninth one added."""
