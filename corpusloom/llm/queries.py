@@ -9,7 +9,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import exact_dedup, jaccard_join, language_id, lexicon, packing, pii, sharding
+from corpusloom.llm import (
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    lexicon,
+    neighbours,
+    packing,
+    pii,
+    sharding,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -128,3 +137,9 @@ def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@_query()
+def op10_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return neighbours.search(vectors, F.col("vec_id") % 50 == 0)
