@@ -30,14 +30,15 @@ def placed(keys: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
     return high, (keys >> np.uint64(32 - bits)).astype(np.uint32)
 
 
-def sent(batch: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> list[tuple]:
-    """Rows of ``SENT`` for the sorted distinct keys of a batch."""
+def sent(batch: int, keys: np.ndarray, counts: np.ndarray, ranges: int, wide: bool = False) -> list[tuple]:
+    """Rows of ``SENT`` for the sorted distinct keys of a batch; ``wide`` keys keep all their bits."""
     high, low = placed(keys, ranges)
+    low = keys.astype("<u8") if wide else low.astype("<u4")
     edges = np.flatnonzero(np.diff(high, prepend=-1))
     out = []
     for a, b in zip(edges, [*edges[1:], len(keys)]):
         out.append(
-            (batch, int(high[a]), low[a:b].astype("<u4").tobytes(), counts[a:b].astype("<u4").tobytes())
+            (batch, int(high[a]), low[a:b].tobytes(), counts[a:b].astype("<u4").tobytes())
         )
     return out
 
@@ -50,15 +51,20 @@ def batch_of(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def returned(sent_rows: DataFrame, at_least: int = 2) -> DataFrame:
+def added(table: pa.Table, wide: bool = False) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of each row of a range; its distinct keys, each key's place among them, and their totals."""
+    keys = [np.frombuffer(k, "<u8" if wide else "<u4") for k in table.column("keys").to_pylist()]
+    counts = np.concatenate([np.frombuffer(c, "<u4") for c in table.column("counts").to_pylist()])
+    held, place = np.unique(np.concatenate(keys), return_inverse=True)
+    return keys, held, place, np.bincount(place, weights=counts, minlength=len(held)).astype(np.int64)
+
+
+def returned(sent_rows: DataFrame, at_least: int = 2, wide: bool = False) -> DataFrame:
     """To each batch, its keys whose total is ``at_least`` so much, with their totals in ``counts``."""
 
     def total(table: pa.Table) -> pa.Table:
         batches = table.column("batch").to_pylist()
-        keys = [np.frombuffer(k, "<u4") for k in table.column("keys").to_pylist()]
-        counts = np.concatenate([np.frombuffer(c, "<u4") for c in table.column("counts").to_pylist()])
-        held, place = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = np.bincount(place, weights=counts, minlength=len(held)).astype(np.int64)
+        keys, held, place, totals = added(table, wide)
         mine = np.minimum(totals, 2**32 - 1).astype("<u4")[place]
         out, at = [], 0
         number = table.column("range")[0].as_py()

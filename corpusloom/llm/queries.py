@@ -13,6 +13,7 @@ from corpusloom.llm import (
     exact_dedup,
     jaccard_join,
     language_id,
+    language_model,
     lexicon,
     neighbours,
     packing,
@@ -112,6 +113,23 @@ def op5_pii(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query()
+def op7_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    train = F.coalesce(_crc_of_id() % 7 != 2, F.lit(True))
+    model = language_model.train(docs.where(train))
+    scored = language_model.score(docs, model, train)
+    return scored.select(
+        "doc_id",
+        (~F.col("trained")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @_query()
 def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
     """Dictionaries from three quarters of the labelled documents, predictions for all."""
