@@ -19,6 +19,7 @@ from corpusloom.llm import (
     packing,
     pii,
     sharding,
+    suffix_dedup,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +114,19 @@ def op5_pii(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query()
+def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages of 50 words or more that other documents hold, as ``start:end`` in words."""
+    found = suffix_dedup.repeated_spans(_table(spark, sf, "documents").select("doc_id", "text"))
+    place = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return found.select(
+        "doc_id",
+        F.size("spans").cast("long").alias("n_spans"),
+        "repeated_words",
+        F.array_join(place, ",").alias("spans"),
+    )
+
+
 @_query()
 def op7_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
