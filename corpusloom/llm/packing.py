@@ -63,7 +63,10 @@ class _Pieces(dict):
         self.encoding = encoding
 
     def ids(self, text: str) -> bytes:
-        found = self.encoding.encode(text, allowed_special="all")
+        if any(mark in text for mark in self.encoding.special_tokens_set):
+            found = self.encoding.encode(text, allowed_special="all")
+        else:
+            found = self.encoding.encode_ordinary(text)
         return np.array(found, dtype="<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
@@ -195,8 +198,12 @@ def _dominates(a: list[int], b: list[int]) -> bool:
     return True
 
 
-def fillings(left: dict[int, int], room: int, width: int) -> list[list[int]]:
-    """Up to ``width`` undominated fillings of ``room``, the least waste first, larger pieces first."""
+def fillings(left: dict[int, int], room: int, width: int, most_waste: int) -> list[list[int]]:
+    """Undominated fillings of ``room`` that waste at most ``most_waste``, the least waste first.
+
+    Of the sums that can be reached the ``4 * width`` largest are looked at, each filled with its largest
+    pieces, and up to ``width`` fillings are returned.
+    """
     lengths = sorted(n for n in left if left[n] and n <= room)
     mask = (1 << (room + 1)) - 1
     reach = [1]
@@ -209,20 +216,26 @@ def fillings(left: dict[int, int], room: int, width: int) -> list[list[int]]:
             step *= 2
         reach.append(now)
     found: list[list[int]] = []
-    total = reach[-1].bit_length() - 1
-    while total >= 0 and len(found) < width:
-        if reach[-1] >> total & 1:
-            rest, held = total, []
-            for i in range(len(lengths) - 1, -1, -1):
-                n = lengths[i]
-                for k in range(min(left[n], rest // n), -1, -1):
-                    if reach[i] >> (rest - k * n) & 1:
-                        held += [n] * k
-                        rest -= k * n
-                        break
-            if not any(_dominates(other, held) for other in found):
-                found.append(held)
-        total -= 1
+    sums, tried = reach[-1], 0
+    while sums and len(found) < width and tried < 4 * width:
+        total = sums.bit_length() - 1
+        if room - total > most_waste:
+            break
+        sums ^= 1 << total
+        tried += 1
+        rest, held, i = total, [], len(lengths)
+        while rest:
+            i -= 1
+            n = lengths[i]
+            if n > rest or reach[i] >> rest & 1 and n * 2 > rest and not reach[i] >> (rest - n) & 1:
+                continue
+            for k in range(min(left[n], rest // n), -1, -1):
+                if reach[i] >> (rest - k * n) & 1:
+                    held += [n] * k
+                    rest -= k * n
+                    break
+        if not any(_dominates(other, held) for other in found):
+            found.append(held)
     return found
 
 
@@ -258,7 +271,9 @@ def plan(
         less = dict(left)
         less[largest] -= 1
         branches = []
-        for held in fillings(less, capacity - largest, width):
+        # sequences that the incumbent leaves to waste, at most
+        slack = (incumbent - 1 - used) * capacity - tokens
+        for held in fillings(less, capacity - largest, width, slack):
             pieces = _counted([largest, *held])
             times = min(left[n] // k for n, k in pieces)
             after = dict(left)
