@@ -23,6 +23,8 @@ DICTIONARY_BYTES = 112 * 1024  # of one language
 MAX_LANGUAGES = 500  # what is sent to workers is DICTIONARY_BYTES times this at most
 BLOCK = 512  # characters of a text that are compressed at once: the dictionary decides, not the text's start
 LEVEL = 6
+HEAD = 256  # bytes of a dictionary before a very short text
+CLOSE = 1  # bytes between the two smallest sizes of a text of one block, up to which that is compared too
 PIECE = 1 << 15  # characters of one training text that may enter a dictionary
 MIN_MARGIN = 0.001  # the smallest two sizes are as good as equal
 _NO_LETTER = re.compile(r"[\W\d_]+")
@@ -93,7 +95,7 @@ class Sizer:
 
     def __init__(self, model: LanguageModel, level: int = LEVEL):
         self.names = sorted(model.dictionaries)
-        self.compressors = []
+        self.compressors, self.heads = [], []
         for name in self.names:
             held = zstandard.ZstdCompressionDict(
                 model.dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT
@@ -108,6 +110,8 @@ class Sizer:
                     write_dict_id=False,
                 )
             )
+            self.heads.append(model.dictionaries[name][:HEAD])
+        self.bases = [len(c.compress(h)) for c, h in zip(self.compressors, self.heads)]
 
     def sizes(self, words: str) -> list[int]:
         totals = [0] * len(self.names)
@@ -117,12 +121,22 @@ class Sizer:
                 totals[i] += len(compressor.compress(block))
         return totals
 
+    def after_heads(self, words: str) -> list[int]:
+        """What the words add to the size of a stretch of each dictionary itself."""
+        return [
+            len(compressor.compress(head + f" {words} ".encode())) - base
+            for compressor, head, base in zip(self.compressors, self.heads, self.bases)
+        ]
+
     def classify(self, text: str | None) -> tuple[str, float]:
         """Language and score; equal sizes go to the name that sorts first, with score 0."""
         words = letters(text) if text else ""
         if not words or not self.names:
             return UNKNOWN, 0.0
         totals = self.sizes(words)
+        if len(words) <= BLOCK and sorted(totals)[len(totals) > 1] - min(totals) <= CLOSE:
+            # so short a text may be no smaller than raw; after a stretch of the dictionary it is encoded
+            totals = [a + b for a, b in zip(totals, self.after_heads(words))]
         order = sorted(range(len(totals)), key=lambda i: (totals[i], i))
         if len(order) == 1:
             return self.names[0], 1.0
