@@ -9,6 +9,7 @@ merged one by one by the ranks of the vocabulary.
 
 from __future__ import annotations
 
+import heapq
 import json
 import os
 import tempfile
@@ -23,22 +24,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WORDS = 50_000  # words of the lexicon
+WORDS = 200_000  # words of the lexicon
 LONGEST = 64  # bytes of a lexicon word
-CACHED = 300_000  # cut words a worker remembers; beyond it starts anew
+CACHED = 600_000  # cut words a worker remembers; beyond it starts anew
 # White space as the tokenizer's normaliser knows it, and how words are cut.
 SPACE = r"[\t-\r \x85\xa0  -     　]"
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_MARKS = tuple(".,;:!?|")
 _OTHER_SPACE = regex.compile("[\x1c-\x1f]")  # white space to Python alone
 _WORD = regex.compile(WORD.replace(r"\s", SPACE[1:-1]))
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A vocabulary with word ends: ids by token, ranks by pair of tokens, special tokens."""
+    """Ids by token, the rank of each pair of ids that merges, what it makes, and special tokens."""
 
     ids: dict[str, int]
-    ranks: dict[tuple[str, str], int]
+    ranks: dict[int, int]  # by the first id times 2 ** 32 plus the second
+    made: list[int]  # by rank
     special: dict[str, int]
     word_end: str
 
@@ -47,10 +50,12 @@ class Vocabulary:
         with open(path, encoding="utf-8") as file:
             held = json.load(file)
         model = held["model"]
+        ids = dict(model["vocab"])
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         return Vocabulary(
-            dict(model["vocab"]),
-            {(a, b): i for i, (a, b) in enumerate(merges)},
+            ids,
+            {(ids[a] << 32) + ids[b]: i for i, (a, b) in enumerate(merges)},
+            [ids[a + b] for a, b in merges],
             {t["content"]: t["id"] for t in held["added_tokens"]},
             model["end_of_word_suffix"] or "",
         )
@@ -68,62 +73,58 @@ def merge(word: str, vocabulary: Vocabulary) -> list[int]:
     """Ids of one word of byte characters: the pair of the lowest rank first, from the left."""
     if not word:
         return []
-    parts = [*word[:-1], word[-1] + vocabulary.word_end]
-    ranks = vocabulary.ranks
+    ids = vocabulary.ids
+    parts = [ids[c] for c in word[:-1]]
+    parts.append(ids[word[-1] + vocabulary.word_end])
     if len(parts) > 200:
         return _merge_long(parts, vocabulary)
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            rank = ranks.get((parts[i], parts[i + 1]))
-            if rank is not None and (best is None or rank < best):
-                best, at = rank, i
-        if best is None:
+    rank, made = vocabulary.ranks.get, vocabulary.made
+    none = len(made)
+    ranks = [rank((a << 32) + b, none) for a, b in zip(parts, parts[1:])]
+    while ranks:
+        best = min(ranks)
+        if best == none:
             break
-        a, b = parts[at], parts[at + 1]
-        out, i = parts[:at], at
-        while i < len(parts):
-            if i + 1 < len(parts) and parts[i] == a and parts[i + 1] == b:
-                out.append(a + b)
-                i += 2
-            else:
-                out.append(parts[i])
-                i += 1
-        parts = out
-    return [vocabulary.ids[p] for p in parts]
-
-
-def _merge_long(parts: list[str], vocabulary: Vocabulary) -> list[int]:
-    """The same with a heap of pairs, for words of any length."""
-    import heapq
+        i = ranks.index(best)
+        parts[i] = made[best]
+        del parts[i + 1], ranks[i]
+        if i:
+            ranks[i - 1] = rank((parts[i - 1] << 32) + parts[i], none)
+        if i < len(ranks):
+            ranks[i] = rank((parts[i] << 32) + parts[i + 1], none)
+    return parts
+
 
-    ranks = vocabulary.ranks
+def _merge_long(parts: list[int], vocabulary: Vocabulary) -> list[int]:
+    """The same with a heap of pairs, for words of any length."""
+    ranks, made = vocabulary.ranks, vocabulary.made
+    parts = list(parts)
     after = [*range(1, len(parts)), -1]
     before = [-1, *range(len(parts) - 1)]
-    heap = []
+    heap: list[tuple[int, int, int, int]] = []
 
     def push(i: int) -> None:
         j = after[i]
         if j >= 0:
-            rank = ranks.get((parts[i], parts[j]))
-            if rank is not None:
-                heapq.heappush(heap, (rank, i, parts[i], parts[j]))
+            found = ranks.get((parts[i] << 32) + parts[j])
+            if found is not None:
+                heapq.heappush(heap, (found, i, parts[i], parts[j]))
 
     for i in range(len(parts)):
         push(i)
     while heap:
-        _, i, a, b = heapq.heappop(heap)
+        best, i, a, b = heapq.heappop(heap)
         j = after[i] if parts[i] == a else -1
         if j < 0 or parts[j] != b:
             continue
-        parts[i], parts[j] = a + b, ""
+        parts[i], parts[j] = made[best], -1
         after[i] = after[j]
         if after[j] >= 0:
             before[after[j]] = i
         push(i)
         if before[i] >= 0:
             push(before[i])
-    return [vocabulary.ids[p] for p in parts if p]
+    return [p for p in parts if p >= 0]
 
 
 # --- the automaton ----------------------------------------------------------------------------------
@@ -249,7 +250,13 @@ def normalised(text: str) -> str:
 
 
 def words_of(text: str) -> list[bytes]:
-    return [w.encode() for w in _WORD.findall(normalised(text))]
+    """The words of a text; letters alone, or before one mark, are known without the pattern."""
+    text = text.lower() if text.isascii() else normalised(text)
+    if text.isalpha():
+        return [text.encode()]
+    if text[-1:] in _MARKS and text[:-1].isalpha():
+        return [text[:-1].encode(), text[-1].encode()]
+    return [w.encode() for w in _WORD.findall(text)]
 
 
 class Encoder:
@@ -257,7 +264,9 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Transducer | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.ids: dict[str, bytes] = {}
+        self.shown: dict[str, str] = {}  # decoded
+        self.empty: set[str] = set()  # cuts without any word
         table = byte_table()
         self.table = {b: table[b] for b in range(256)}
         size = max(max(vocabulary.ids.values(), default=-1), max(vocabulary.special.values(), default=-1))
@@ -276,11 +285,14 @@ class Encoder:
         """Tokens with a space between two, as the library writes them for such vocabularies."""
         return " ".join([self.tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
+    def forget(self) -> None:
+        self.ids.clear()
+        self.shown.clear()
+        self.empty.clear()
+
     def learn(self, cuts: Iterable[str]) -> None:
         """Encode new cuts: their words in the lexicon together, the others one by one."""
-        cuts = [c for c in dict.fromkeys(cuts) if c not in self.known]
-        if len(self.known) + len(cuts) > CACHED:
-            self.known.clear()
+        cuts = list(cuts)
         parts = [words_of(c) for c in cuts]
         words = list(dict.fromkeys(w for ws in parts for w in ws))
         found = self.lexicon.find(words) if self.lexicon else np.full(len(words), -1)
@@ -288,9 +300,12 @@ class Encoder:
             w: self.lexicon.output(i) if i >= 0 else self._merged(w)
             for w, i in zip(words, found.tolist())
         }
+        decoded = {w: self.decoded(i) for w, i in ids.items()}
         for cut, ws in zip(cuts, parts):
-            held = b"".join([ids[w] for w in ws])
-            self.known[cut] = (held, self.decoded(held))
+            self.ids[cut] = b"".join([ids[w] for w in ws])
+            self.shown[cut] = " ".join([decoded[w] for w in ws])
+            if not ws:
+                self.empty.add(cut)
 
     def cut(self, text: str) -> list[str]:
         """Parts that are encoded alone: at white space, with special tokens apart."""
@@ -300,35 +315,33 @@ class Encoder:
 
     def batch(self, texts: Sequence[str]) -> Iterator[tuple[bytes, str]]:
         """Ids and decoded text of each text."""
+        special = self.vocabulary.special
         for start in range(0, len(texts), 500):
-            part = texts[start : start + 500]
-            split = []
-            for text in part:
-                if self.special and any(mark in text for mark in self.vocabulary.special):
-                    cuts = []
-                    for piece in self.special.split(text):
-                        if piece in self.vocabulary.special:
-                            cuts.append((piece,))
-                        else:
-                            cuts += self.cut(piece)
-                    split.append(cuts)
+            split: list[list[str]] = []
+            marked: set[int] = set()
+            for text in texts[start : start + 500]:
+                if self.special and any(mark in text for mark in special):
+                    marked.add(len(split))
+                    # special tokens stand at the odd places
+                    pieces = enumerate(self.special.split(text))
+                    split.append([c for i, p in pieces for c in ([p] if i % 2 else self.cut(p))])
                 else:
                     split.append(self.cut(text))
-            if len(self.known) > CACHED:
-                self.known.clear()
-            new = {c for cuts in split for c in cuts if c not in self.known and type(c) is str}
-            if len(self.known) + len(new) > CACHED:
-                self.known.clear()
-                new = {c for cuts in split for c in cuts if type(c) is str}
-            self.learn(new)
-            for cuts in split:
-                held = [
-                    self.known[c]
-                    if type(c) is str
-                    else (np.array([self.vocabulary.special[c[0]]], "<u4").tobytes(), c[0])
-                    for c in cuts
-                ]
-                yield b"".join([h[0] for h in held]), " ".join([h[1] for h in held if h[0]])
+            new = {c for cuts in split for c in cuts}
+            fresh = new.difference(self.ids)
+            if len(self.ids) + len(fresh) > CACHED:
+                self.forget()
+                fresh = new
+            self.learn(fresh)
+            for i, cuts in enumerate(split):
+                if self.empty:
+                    cuts = [c for c in cuts if c not in self.empty]
+                if i in marked:
+                    # no cut at white space holds a special token, so these are the tokens themselves
+                    ids = [np.array([special[c]], "<u4").tobytes() if c in special else self.ids[c] for c in cuts]
+                    yield b"".join(ids), " ".join([c if c in special else self.shown[c] for c in cuts])
+                else:
+                    yield b"".join(map(self.ids.__getitem__, cuts)), " ".join(map(self.shown.__getitem__, cuts))
 
 
 # --- on tables --------------------------------------------------------------------------------------
