@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -96,6 +97,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose DataFrames are gone.
+
+    Its cleaner follows the driver's garbage collection, which a step of long tasks and small plans may
+    not see for many minutes; between the steps of an iterative operator, the disk waits for it.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written copy."""
     shared_dir(df.sparkSession)
