@@ -27,7 +27,7 @@ from corpusloom.llm import keycounts
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.rows import ROW, with_rows
 from corpusloom.llm.shingles import mixed, shingle_set, word_hashes
-from corpusloom.session import materialize
+from corpusloom.session import materialize, release
 
 BATCH_BITS = 10  # documents of a batch: 2 ** 10
 PARTS = 64  # parts of the suffix filter
@@ -205,12 +205,16 @@ def link_sets(written: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
     posted = materialize(
         _postings(written, counted, firsts.select("set"), n, ranges, percent), "postings"
     )
+    # the keys of all documents and their texts were shuffled for the postings, which are written now
+    del counted
+    release(written.sparkSession)
     # postings of one set alone say nothing
     several = materialize(
         posted.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1").select("key"), "several"
     )
     posted = materialize(posted.join(several, "key"), "postings")
     grams = materialize(_grams(written, posted.select("set").distinct(), n), "grams")
+    release(written.sparkSession)
     links = None
     tested = None
     component = posted.select("set").distinct().select("set", F.col("set").alias("component"))
@@ -266,6 +270,7 @@ def link_sets(written: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
             .select("set", F.coalesce("component", "set").alias("component")),
             "groups",
         )
+        release(written.sparkSession)
     of = signed.join(firsts, ["s1", "s2", "n"], "left").select(ROW, "n", "set")
     return of, component
 
