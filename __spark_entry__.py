@@ -17,7 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from corpusloom.functions import arrays, text  # noqa: E402
+from corpusloom.functions import arrays, numbers, text  # noqa: E402
 from corpusloom.operators import (  # noqa: E402
     batching,
     bpe,
@@ -356,7 +356,7 @@ def log_history(spark: SparkSession, sf: str) -> DataFrame:
     "epoch AS steps, round(avg(loss), 6) AS losses FROM steps GROUP BY epoch"
 )
 def results_record(spark: SparkSession, sf: str) -> DataFrame:
-    """A nested results record with history arrays, written, read again and laid out flat."""
+    """A nested results record and its history table, written, read again and laid out flat."""
     log = _steps(spark, sf)
     epochs = traininglog.epoch_mean(log, "epoch", "loss")
     parts = traininglog.history(epochs, "epoch", ["mean_loss"])
@@ -364,19 +364,20 @@ def results_record(spark: SparkSession, sf: str) -> DataFrame:
     record = results.results_record(
         total.select("total_steps"),
         nested={"architecture": {"kind": F.lit("sgd")}},
-        history=parts,
     )
     path = scratch_path(spark, "results")
-    tabular.write_record(record, path)
-    schema = (
-        "total_steps bigint, architecture struct<kind:string>, "
-        "history struct<steps:array<bigint>,mean_loss:array<double>>"
+    tabular.write_record(record, f"{path}/record")
+    tabular.write_record(parts, f"{path}/history")
+    saved = tabular.read_record(
+        spark, f"{path}/record", "total_steps bigint, architecture struct<kind:string>"
     )
-    saved = tabular.read_record(spark, path, schema)
-    points = F.inline(F.arrays_zip("history.steps", "history.mean_loss"))
-    return (
-        saved.select("total_steps", "architecture.kind", points)
-        .select("total_steps", "kind", "steps", F.round("mean_loss", 6).alias("losses"))
+    history = tabular.read_record(
+        spark, f"{path}/history", "part bigint, steps array<bigint>, mean_loss array<double>"
+    )
+    points = history.select(F.inline(F.arrays_zip("steps", "mean_loss")))
+    total_steps = saved.select(F.struct("total_steps", "architecture.kind").alias("r")).scalar()
+    return points.withColumn("r", total_steps).select(
+        "r.total_steps", "r.kind", "steps", F.round("mean_loss", 6).alias("losses")
     )
 
 
@@ -540,6 +541,49 @@ def normalized_transcripts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# fixed values: cardinals whose ordinal is not the word and "th"
+_IRREGULAR = {
+    "one": "first",
+    "two": "second",
+    "three": "third",
+    "five": "fifth",
+    "eight": "eighth",
+    "nine": "ninth",
+    "twelve": "twelfth",
+}
+_SQL_ORDINAL = (
+    "CASE "
+    + " ".join(
+        f"WHEN regexp_extract(w, '[a-z]+$') = '{c}' THEN regexp_replace(w, '[a-z]+$', '{o}')"
+        for c, o in _IRREGULAR.items()
+    )
+    + " WHEN w LIKE '%y' THEN regexp_replace(w, 'y$', 'ieth') ELSE w || 'th' END"
+)
+
+
+@_query(
+    f"""
+WITH {_SQL_SPELLED},
+numbered AS (SELECT event_id, k, z, CAST(event_id % 130 AS VARCHAR) AS a,
+  CAST((event_id * 7919) % 5000000 AS VARCHAR) AS b,
+  (['st', 'nd', 'rd', 'th'])[CAST(event_id % 4 + 1 AS INT)] AS e FROM events, spell),
+spelled AS (SELECT event_id, a, e, {_sql_spell('a')} AS wa, {_sql_spell('b')} AS wb FROM numbered)
+SELECT event_id, 'the ' || (SELECT {_SQL_ORDINAL} FROM (SELECT wa AS w)) || ' and ' ||
+  (SELECT {_SQL_ORDINAL} FROM (SELECT wb AS w)) || ', not ' || a || upper(e) || ' or x' || a || e AS text
+FROM spelled
+"""
+)
+def ordinal_transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    """Ordinals of all endings; upper-case endings and parts of words stay."""
+    a = (F.col("event_id") % 130).cast("string")
+    b = (F.col("event_id") * 7_919 % 5_000_000).cast("string")
+    e = F.get(F.array(*[F.lit(x) for x in ("st", "nd", "rd", "th")]), (F.col("event_id") % 4).cast("int"))
+    said = F.concat(
+        F.lit("the "), a, e, F.lit(" and "), b, e, F.lit(", not "), a, F.upper(e), F.lit(" or x"), a, e
+    )
+    return _table(spark, sf, "events").select("event_id", numbers.ordinals_to_words(said).alias("text"))
+
+
 @_query(
     f"SELECT doc_id, len({_sql_tokens('text')}) AS tokens, "
     f"md5(coalesce(array_to_string({_sql_tokens('text')}, ' '), '')) AS tokens_md5 FROM documents"
@@ -754,7 +798,7 @@ def encoded_pairs(spark: SparkSession, sf: str) -> DataFrame:
         _SQL_DOC
         + f""", {_SPLIT} SELECT 25000 AS num_samples_per_class, count(*) AS total_samples,
 count(*) FILTER (split = 'train') AS train_samples, count(*) FILTER (split = 'validation') AS val_samples,
-count(*) FILTER (split = 'test') AS test_samples, 8000 AS vocab_size,
+count(*) FILTER (split = 'test') AS test_samples, (SELECT CAST(len(v) AS INTEGER) FROM v{{last}}) AS vocab_size,
 CAST(max(coalesce(tokens, 0)) + 2 AS INTEGER) AS max_length, 0 AS pad_token_id, 2 AS cls_token_id,
 3 AS sep_token_id, 1 AS unk_token_id FROM parts LEFT JOIN doc ON doc_id = key"""
     )
@@ -762,7 +806,7 @@ CAST(max(coalesce(tokens, 0)) + 2 AS INTEGER) AS max_length, 0 AS pad_token_id,
 def prepared_corpus(spark: SparkSession, sf: str) -> DataFrame:
     """Balance, split, encode and fit to the longest text: the metadata record."""
     prepared = labeled.prepare_labeled_corpus(
-        _labeled_texts(spark, sf), ["doc_id"], tokenizer=_tokenizer(spark, sf)
+        _labeled_texts(spark, sf), ["doc_id"], 25_000, tokenizer=_tokenizer(spark, sf)
     )
     return prepared.metadata
 
@@ -778,9 +822,9 @@ sizes AS (SELECT count(*) FILTER (rank <= {_CUT_1}) AS train_samples,
   count(*) FILTER (rank > {_CUT_1} AND rank <= {_CUT_2}) AS val_samples,
   count(*) FILTER (rank > {_CUT_2}) AS test_samples FROM ranked),
 lens AS (SELECT {_SQL_P95.format('src')} AS max_src_len, {_SQL_P95.format('tgt')} AS max_tgt_len
-  FROM (SELECT * FROM keyed ORDER BY conv_id, turn LIMIT 10000) k
+  FROM keyed k
   LEFT JOIN src ON src.key = k.key LEFT JOIN tgt ON tgt.key = k.key)
-SELECT 8000 AS vocab_size, max_src_len, max_tgt_len, train_samples, val_samples, test_samples,
+SELECT CAST((SELECT len(v) FROM v{{last}}) AS INTEGER) AS vocab_size, max_src_len, max_tgt_len, train_samples, val_samples, test_samples,
 0 AS pad_token_id, 2 AS bos_token_id, 3 AS eos_token_id, 1 AS unk_token_id FROM lens, sizes"""
     )
 )
@@ -802,22 +846,17 @@ def pair_merges(spark: SparkSession, sf: str) -> DataFrame:
     return _pair_tokenizer(spark, sf).merges_table(spark)
 
 
-_SQL_FIRST = "(SELECT * FROM pairs ORDER BY conv_id, turn LIMIT 10000)"
-
-
 @_query(
     f"WITH {_PAIRS} SELECT CAST(trunc(quantile_cont(len({_sql_tokens('article')}) + 2, 0.95)) AS INTEGER) "
     f"AS max_src_len, CAST(trunc(quantile_cont(len({_sql_tokens('summary')}) + 2, 0.95)) AS INTEGER) "
-    f"AS max_tgt_len FROM {_SQL_FIRST}"
+    "AS max_tgt_len FROM pairs"
 )
 def length_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     lengths = {
         "max_src_len": arrays.token_count(text.pretokenize("article"), specials=True),
         "max_tgt_len": arrays.token_count(text.pretokenize("summary"), specials=True),
     }
-    return encode.length_percentiles(
-        _pairs(spark, sf), lengths, 0.95, 10_000, ["conv_id", "turn"]
-    )
+    return encode.length_percentiles(_pairs(spark, sf), lengths, 0.95)
 
 
 # --- fixed shapes and batches -----------------------------------------------------------------------
@@ -1211,6 +1250,66 @@ def best_so_far_min(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("step", "loss")
 
 
+def _runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Logs of many runs, with steps far apart, epochs that are missing, and losses that are no number."""
+    step = F.when(F.col("event_id") % 97 != 0, F.col("event_id") * 7_919)
+    loss = F.when(F.col("event_id") % 31 == 0, float("nan")).otherwise(F.col("value"))
+    return _table(spark, sf, "events").select(
+        (F.col("user_id") % 5).alias("run"),
+        F.when(F.col("event_type") != "error", F.floor(F.col("event_id") / 700)).alias("epoch"),
+        step.alias("step"),
+        F.col("event_id"),
+        F.when(F.col("event_id") % 31 != 0, F.col("value")).alias("loss"),
+        loss.alias("metric"),
+    )
+
+
+_RUNS = (
+    "runs AS (SELECT user_id % 5 AS run, CASE WHEN event_type <> 'error' THEN event_id // 700 END AS epoch, "
+    "CASE WHEN event_id % 97 <> 0 THEN event_id * 7919 END AS step, event_id, "
+    "CASE WHEN event_id % 31 <> 0 THEN value END AS loss FROM events)"
+)
+
+
+@_query(
+    f"WITH {_RUNS} SELECT run, epoch, event_id, round(avg(loss) OVER (PARTITION BY run, epoch ORDER BY step "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + 1e-9, 6) AS running_mean FROM runs "
+    "WHERE step IS NOT NULL UNION ALL "
+    "SELECT NULL, NULL, count(*), NULL FROM runs WHERE step IS NULL"
+)
+def run_epoch_means(spark: SparkSession, sf: str) -> DataFrame:
+    """Running means of several runs; rows without an epoch are an epoch, rows without a step are kept."""
+    running = traininglog.running_epoch_mean(
+        _runs(spark, sf), "epoch", "step", "loss", width=500, by=["run"]
+    )
+    nudged = F.round(F.col("running_mean") + 1e-9, 6).alias("running_mean")
+    placed = running.where("step is not null").select("run", "epoch", "event_id", nudged)
+    unplaced = running.where("step is null").agg(F.count("*").alias("event_id"))
+    return placed.unionByName(unplaced, allowMissingColumns=True)
+
+
+@_query(
+    f"WITH {_RUNS} SELECT run, step, loss FROM (SELECT *, greatest(coalesce(max(loss) OVER (PARTITION BY run "
+    "ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0), 0.0) AS best FROM runs "
+    "WHERE step IS NOT NULL) WHERE loss > best"
+)
+def run_improvements(spark: SparkSession, sf: str) -> DataFrame:
+    """Best so far of several runs whose metric is sometimes not a number."""
+    rows = _runs(spark, sf).where("step is not null")
+    best = traininglog.improvements(rows, "step", "metric", True, width=300, by=["run"])
+    return best.select("run", "step", F.col("metric").alias("loss"))
+
+
+@_query(
+    f"WITH {_RUNS} SELECT run, min(step) AS step, max(value) AS value FROM (SELECT run, step, loss AS value, "
+    "rank() OVER (PARTITION BY run ORDER BY loss DESC) AS r FROM runs WHERE loss IS NOT NULL AND step IS NOT NULL) "
+    "WHERE r = 1 GROUP BY run"
+)
+def run_checkpoints(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _runs(spark, sf).where("step is not null")
+    return traininglog.best_checkpoint(rows, "step", "metric", True, by=["run"])
+
+
 @_query(
     f"WITH {_LOG} SELECT step, eval_wer AS value FROM log WHERE eval_wer IS NOT NULL "
     "ORDER BY eval_wer, step LIMIT 1"

@@ -86,9 +86,11 @@ def decoder_target(col: Column | str) -> Column:
     return F.slice(c, _int(2), F.greatest(F.size(c) - 1, _int(0)))
 
 
-def ctc_collapse(col: Column | str, blank: int) -> Column:
-    """Drop repeats of the id before, then blanks."""
+def ctc_collapse(col: Column | str, blank: int, group: bool = True) -> Column:
+    """Drop repeats of the id before, then blanks; references are not grouped and keep their repeats."""
     c = _col(col)
+    if not group:
+        return F.filter(c, lambda x: x != blank)
     return F.filter(
         c,
         lambda x, i: ((i == 0) | (F.get(c, i - 1) != x)) & (x != blank),

@@ -135,15 +135,24 @@ def encode_pairs(
 
 
 def decode_column(
-    col: Column | str, tokenizer: BpeTokenizer, skip_special: bool = True
+    col: Column | str,
+    tokenizer: BpeTokenizer,
+    skip_special: bool = True,
+    separator: str = " ",
+    word_delimiter: str | None = None,
 ) -> Column:
-    """Tokens joined by a space; ids outside the vocabulary are left out."""
+    """Tokens joined by ``separator``; ids outside the vocabulary are left out.
+
+    Character vocabularies join by nothing and write a ``word_delimiter`` token for the blank.
+    """
     c = F.col(col) if isinstance(col, str) else col
     shown = ["" if skip_special and t in tokenizer.specials else t for t in tokenizer.tokens]
     # one constant array, read by position; tokens hold no whitespace
     vocabulary = F.split(F.lit("\n".join(shown)), "\n")
     spoken = F.filter(F.transform(c, lambda i: F.get(vocabulary, i)), lambda t: t != "")
-    return F.array_join(spoken, " ")
+    if word_delimiter is not None:
+        spoken = F.transform(spoken, lambda t: F.when(t == word_delimiter, F.lit(" ")).otherwise(t))
+    return F.array_join(spoken, separator)
 
 
 def max_token_length(df: DataFrame, col: str, tokenizer: BpeTokenizer) -> DataFrame:
@@ -155,10 +164,13 @@ def length_percentiles(
     df: DataFrame,
     lengths: dict[str, Column],
     p: float = 0.95,
-    limit: int | None = 10_000,
+    limit: int | None = None,
     order: Sequence[str] = (),
 ) -> DataFrame:
-    """Exact percentile of each length over the first rows in order, cut to an integer."""
+    """Exact percentile of each length, cut to an integer; ``limit`` measures the first rows in order only.
+
+    The percentile keeps one entry for each distinct length, so that all rows are affordable.
+    """
     rows = head_n(df, limit, order) if limit else df
     measured = rows.select(*[n.alias(name) for name, n in lengths.items()])
     return measured.agg(

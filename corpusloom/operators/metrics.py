@@ -31,9 +31,13 @@ def accuracy(prediction: Column | str, label: Column | str) -> Column:
 def masked_mean_of_means(
     df: DataFrame, batch: str, loss: str, target: str, pad: int
 ) -> DataFrame:
-    """Mean over batches of each batch's mean token loss, padding targets left out."""
-    per_batch = (
-        df.where(F.col(target) != pad).groupBy(batch).agg(F.avg(loss).alias("batch_loss"))
+    """Mean over batches of each batch's mean token loss, padding and null targets left out.
+
+    A batch of nothing but padding has no mean: its loss is NaN, and so is the mean over all batches.
+    """
+    counted = F.when(F.col(target) != pad, F.col(loss))
+    per_batch = df.groupBy(batch).agg(
+        F.coalesce(F.avg(counted), F.lit(float("nan"))).alias("batch_loss")
     )
     return per_batch.agg(
         F.avg("batch_loss").alias("loss"), F.count("*").alias("batches")

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.session import broadcast_if_small
+from corpusloom.session import broadcast_if_small, materialize
 
 # Hash prefixes of three hex digits give 4,096 buckets, of four 65,536: also the size of the offset table.
 # A rank sorts whole rows in every bucket, a cut only keys in the few buckets it needs.
@@ -114,15 +114,34 @@ def rows_at(
 def head_n(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
     """The first ``n`` rows in the given unique order; ``None`` keeps all.
 
-    The order columns alone are searched for the ``n``-th row; the rows themselves are only filtered.
+    The order columns alone are searched for the ``n``-th row; the rows themselves are only filtered. The
+    search counts ranges of the order and sorts only the range that holds the row, so that no task has to
+    hold ``n`` keys.
     """
     if n is None:
         return df
+    if n < 1:
+        return df.where(F.lit(False))
     place = F.struct(*[F.col(c) for c in order])
+    placed = materialize(
+        df.select(place.alias("_place")).repartitionByRange("_place").withColumn("_part", F.spark_partition_id()),
+        "places",
+    )
+    # a row for each range
+    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    cut = (
+        counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .where((F.col("_before") < n) & (F.col("_before") + F.col("_n") >= n))
+        .first()
+    )
+    if cut is None:
+        return df
+    inside = F.row_number().over(Window.orderBy("_place"))
     last = (
-        df.select(place.alias("_place"))
-        .orderBy("_place")
-        .limit(n)
+        placed.where(F.col("_part") == cut["_part"])
+        .withColumn("_row", inside)
+        .where(F.col("_row") == n - cut["_before"])
         .agg(F.max("_place").alias("_last"))
     )
     return df.where(place <= last.scalar())
@@ -136,11 +155,13 @@ def running_aggregates(
     include_current: bool = True,
     width: int = 65_536,
 ) -> DataFrame:
-    """Running ``sum``, ``count``, ``min`` or ``max`` along an integer order column.
+    """Running ``sum``, ``count``, ``min`` or ``max`` along an order column.
 
-    ``aggregates`` maps a new column to (function name, value). Rows are cut into chunks of ``width``
-    consecutive order values; chunk totals are accumulated first and added to the running values inside
-    each chunk, so that a group of any size is spread over tasks.
+    ``aggregates`` maps a new column to (function name, value). Rows are dealt into ranges of (group,
+    order), each of about ``width`` rows whatever the values present; totals of ranges are accumulated
+    first and added to the running values inside each range, so that a group of any size, and any number
+    of rows with one order value, is spread over tasks. Rows with a null group are a group, rows with a
+    null order come last in theirs, and rows of equal order come in the order of a hash of the row.
     """
     functions = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
     merge = {
@@ -150,19 +171,27 @@ def running_aggregates(
         "max": F.greatest,
     }
     group = list(group)
-    chunked = df.withColumn("_chunk", F.floor(F.col(order) / width))
-    for name, (_, value) in aggregates.items():
-        chunked = chunked.withColumn(f"_v_{name}", value)
-    totals = chunked.groupBy(*group, "_chunk").agg(
+    ranges = max(1, -(-df.count() // width))
+    valued = df.withColumns({f"_v_{name}": value for name, (_, value) in aggregates.items()})
+    tie = F.xxhash64(*[c for c, kind in valued.dtypes if "map<" not in kind and kind != "variant"])
+    along = [F.col(order).asc_nulls_last(), F.col("_tie")]
+    placed = materialize(
+        valued.withColumn("_tie", tie)
+        .repartitionByRange(ranges, *group, *along)
+        .withColumn("_chunk", F.spark_partition_id()),
+        "running",
+    )
+    totals = placed.groupBy(*group, "_chunk").agg(
         *[functions[f](f"_v_{name}").alias(f"_t_{name}") for name, (f, _) in aggregates.items()]
     )
+    # at most one row for each range and group
     earlier = (
         Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     )
     carry = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
     offsets = totals.select(
-        *group,
-        "_chunk",
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
+        F.col("_chunk").alias("_c"),
         *[
             carry[f](f"_t_{name}").over(earlier).alias(f"_o_{name}")
             for name, (f, _) in aggregates.items()
@@ -170,13 +199,15 @@ def running_aggregates(
     )
     inside = (
         Window.partitionBy(*group, "_chunk")
-        .orderBy(order)
+        .orderBy(*along)
         .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
     )
-    joined = chunked.join(offsets, [*group, "_chunk"])
+    same = F.col("_chunk") == F.col("_c")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    joined = placed.join(offsets, same)
+    new = {}
     for name, (f, _) in aggregates.items():
         local = functions[f](f"_v_{name}").over(inside)
-        joined = joined.withColumn(name, merge[f](F.col(f"_o_{name}"), local))
-    return joined.drop(
-        "_chunk", *[f"_{kind}_{name}" for kind in "vo" for name in aggregates]
-    )
+        new[name] = merge[f](F.col(f"_o_{name}"), local)
+    return joined.withColumns(new).select(*df.columns, *new)

@@ -31,13 +31,12 @@ def results_record(
     scalars: DataFrame,
     nested: Mapping[str, Mapping[str, Column]] | None = None,
     lists: Mapping[str, tuple[DataFrame, Sequence[str], Sequence[str]]] | None = None,
-    history: DataFrame | None = None,
 ) -> DataFrame:
     """A nested record from a one-row table of scalars.
 
     ``nested`` adds structs. ``lists`` adds arrays of structs from tables of a fixed number of rows, such as
-    the first examples, each given as (table, order columns, struct columns). ``history`` is a table of
-    history parts: the record is repeated for each part, so that no row holds a history of unknown length.
+    the first examples, each given as (table, order columns, struct columns). The record is one row
+    whatever the length of a training history, which is a table of its own (``traininglog.history``).
     """
     out = scalars
     for name, fields in (nested or {}).items():
@@ -48,8 +47,4 @@ def results_record(
         )
         packed = table.agg(F.transform(rows, lambda r: r["row"]))
         out = out.withColumn(name, packed.scalar())
-    if history is None:
-        return out
-    record = out.select(F.struct("*")).scalar()
-    parts = history.select(F.struct("*").alias("history"), record.alias("_record"))
-    return parts.select("_record.*", "history")
+    return out

@@ -41,6 +41,21 @@ def filter_rows(df: DataFrame, fn: Callable[..., Column], columns: Sequence[str]
     return df.where(fn(*[F.col(c) for c in columns]))
 
 
+def filter_batches(
+    df: DataFrame, fn: Callable[..., Sequence[bool] | pd.Series], columns: Sequence[str]
+) -> DataFrame:
+    """Keep the rows for which a Python predicate of the named columns holds.
+
+    ``fn`` gets one series for each column and returns one truth value for each row; null drops the row.
+    """
+
+    @F.pandas_udf("boolean")
+    def holds(*series: pd.Series) -> pd.Series:
+        return pd.Series(fn(*series)).astype("boolean")
+
+    return df.where(holds(*[F.col(c) for c in columns]))
+
+
 def map_rows(
     df: DataFrame,
     fn: Callable[[dict], Mapping],

@@ -44,9 +44,9 @@ def fit_shape(df: DataFrame, text: str, tokenizer: BpeTokenizer, length: int) ->
 def prepare_labeled_corpus(
     df: DataFrame,
     keys: Sequence[str],
+    per_class: int,
     text: str = "text",
     label: str = "label",
-    per_class: int = 25_000,
     vocab_size: int = 8_000,
     max_length: int | None = None,
     seed: int = 42,
@@ -66,7 +66,7 @@ def prepare_labeled_corpus(
         rows,
         {
             "num_samples_per_class": per_class,
-            "vocab_size": vocab_size,
+            "vocab_size": len(tokenizer.tokens),
             "max_length": max_length,
             "pad_token_id": tokenizer.pad_id,
             "cls_token_id": tokenizer.first_id,

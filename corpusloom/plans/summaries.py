@@ -36,11 +36,14 @@ def prepare_pairs(
     keys: Sequence[str],
     vocab_size: int = 8_000,
     max_samples: int | None = None,
-    percentile_rows: int = 10_000,
+    percentile_rows: int | None = None,
     seed: int = 42,
     tokenizer: BpeTokenizer | None = None,
 ) -> PreparedPairs:
-    """``df`` has the unique, ordered ``keys``, ``article`` and ``summary``."""
+    """``df`` has the unique, ordered ``keys``, ``article`` and ``summary``.
+
+    The lengths come from all rows, unless ``percentile_rows`` names the first ones to measure.
+    """
     df = head_n(df, max_samples, keys)
     if tokenizer is None:
         counts = word_counts(df, ["article", "summary"])
@@ -54,7 +57,7 @@ def prepare_pairs(
     metadata = build_metadata(
         rows,
         {
-            "vocab_size": vocab_size,
+            "vocab_size": len(tokenizer.tokens),
             "max_src_len": limits["max_src_len"],
             "max_tgt_len": limits["max_tgt_len"],
             "pad_token_id": tokenizer.pad_id,
@@ -72,13 +75,13 @@ def prepare_pairs(
 def score_summaries(
     df: DataFrame,
     keys: Sequence[str],
-    num_samples: int | None = 1_000,
+    num_samples: int | None = None,
     stem: bool = True,
     shown: int = 5,
 ) -> DataFrame:
     """One record: sample count, mean scores and the first examples.
 
-    ``df`` has ``article``, ``reference`` and ``hypothesis``.
+    ``df`` has ``article``, ``reference`` and ``hypothesis``; ``num_samples`` scores the first rows only.
     """
     rows = head_n(df, num_samples, keys)
     scored = rouge_scores(rows, "reference", "hypothesis", stem=stem)

@@ -20,7 +20,8 @@ def read_labeled_dirs(
     labels = labels or {"pos": 1, "neg": 0}  # fixed values: class folders and their codes
     folders = [f"{root.rstrip('/')}/{s}/{name}" for s in subsets for name in labels]
     files = spark.read.text(folders, wholetext=True, recursiveFileLookup=True)
-    path = F.col("_metadata.file_path")
+    # paths come percent-encoded; a plus in a name is a plus
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return files.select(
         F.col("value").alias("text"),
         map_label(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1), labels).alias("label"),
