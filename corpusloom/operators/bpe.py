@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import pretokenize
-from corpusloom.session import scratch_path
+from corpusloom.session import materialize, scratch_path
 
 # The two sets of special tokens, in id order, and their templates (first, last).
 CLASSIFIER_SPECIALS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]")
@@ -341,6 +341,8 @@ def _train(
 ) -> BpeTokenizer:
     spark = counts.sparkSession
     floor = max(min_frequency, 1)
+    # the corpus is read and counted once, for the alphabet and the words
+    counts = materialize(counts.select("word", "n"), "word-counts")
     characters = (
         counts.select(F.explode(F.split("word", "")).alias("c")).where(F.col("c") != "").distinct()
     )

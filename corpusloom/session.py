@@ -10,8 +10,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest table, in rows, that is ever broadcast on the strength of a count.
+# Largest table, in rows and bytes, that is ever broadcast on the strength of a count.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 << 20
+SPREAD_BYTES = 1 << 30  # largest scan that is dealt out anew for its work
 
 
 def build_session(
@@ -113,24 +115,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Materialise a table of per-group facts on the driver and broadcast it, if it is small.
 
-    At most ``max_rows + 1`` rows travel. A larger table is returned as it is, without a hint, so
-    that the join shuffles and AQE splits hot keys.
+    Rows and bytes are counted where they are; only a table within both bounds travels. A larger one is
+    returned as it is, without a hint, so that the join shuffles and AQE splits hot keys.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def spread(scan: DataFrame) -> DataFrame:
+    first = df.limit(max_rows + 1).persist()
+    try:
+        size = F.sum(F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0)))
+        rows, held = first.agg(F.count("*"), size).first()
+        if rows > max_rows or (held or 0) > max_bytes:
+            return df
+        return F.broadcast(df.sparkSession.createDataFrame(first.collect(), df.schema))
+    finally:
+        first.unpersist()
+
+
+def spread(scan: DataFrame, max_bytes: int = SPREAD_BYTES) -> DataFrame:
     """Spread a scan of few, small files over all cores, for work that costs more than its bytes.
 
-    A scan with a partition for each core, as any large one has, passes as it is.
+    A scan of more than ``max_bytes``, or with a partition for each core, passes as it is: moving its text
+    would cost more than idle cores.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+    plan = scan._jdf.queryExecution()
+    if int(plan.optimizedPlan().stats().sizeInBytes().toString()) > max_bytes:
+        return scan
+    if plan.toRdd().getNumPartitions() >= cores:
         return scan
     return scan.repartition(cores)

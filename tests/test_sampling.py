@@ -73,3 +73,21 @@ def test_running_aggregates(spark, width, current):
         assert row["count"] == len(seen)
         assert row["sum"] == (sum(seen) if seen else None)
         assert (row["min"], row["max"]) == ((min(seen), max(seen)) if seen else (None, None))
+
+
+def test_head_n_beyond_one_range(spark):
+    rows = spark.range(5_000).repartition(3)
+    for n in (1, 2_499, 4_999, 5_000, 9_000):
+        assert head_n(rows, n, ["id"]).count() == min(n, 5_000)
+
+
+def test_sparse_and_repeated_steps(spark):
+    rows = spark.createDataFrame([(i * 10**9, 1) for i in range(300)] + [(7, 1)] * 50, "step bigint, v int")
+    got = running_aggregates(rows, "step", {"n": ("count", F.col("v"))}, width=20).collect()
+    assert sorted(r["n"] for r in got) == list(range(1, 351))
+
+
+def test_equal_rows_are_all_kept(spark):
+    rows = spark.createDataFrame([(1, 2)] * 5, "step bigint, v int")
+    got = running_aggregates(rows, "step", {"s": ("sum", F.col("v"))}, width=2).collect()
+    assert sorted(r["s"] for r in got) == [2, 4, 6, 8, 10]

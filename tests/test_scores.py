@@ -178,3 +178,36 @@ def test_pooling_modes(spark):
     assert pool(mode="cls") == [1.0, 2.0]
     assert pool(mode="mean") == pytest.approx([4 / 3, 8 / 3])
     assert pool(mode="mean", mask="m") == [2.0, 4.0]
+
+
+def test_nan_never_improves(spark):
+    rows = spark.createDataFrame(
+        [(1, 0.5), (2, float("nan")), (3, 0.9), (4, None)], "step bigint, acc double"
+    )
+    up = traininglog.improvements(rows, "step", "acc", True).collect()
+    assert sorted(r["step"] for r in up) == [1, 3]
+    best = traininglog.best_checkpoint(rows, "step", "acc", greater_is_better=True).first()
+    assert (best["step"], best["value"]) == (3, 0.9)
+
+
+def test_rows_without_group_or_step_stay(spark):
+    values = [("a", 1, 1.0), (None, 1, 3.0), (None, 2, 5.0), ("a", None, 7.0), ("a", 10**12, 5.0)]
+    rows = spark.createDataFrame(values, "epoch string, step bigint, loss double")
+    got = traininglog.running_epoch_mean(rows, "epoch", "step", "loss", width=2).collect()
+    means = {(r["epoch"], r["step"]): r["running_mean"] for r in got}
+    assert len(got) == 5
+    assert means["a", 1] == 1.0 and means["a", 10**12] == 3.0
+    assert means[None, 1] == 3.0 and means[None, 2] == 4.0
+    assert means["a", None] == pytest.approx(13 / 3)
+
+
+def test_a_batch_of_padding_has_no_mean(spark):
+    rows = spark.createDataFrame([(0, 1.0, 5), (1, 2.0, 0), (1, 2.0, None)], "b int, l double, t int")
+    loss = metrics.masked_mean_of_means(rows, "b", "l", "t", 0).first()
+    assert loss["batches"] == 2 and loss["loss"] != loss["loss"]
+
+
+def test_references_are_not_grouped(spark):
+    row = spark.sql("SELECT array(1, 1, 0, 1, 2, 2) AS ids")
+    got = row.select(arrays.ctc_collapse("ids", 0).alias("a"), arrays.ctc_collapse("ids", 0, group=False).alias("b")).first()
+    assert (got["a"], got["b"]) == ([1, 1, 2], [1, 1, 1, 2, 2])

@@ -1,12 +1,14 @@
 import json
 import tarfile
 import wave
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators.tables import filter_length, map_rows
+from corpusloom.operators.tables import filter_batches, filter_length, map_rows
 from corpusloom.plans import labeled, speech
+from corpusloom.session import shared_dir
 from corpusloom.sources import tabular
 from corpusloom.sources.archives import read_tar_members
 from corpusloom.sources.labeled import read_labeled_dirs
@@ -127,3 +129,33 @@ def test_labeled_plan_writes_everything(spark, documents, tmp_path):
     shaped = labeled.fit_shape(prepared.rows, "text", prepared.tokenizer, saved["max_length"])
     sizes = shaped.select(F.size("input_ids").alias("n"), F.size("attention_mask").alias("m")).distinct()
     assert [tuple(r) for r in sizes.collect()] == [(saved["max_length"], saved["max_length"])]
+
+
+def test_class_folders_with_blanks_and_signs(spark, tmp_path):
+    for name, text in (("very good", "a"), ("a+b%20", "b")):
+        folder = tmp_path / "train" / name
+        folder.mkdir(parents=True)
+        (folder / "1.txt").write_text(text)
+    got = read_labeled_dirs(spark, str(tmp_path), {"very good": 1, "a+b%20": 2}, subsets=["train"]).collect()
+    assert {(r["text"], r["label"], r["subset"]) for r in got} == {("a", 1, "train"), ("b", 2, "train")}
+
+
+def test_python_predicate_over_batches(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, None), (3, "ccc")], "id int, t string")
+    kept = filter_batches(rows, lambda i, t: (t.str.len() > 0) & (i != 1), ["id", "t"]).collect()
+    assert [r["id"] for r in kept] == [3]
+
+
+class _Cluster:
+    master = "spark://host:7077"
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_a_cluster_needs_a_shared_folder():
+    session = SimpleNamespace(
+        sparkContext=_Cluster(), conf=SimpleNamespace(get=lambda key, default: default)
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session)
