@@ -903,8 +903,9 @@ _BATCHED = f"SELECT doc_id, {_sql_rank('doc_id')} AS rank, count(*) OVER () AS n
     f"SELECT doc_id, (rank - 1) // 48 AS batch_id FROM ({_BATCHED}) WHERE (rank - 1) // 48 < n // 48"
 )
 def train_batches(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = ordering.shuffle_rank(_table(spark, sf, "documents").select("doc_id"), ["doc_id"])
-    return batching.assign_batches(ranked, 48, drop_last=True).select("doc_id", "batch_id")
+    docs = _table(spark, sf, "documents").select("doc_id")
+    ranked = ordering.shuffle_rank(docs, ["doc_id"])
+    return batching.assign_batches(ranked, 48, drop_last=True, base=docs).select("doc_id", "batch_id")
 
 
 @_query(
@@ -912,9 +913,8 @@ def train_batches(spark: SparkSession, sf: str) -> DataFrame:
 )
 def first_eval_batches(spark: SparkSession, sf: str) -> DataFrame:
     """A partial evaluation's rows; the last batch may be short."""
-    ranked = ordering.shuffle_rank(_table(spark, sf, "documents").select("doc_id"), ["doc_id"])
-    batches = batching.assign_batches(ranked, 48)
-    return batching.first_batches(batches, 5).select("doc_id", "batch_id")
+    docs = _table(spark, sf, "documents").select("doc_id")
+    return batching.first_shuffled_batches(docs, 5, 48, ["doc_id"]).select("doc_id", "batch_id")
 
 
 @_query(

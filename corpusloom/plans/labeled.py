@@ -107,6 +107,8 @@ def split_word_report(
 
 def train_and_report(df: DataFrame, text: str = "text", label: str = "label", **options) -> DataFrame:
     """One row: losses, accuracies and sizes per split, and the parameter count."""
+    # the split and its joins are worked out once, for fitting and for scoring
+    df = cut_lineage(df.select(text, label, "split"))
     model = fit_text_classifier(df.where(F.col("split") == "train"), text, label, **options)
     report = classification_report(score(model, df, text), label)
     short = {"train": "train", "validation": "val", "test": "test"}
