@@ -23,10 +23,10 @@ from pyspark.sql import types as T
 from corpusloom.llm import keycounts
 from corpusloom.llm.rows import ROW, with_rows
 from corpusloom.llm.shingles import mixed, ngrams, word_hashes
-from corpusloom.session import materialize
+from corpusloom.session import materialize, release
 
 LEAST = 50  # words of a shared passage
-BATCH_BITS = 10  # documents of a batch: 2 ** 10
+BATCH_BITS = 9  # documents of a batch: 2 ** 9
 _SUFFIX = f"key long, follows binary, precedes binary, {ROW} long, place long"
 
 
@@ -48,14 +48,12 @@ def _sent(written: DataFrame, least: int, ranges: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.column(0).to_numpy() >> BATCH_BITS
-            heads = [np.unique(_anchors(w, least)[1]) for w in word_hashes(batch.column(1).to_pylist())]
-            out = []
-            for number in np.unique(rows):
-                mine = [heads[i] for i in np.flatnonzero(rows == number)]
-                keys, counts = np.unique(np.concatenate(mine), return_counts=True)
-                out += keycounts.sent(int(number), keys, counts, ranges)
-            yield keycounts.batch_of(out)
+            numbers = batch.column(0).to_numpy() >> BATCH_BITS
+            for number in np.unique(numbers):
+                texts = batch.column(1).filter(pa.array(numbers == number)).to_pylist()
+                heads = [np.unique(_anchors(w, least)[1]) for w in word_hashes(texts)]
+                keys, counts = np.unique(np.concatenate(heads), return_counts=True)
+                yield keycounts.batch_of(keycounts.sent(int(number), keys, counts, ranges))
 
     return written.select(ROW, "text").mapInArrow(run, keycounts.SENT)
 
@@ -69,7 +67,7 @@ def _suffixes(written: DataFrame, counted: DataFrame, least: int, ranges: int) -
         held, _ = keycounts.lookup(
             zip(*(came.column(n).to_pylist() for n in ("range", "keys", "counts"))), ranges
         )
-        out: list[list] = [[], [], [], [], []]
+        out: list[list[np.ndarray]] = [[], [], [], [], []]
         rows = texts.column(ROW).to_pylist()
         hashes = word_hashes(texts.column("text").to_pylist()) if len(held) else []
         for row, words in zip(rows, hashes):
@@ -83,18 +81,34 @@ def _suffixes(written: DataFrame, counted: DataFrame, least: int, ranges: int) -
             if not len(places):
                 continue
             # codes of words, never 0; zeros stand before and after the text
-            codes = np.maximum(words & np.uint64(0xFFFFFFFF), np.uint64(1)).astype(">u4")
-            padded = np.concatenate([np.zeros(head, ">u4"), codes, np.zeros(least, ">u4")])
-            near = padded[places[:, None] + np.arange(head + least)[None, :]]
-            # what precedes is kept nearest first, so that its order is that of reversed texts
-            out[0] += heads.view(np.int64).tolist()
-            out[1] += [x.tobytes() for x in near[:, head:]]
-            out[2] += [x.tobytes() for x in near[:, :head][:, ::-1]]
-            out[3] += [row] * len(places)
-            out[4] += places.tolist()
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-        names = ("key", "follows", "precedes", ROW, "place")
-        return pa.table({n: pa.array(c, k) for n, c, k in zip(names, out, kinds)})
+            codes = np.maximum(words & np.uint64(0xFFFF), np.uint64(1)).astype(">u2")
+            padded = np.concatenate([np.zeros(head, ">u2"), codes, np.zeros(least, ">u2")])
+            near = np.lib.stride_tricks.sliding_window_view(padded, head + least)[places]
+            # the head is known from the key; what precedes is kept nearest first, so that its order is
+            # that of reversed texts
+            out[0].append(heads.view(np.int64))
+            out[1].append(np.ascontiguousarray(near[:, 2 * head :]))
+            out[2].append(np.ascontiguousarray(near[:, :head][:, ::-1]))
+            out[3].append(np.full(len(places), row))
+            out[4].append(places)
+
+        def fixed(parts: list[np.ndarray], words: int) -> pa.Array:
+            data = np.concatenate(parts).tobytes() if parts else b""
+            kind = pa.binary(2 * words)
+            return pa.Array.from_buffers(kind, len(data) // (2 * words), [None, pa.py_buffer(data)]).cast(pa.binary())
+
+        def whole(parts: list[np.ndarray]) -> pa.Array:
+            return pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
+
+        return pa.table(
+            {
+                "key": whole(out[0]),
+                "follows": fixed(out[1], least - head),
+                "precedes": fixed(out[2], head),
+                ROW: whole(out[3]),
+                "place": whole(out[4]),
+            }
+        )
 
     return documents.groupBy("batch").cogroup(counted.groupBy("batch")).applyInArrow(run, _SUFFIX)
 
@@ -109,8 +123,9 @@ def _neighbours(table: pa.Table, least: int) -> pa.Table:
     """Spans of words that a suffix shares with a neighbour of another document."""
     key, row, place = (table.column(n).to_numpy() for n in ("key", ROW, "place"))
     n = len(key)
-    follows = np.frombuffer(b"".join(table.column("follows").to_pylist()), ">u4").reshape(n, -1)
-    precedes = np.frombuffer(b"".join(table.column("precedes").to_pylist()), ">u4").reshape(n, -1)
+    follows = np.frombuffer(b"".join(table.column("follows").to_pylist()), ">u2").reshape(n, -1)
+    precedes = np.frombuffer(b"".join(table.column("precedes").to_pylist()), ">u2").reshape(n, -1)
+    head = least // 2  # equal keys are equal heads
     after, before = (
         np.array(table.column(c).to_pylist(), dtype=object) for c in ("follows", "precedes")
     )
@@ -130,7 +145,7 @@ def _neighbours(table: pa.Table, least: int) -> pa.Table:
             i, j = i[ok], j[ok]
             i, j = i[k[i] == k[j]], j[k[i] == k[j]]
             a, b = order[i], order[j]
-            right = _agreeing(follows[a], follows[b])
+            right = head + _agreeing(follows[a], follows[b])
             left = _agreeing(precedes[a], precedes[b])
             good = left + right >= least
             a, b, left, right = a[good], b[good], left[good], right[good]
@@ -170,12 +185,14 @@ def shared_passages(written: DataFrame, least: int = LEAST) -> DataFrame:
     counted = keycounts.returned(_sent(written, least, ranges))
     suffixes = _suffixes(written, counted, least, ranges)
     order = ["key", "follows", "precedes", ROW, "place"]
+    suffixes = materialize(suffixes, "suffixes")
+    del counted  # the texts were shuffled for the suffixes, which are written now
+    release(written.sparkSession)
     dealt = materialize(
-        materialize(suffixes, "suffixes")
-        .repartitionByRange(*order)
-        .withColumn("part", F.spark_partition_id()),
-        "suffix-order",
+        suffixes.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "suffix-order"
     )
+    del suffixes
+    release(written.sparkSession)
     # each part also gets the first suffix of the following one; a row for each part
     first = dealt.groupBy("part").agg(F.min(F.struct(*order)).alias("f"))
     ahead = first.select(F.lag("part").over(Window.orderBy("part")).alias("part"), "f").where("part is not null")
