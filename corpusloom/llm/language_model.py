@@ -19,13 +19,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm import keycounts
 from corpusloom.llm.shingles import mixed, word_hashes
-from corpusloom.session import materialize
+from corpusloom.session import materialize, release
 
 BITS_PER_ENTRY = 8
 PROBES = 5  # hash functions of the filter
@@ -33,7 +34,8 @@ GROWTH = 1.25  # between one quantised count and the next
 MAX_BYTES = 96 << 20
 MIN_BIGRAM = 2  # the smallest count of a bigram the filter holds; words are held from 1
 SHARE = 0.4  # of the bigram in the interpolation
-BATCH_BYTES = 12 << 20  # of text in a batch of documents
+BATCH_BYTES = 6 << 20  # of text in a batch of documents
+SLICE = 100_000  # tokens scored at once, or one document
 
 END = np.uint64(0x2545F4914F6CDD1D)  # the token after a text's last word, and before its first
 _PAIR = np.uint64(0x9FB21C651E98DF25)
@@ -141,11 +143,15 @@ def _counted(docs: DataFrame, ranges: int) -> DataFrame:
                 continue
             tokens = np.concatenate([t for t, _ in split])
             before = np.concatenate([b for _, b in split])
+            del split
+            both = pairs(before, tokens)
+            del before
             words, n = np.unique(tokens, return_counts=True)
-            out = keycounts.sent(0, words, n, ranges, wide=True)
-            both, n = np.unique(pairs(before, tokens), return_counts=True)
-            out += keycounts.sent(1, both, n, ranges)
-            yield keycounts.batch_of(out)
+            del tokens
+            yield keycounts.batch_of(keycounts.sent(0, words, n, ranges, wide=True))
+            both, n = np.unique(both, return_counts=True)
+            yield keycounts.batch_of(keycounts.sent(1, both, n, ranges))
+            del both, words, n
 
     return docs.select("text").mapInArrow(run, keycounts.SENT)
 
@@ -163,7 +169,7 @@ def _levelled(sent: DataFrame, ranges: int, min_bigram: int) -> DataFrame:
         keys, found = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         types = tokens = 0
         for kind in (0, 1):
-            part = table.filter(pa.compute.equal(table.column("batch"), kind))
+            part = table.filter(pc.equal(table.column("batch"), kind))
             if not len(part):
                 continue
             _, held, _, totals = keycounts.added(part, wide=kind == 0)
@@ -229,6 +235,7 @@ def train(
     about = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
     ranges = keycounts.ranges_for((about["b"] or 0) // 4)
     levelled = materialize(_levelled(_counted(rows, ranges), ranges, min_bigram), "levels")
+    release(docs.sparkSession)
     facts = levelled.select(
         F.sum("types").alias("types"),
         F.sum("tokens").alias("tokens"),
@@ -304,10 +311,9 @@ def score(
         known, count = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
         order = np.argsort(known)
         known, count = known[order], count[order]
-        split = [tokens_of(w) for w in word_hashes(texts.column("text").to_pylist())]
-        lengths = np.array([len(t) for t, _ in split], np.int64)
-        columns: list[np.ndarray] = [lengths]
-        if len(split):
+        parts: list[list[np.ndarray]] = [[], [], [], [], []]
+
+        def part(split: list[tuple[np.ndarray, np.ndarray]]) -> None:
             tokens = np.concatenate([t for t, _ in split])
             before = np.concatenate([b for _, b in split])
             c = np.zeros(len(tokens), np.int64)
@@ -315,16 +321,30 @@ def score(
                 at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
                 c = np.where(known[at] == tokens, count[at], 0)
             c[tokens == END] = lm.documents
+            lengths = np.array([len(t) for t, _ in split], np.int64)
             first = np.cumsum(lengths) - lengths
             each = np.log10((c + 1) / (lm.tokens + 1 * (lm.types + 1)))
-            columns += [
+            values = (
+                lengths,
                 np.add.reduceat((c > 0).astype(np.int64), first),
                 np.full(len(split), lm.tokens),
                 np.add.reduceat(each, first),
                 np.add.reduceat(lm.log10(tokens, before), first),
-            ]
-        else:
-            columns += [np.zeros(0)] * 4
+            )
+            for held, value in zip(parts, values):
+                held.append(value)
+
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for words in word_hashes(texts.column("text").to_pylist()):
+            waiting.append(tokens_of(words))
+            size += len(words) + 1
+            if size >= SLICE:
+                part(waiting)
+                waiting, size = [], 0
+        if waiting:
+            part(waiting)
+        columns = [np.concatenate(p) if p else np.zeros(0) for p in parts]
         arrays = [texts.column("id"), texts.column("trained")]
         for values, field in zip(columns, list(schema)[2:]):
             kind = pa.float64() if field.dataType == T.DoubleType() else pa.int64()
