@@ -95,7 +95,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and go on from the written table."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
