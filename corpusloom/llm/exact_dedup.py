@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.rows import ROW, with_rows
-from corpusloom.session import materialize
+from corpusloom.session import materialize, release
 
 WHITE_SPACE = " \t\n\x0b\f\r"  # fixed value: the characters that do not count
 
@@ -25,32 +25,21 @@ def squeezed(text: str | Column) -> Column:
     return F.translate(F.coalesce(col, F.lit("")), WHITE_SPACE, "")
 
 
-def exact_groups(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    carry: Sequence[str] = (),
-    first_bytes: int = 64,
-    growth: int = 4,
-) -> DataFrame:
-    """One row per input row: the key, ``keep_id``, ``group_size``, ``kept`` and the carried columns.
-
-    Texts are equal when they agree without white space. Of equal ones the row with the most code points
-    stays, then the smallest key (null last), then the first row. Null texts are empty texts, and equal
-    each other. Repeated rows are rows of their own: one stays. An empty table gives an empty table.
-    """
-    carry = list(carry)
+def _written(docs: DataFrame, key: str, text: str, columns: Sequence[str], name: str) -> DataFrame:
     points = F.char_length(F.coalesce(F.col(text), F.lit("")))
-    base = with_rows(
+    return with_rows(
         docs.select(
-            F.col(key).alias("__id"),
-            points.alias("__points"),
-            squeezed(text).cast("binary").alias("__rest"),
-            *carry,
+            F.col(key).alias("__id"), points.alias("__points"), F.col(text).alias("__text"), *columns
         ),
-        "radix-base",
+        name,
+    )
+
+
+def _decided(base: DataFrame, first_bytes: int, growth: int) -> DataFrame:
+    """Of rows that are not alone: (row, ``__keep`` and ``__stays``, key and row of the one that stays, size)."""
+    state = base.select(
+        ROW, F.lit(0).cast("long").alias("__group"), squeezed("__text").cast("binary").alias("__rest")
     )
-    state = base.select(ROW, F.lit(0).cast("long").alias("__group"), "__rest")
     width, settled = first_bytes, []
     while True:
         digit = F.substring("__rest", 1, width)
@@ -64,9 +53,9 @@ def exact_groups(
         )
         if shared.isEmpty():
             break
-        # read back from the written table, so that a group with a third of all rows can be split
+        # read back from the written table, so that a group with a third of all rows can be split, and
+        # merged whatever the size: a small table of shared digits must not hide what a large one costs
         state = materialize(
-            # merged whatever the size: a small table of shared digits must not hide what a large one costs
             placed.join(shared.hint("merge"), ["__group", "__digit"]).select(
                 ROW,
                 F.col("__next").alias("__group"),
@@ -75,17 +64,15 @@ def exact_groups(
             ),
             "radix-state",
         )
+        del placed
+        release(base.sparkSession)
         settled.append(state.where("__ended").select(ROW, "__group"))
         state = state.where(~F.col("__ended")).drop("__ended")
         width *= growth
-    if not settled:
-        members = base.select(ROW, F.col(ROW).alias("__group")).where(F.lit(False))
-    else:
-        members = settled[0]
-        for more in settled[1:]:
-            members = members.unionByName(more)
-    about = base.select(ROW, "__id", "__points")
-    members = materialize(members.join(about, ROW), "radix-members")
+    members = base.select(ROW, F.col(ROW).alias("__group")).where(F.lit(False))
+    for more in settled:
+        members = members.unionByName(more)
+    members = materialize(members.join(base.select(ROW, "__id", "__points"), ROW), "radix-members")
     order = F.struct(
         (-F.col("__points")).alias("a"),
         F.col("__id").isNull().alias("b"),
@@ -96,12 +83,30 @@ def exact_groups(
         members.groupBy("__group").agg(F.min(order).alias("__first"), F.count("*").alias("__size")),
         "radix-keepers",
     )
-    decided = members.join(keepers, "__group").select(
+    return members.join(keepers, "__group").select(
         ROW, F.col("__first.c").alias("__keep"), F.col("__first.d").alias("__stays"), "__size"
     )
+
+
+def exact_groups(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    carry: Sequence[str] = (),
+    first_bytes: int = 64,
+    growth: int = 4,
+) -> DataFrame:
+    """One row per input row: the key, ``keep_id``, ``group_size``, ``kept`` and the carried columns.
+
+    Texts are equal when they agree without white space. Of equal ones the row with the most code points
+    stays, then the smallest key (null last), then the first row. Null texts are empty texts, and equal
+    each other. Repeated rows are rows of their own: one stays. An empty table gives an empty table.
+    """
+    carry = list(carry)
+    base = _written(docs, key, text, carry, "radix-base")
     return (
-        base.drop("__points", "__rest")
-        .join(decided, ROW, "left")
+        base.drop("__points", "__text")
+        .join(_decided(base, first_bytes, growth), ROW, "left")
         .select(
             F.col("__id").alias(key),
             F.when(F.col("__size").isNull(), F.col("__id")).otherwise(F.col("__keep")).alias("keep_id"),
@@ -112,11 +117,15 @@ def exact_groups(
     )
 
 
-def drop_exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_exact_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", first_bytes: int = 64, growth: int = 4
+) -> DataFrame:
     """The rows that stay, with all their columns."""
-    whole = with_rows(docs, "radix-docs").withColumnRenamed(ROW, "__whole")
-    decided = exact_groups(
-        whole.withColumn("__of", F.struct(key, "__whole")), "__of", text, ["__whole"]
-    )
-    kept = decided.where("kept").select("__whole")
-    return whole.join(kept, "__whole", "left_semi").drop("__whole")
+    rest = [c for c in docs.columns if c not in (key, text)]
+    base = _written(docs, key, text, rest, "radix-docs")
+    decided = _decided(base, first_bytes, growth)
+    dropped = materialize(decided.where(F.col("__stays") != F.col(ROW)).select(ROW), "radix-dropped")
+    release(base.sparkSession)
+    kept = base.join(dropped, ROW, "left_anti")
+    named = {key: "__id", text: "__text"}
+    return kept.select(*[F.col(named.get(c, c)).alias(c) for c in docs.columns])
