@@ -313,8 +313,18 @@ def drop_near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75
 ) -> DataFrame:
     """Keep one document of each linked group, the one of the smallest key (null last), with all columns."""
-    whole = with_rows(docs, "whole").withColumnRenamed(ROW, "__whole")
-    keyed = whole.withColumn("__of", F.struct(F.col(key).isNull().alias("a"), F.col(key).alias("b"), "__whole"))
-    joined = join_documents(keyed, "__of", text, n, percent)
-    kept = joined.where(F.col("__of") == F.col("component_id")).select("__of.__whole")
-    return whole.join(kept, "__whole", "left_semi").drop("__whole")
+    whole = with_rows(docs, "whole")
+    of, component = link_sets(whole.select(ROW, F.col(text).alias("text")), n, percent)
+    placed = of.join(component, "set", "left").select(ROW, F.coalesce("component", "set").alias("group"))
+    ids = whole.select(ROW, F.col(key).alias("id"))
+    placed = materialize(placed.where("group is not null").join(ids, ROW), "placed")
+    first = materialize(
+        placed.groupBy("group").agg(
+            F.min(F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("b"), F.col(ROW).alias("c"))).alias("f")
+        ),
+        "smallest",
+    )
+    others = placed.join(first, "group").where(F.col(ROW) != F.col("f.c")).select(ROW)
+    others = materialize(others, "near-copies")
+    release(whole.sparkSession)
+    return whole.join(others, ROW, "left_anti").select(*docs.columns)
