@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.rows import gapless, with_rows
+from corpusloom.llm.rows import ROW, gapless, with_rows
 
 # Fixed value: how text is cut before merging, for vocabularies of this byte-level kind.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -320,12 +320,15 @@ def pack(
     schema = "__tokens long, __from long, __to long, __first long, __each long, __at long"
     # as many rows as the patterns have lengths: bounded by the capacity, not by the corpus
     plan_rows = F.broadcast(pieces.sparkSession.createDataFrame(ranges, schema))
-    ranked = gapless(written.withColumn("__tokens", F.col(length).cast("long")), ["__tokens"], "__rank")
+    # row numbers and lengths alone are ranked; the pieces themselves move once, to their places
+    narrow = written.select(ROW, F.col(length).cast("long").alias("__tokens"))
     inside = F.col("__rank") - F.col("__from")
-    return (
-        ranked.join(plan_rows, "__tokens")
+    placed = (
+        gapless(narrow, ["__tokens"], "__rank")
+        .join(plan_rows, "__tokens")
         .where((F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__to")))
         .withColumn(sequence, F.col("__first") + F.floor(inside / F.col("__each")))
         .withColumn(offset, F.col("__at") + inside % F.col("__each") * F.col("__tokens"))
-        .select(*pieces.columns, sequence, offset)
+        .select(ROW, sequence, offset)
     )
+    return written.join(placed, ROW).select(*pieces.columns, sequence, offset)
