@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import shutil
 import tempfile
 import uuid
 
@@ -59,16 +60,22 @@ def shared_dir(spark: SparkSession) -> str:
             )
         own = tempfile.mkdtemp(prefix="corpusloom-")
         context.setCheckpointDir(own)
-        _remove_at_exit(spark, own)
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
     return context.getCheckpointDir()
 
 
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
-    """Delete a folder of this application when Python ends, through Hadoop's file systems."""
+    """Delete a folder of this application when Python ends, through Hadoop's file systems.
+
+    Once the session is stopped only a mounted folder can be deleted; another store keeps it.
+    """
     context = spark.sparkContext
 
     def remove() -> None:
         if context._jsc is None:
+            mounted = path.removeprefix("file:")
+            if "://" not in mounted:
+                shutil.rmtree(mounted, ignore_errors=True)
             return
         place = context._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
