@@ -5,17 +5,19 @@ level, and the filter holds an n-gram once for each level up to its own: probing
 is missing gives the count back, never too small a level, and too large a one with a known small chance.
 The filter is made of parts, one to a range, built where the range was counted.
 
-Only the filter is sent to workers. Its size has a bound: n-grams of the lowest levels are left out, level
-by level, until the others fit ``max_bytes``; what a corpus of any size sends is at most that.
+The filter grows with the n-grams counted, and all of them are held. It stays a written table of its parts: a
+batch of documents sends its distinct n-grams to their ranges, where the part of the range is probed, and
+gets the levels back, so no task and no driver holds more than one part at once.
 
 Scores interpolate the bigram's share of its first word with the word's own smoothed share, both from
-probes. Exact word counts, for the plain unigram score, go to each batch of documents by a shuffle.
+probes. Exact word counts, for the plain unigram score, come back to each batch the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,6 @@ from corpusloom.session import materialize, release
 BITS_PER_ENTRY = 8
 PROBES = 5  # hash functions of the filter
 GROWTH = 1.25  # between one quantised count and the next
-MAX_BYTES = 96 << 20
-MIN_BIGRAM = 2  # the smallest count of a bigram the filter holds; words are held from 1
 SHARE = 0.4  # of the bigram in the interpolation
 BATCH_BYTES = 6 << 20  # of text in a batch of documents
 SLICE = 100_000  # tokens scored at once, or one document
@@ -51,6 +51,7 @@ def thresholds(limit: int = 2**40) -> np.ndarray:
 
 
 _THRESHOLDS = thresholds()
+_SMALLEST = np.concatenate([[0], _THRESHOLDS])  # the count that each level stands for
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -81,8 +82,8 @@ class LogFrequencyFilter:
         high, _ = keycounts.placed(keys, self.ranges)
         return [self.start[high] + p for p in _positions(keys, level, self.size[high])]
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """The smallest count of the highest level that is held without a gap below; 0 where none is."""
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """The highest level that is held without a gap below; 0 where none is."""
         out = np.zeros(len(keys), np.int64)
         alive = np.arange(len(keys))
         for level in range(1, len(_THRESHOLDS) + 1):
@@ -92,9 +93,13 @@ class LogFrequencyFilter:
             for place in self._places(keys[alive], level):
                 held &= (self.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
             alive = alive[held]
-            out[alive] = _THRESHOLDS[level - 1]
+            out[alive] = level
         return out
 
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        """The smallest count of each key's level; 0 where none is held."""
+        return _SMALLEST[self.levels(keys)]
+
 
 def _short(keys: np.ndarray, ranges: int) -> np.ndarray:
     """The bits of a key that are counted, kept as a key that falls into the same range."""
@@ -112,25 +117,31 @@ def _positions(keys: np.ndarray, level: int, size: np.ndarray) -> list[np.ndarra
 
 @dataclass(frozen=True)
 class LanguageModel:
-    filter: LogFrequencyFilter
+    parts: DataFrame  # (range, size, bits): the filter's parts, written
+    ranges: int
     tokens: int  # all tokens of the training documents
     types: int  # distinct ones
     documents: int
 
-    def word_shares(self, words: np.ndarray) -> np.ndarray:
-        counts = self.filter.counts(_short(words, self.filter.ranges))
-        return (counts + 1) / (self.tokens + self.types + 1)
+    @cached_property
+    def filter(self) -> LogFrequencyFilter:
+        """The whole filter on the driver, for a look into a small model; scoring does not gather it."""
+        start, size = np.zeros(self.ranges, np.int64), np.zeros(self.ranges, np.int64)
+        blobs, at = [], 0
+        for row in self.parts.orderBy("range").toLocalIterator():
+            start[row["range"]], size[row["range"]] = at, row["size"]
+            blobs.append(bytes(row["bits"]))
+            at += row["size"]
+        return LogFrequencyFilter(self.ranges, start, size, np.frombuffer(b"".join(blobs) or b"\0", np.uint8))
 
-    def log10(self, tokens: np.ndarray, before: np.ndarray, share: float = SHARE) -> np.ndarray:
-        """The logarithm of each token's probability after the one before."""
-        distinct, place = np.unique(np.concatenate([tokens, before]), return_inverse=True)
-        counts = self.filter.counts(_short(distinct, self.filter.ranges))[place]
-        own, context = counts[: len(tokens)], counts[len(tokens) :]
-        both, at = np.unique(pairs(before, tokens), return_inverse=True)
-        pair = self.filter.counts(_short(both, self.filter.ranges))[at]
-        ratio = np.minimum(1.0, pair / np.maximum(context, 1))
-        single = np.minimum(1.0, (own + 1) / (self.tokens + self.types + 1))
-        return np.log10(share * ratio + (1 - share) * single)
+
+def log10(
+    own: np.ndarray, context: np.ndarray, pair: np.ndarray, tokens: int, types: int, share: float = SHARE
+) -> np.ndarray:
+    """The logarithm of each token's probability after the one before, from the filter's counts."""
+    ratio = np.minimum(1.0, pair / np.maximum(context, 1))
+    single = np.minimum(1.0, (own + 1) / (tokens + types + 1))
+    return np.log10(share * ratio + (1 - share) * single)
 
 
 def _counted(docs: DataFrame, ranges: int) -> DataFrame:
@@ -159,7 +170,7 @@ def _counted(docs: DataFrame, ranges: int) -> DataFrame:
 _LEVELS = "range int, types long, tokens long, keys binary, levels binary, histogram array<long>"
 
 
-def _levelled(sent: DataFrame, ranges: int, min_bigram: int) -> DataFrame:
+def _levelled(sent: DataFrame, ranges: int) -> DataFrame:
     """Keys and levels of each range, and how many words there are."""
     depth = len(_THRESHOLDS) + 1
     bits = ranges.bit_length() - 1
@@ -179,7 +190,6 @@ def _levelled(sent: DataFrame, ranges: int, min_bigram: int) -> DataFrame:
             else:
                 high = np.uint64(number) << np.uint64(64 - bits)
                 held = high | (held.astype(np.uint64) << np.uint64(32 - bits))
-                held, totals = held[totals >= min_bigram], totals[totals >= min_bigram]
             keys.append(held)
             found.append(levels(totals))
         key, level = np.concatenate(keys), np.concatenate(found)
@@ -216,30 +226,39 @@ def _parts(levelled: DataFrame, lowest: int) -> DataFrame:
                 sizes.append(size)
                 blobs.append(np.packbits(held, bitorder="little").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())],
-                ["range", "size", "bits"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary()), batch.column(3), batch.column(4)],
+                ["range", "size", "bits", "types", "tokens"],
             )
 
-    return levelled.select("range", "keys", "levels").mapInArrow(run, "range int, size long, bits binary")
+    return levelled.select("range", "keys", "levels", "types", "tokens").mapInArrow(
+        run, "range int, size long, bits binary, types long, tokens long"
+    )
 
 
-def train(
-    docs: DataFrame, text: str = "text", max_bytes: int = MAX_BYTES, min_bigram: int = MIN_BIGRAM
-) -> LanguageModel:
-    """Count words and pairs of all texts and build the filter, of at most ``max_bytes``.
+def train(docs: DataFrame, text: str = "text", max_bytes: int | None = None) -> LanguageModel:
+    """Count words and pairs of all texts and build the filter of all of them.
 
     Null and empty texts are an end alone. Repeated rows count as often as they come. Without documents the
-    filter holds nothing.
+    filter holds nothing. Only a caller that asks for ``max_bytes`` gets a smaller filter, without the n-grams
+    of the lowest levels.
     """
     rows = docs.select(F.col(text).alias("text"))
     about = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
     ranges = keycounts.ranges_for((about["b"] or 0) // 4)
-    levelled = materialize(_levelled(_counted(rows, ranges), ranges, min_bigram), "levels")
+    levelled = _levelled(_counted(rows, ranges), ranges)
+    lowest = 1
+    if max_bytes is not None:
+        levelled = materialize(levelled, "levels")
+        lowest = _lowest(levelled, max_bytes)
+    parts = materialize(_parts(levelled, lowest), "filter")
+    del levelled
     release(docs.sparkSession)
-    facts = levelled.select(
-        F.sum("types").alias("types"),
-        F.sum("tokens").alias("tokens"),
-    ).first()
+    facts = parts.select(F.sum("types").alias("types"), F.sum("tokens").alias("tokens")).first()
+    return LanguageModel(parts.select("range", "size", "bits"), ranges, facts["tokens"] or 0, facts["types"] or 0, about["n"])
+
+
+def _lowest(levelled: DataFrame, max_bytes: int) -> int:
+    """The lowest level whose n-grams and those above fit into ``max_bytes``."""
     histogram = {
         r["level"]: r["n"]
         for r in levelled.select(F.posexplode("histogram").alias("level", "c"))
@@ -252,15 +271,76 @@ def train(
     while entries * BITS_PER_ENTRY > 8 * max_bytes:
         entries -= lowest * histogram.get(lowest, 0)
         lowest += 1
-    start, size = np.zeros(ranges, np.int64), np.zeros(ranges, np.int64)
-    blobs, at = [], 0
-    for row in _parts(levelled, lowest).orderBy("range").toLocalIterator():
-        start[row["range"]], size[row["range"]] = at, row["size"]
-        blobs.append(bytes(row["bits"]))
-        at += row["size"]
-    bits = np.frombuffer(b"".join(blobs) or b"\0", np.uint8)
-    held = LogFrequencyFilter(ranges, start, size, bits)
-    return LanguageModel(held, facts["tokens"] or 0, facts["types"] or 0, about["n"])
+    return lowest
+
+
+_ASKED = "batch long, range int, words binary, counts binary, pairs binary"
+_TOLD = "batch long, range int, counts binary, words binary, pairs binary"
+
+
+def _cut(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each range starts among sorted keys, and their number at the end."""
+    high, _ = keycounts.placed(keys, ranges)
+    return np.searchsorted(high, np.arange(ranges + 1))
+
+
+def _keys_of(texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The words of each text, and the sorted distinct tokens and pairs of all."""
+    words = word_hashes(texts)
+    split = [tokens_of(w) for w in words]
+    tokens = np.concatenate([t for t, _ in split])
+    both = np.unique(pairs(np.concatenate([b for _, b in split]), tokens))
+    return words, np.unique(tokens), both
+
+
+def _told(asked: DataFrame, model: LanguageModel, ranges: int) -> DataFrame:
+    """To each batch, in the order it asked: exact counts of its words, and levels of its words and pairs.
+
+    Where more texts are scored than were trained on, several ranges of the questions probe one part.
+    """
+    bits, own = ranges.bit_length() - 1, model.ranges
+    finer = ranges // own
+    parts = model.parts.withColumn(
+        "range", F.explode(F.sequence(F.col("range") * finer, F.col("range") * finer + finer - 1))
+    )
+
+    def run(questions: pa.Table, part: pa.Table) -> pa.Table:
+        if not len(questions):
+            return pa.table({f.split()[0]: pa.array([], k) for f, k in zip(_TOLD.split(", "), _TOLD_KINDS)})
+        number = questions.column("range")[0].as_py()
+        names = ("batch", "words", "counts", "pairs")
+        batch, words, counts, both = (questions.column(n).to_pylist() for n in names)
+        words = [np.frombuffer(w, "<u8") for w in words]
+        both = [np.frombuffer(p, "<u4") for p in both]
+        held, place = np.unique(np.concatenate(words), return_inverse=True)
+        weights = np.concatenate([np.frombuffer(c, "<i8") for c in counts])
+        total = np.bincount(place, weights=weights, minlength=len(held)).astype("<i8")[place]
+        size = part.column("size")[0].as_py() if len(part) else 0
+        blob = part.column("bits")[0].as_py() if len(part) else b""
+        zero, sizes = np.zeros(own, np.int64), np.full(own, size, np.int64)
+        probed = LogFrequencyFilter(own, zero, sizes, np.frombuffer(blob or b"\0", np.uint8))
+
+        def levels_of(keys: np.ndarray) -> np.ndarray:
+            return probed.levels(_short(keys, own)).astype(np.uint8)
+
+        word_levels = levels_of(held)[place]
+        low, at = np.unique(np.concatenate(both), return_inverse=True)
+        high = np.uint64(number) << np.uint64(64 - bits)
+        pair_levels = levels_of(high | (low.astype(np.uint64) << np.uint64(32 - bits)))[at]
+        w, p = (np.cumsum([0, *map(len, x)]) for x in (words, both))
+        columns = (
+            batch,
+            [number] * len(batch),
+            [total[i:j].tobytes() for i, j in zip(w, w[1:])],
+            [word_levels[i:j].tobytes() for i, j in zip(w, w[1:])],
+            [pair_levels[i:j].tobytes() for i, j in zip(p, p[1:])],
+        )
+        return pa.table({f.split()[0]: pa.array(c, k) for f, c, k in zip(_TOLD.split(", "), columns, _TOLD_KINDS)})
+
+    return asked.groupBy("range").cogroup(parts.groupBy("range")).applyInArrow(run, _TOLD)
+
+
+_TOLD_KINDS = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
 
 
 def score(
@@ -277,21 +357,30 @@ def score(
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     batches = max(1, -(-size // BATCH_BYTES))
-    ranges = keycounts.ranges_for(size // 20)
+    ranges = max(model.ranges, keycounts.ranges_for(size // 8))
     placed = rows.withColumn("batch", F.pmod(F.xxhash64("id", "text"), F.lit(batches)).cast("long"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most max_bytes
+    all_tokens, all_types, documents = model.tokens, model.types, model.documents
 
     def send(table: pa.Table) -> pa.Table:
-        words = word_hashes(table.column("text").to_pylist())
+        words, keys, both = _keys_of(table.column("text").to_pylist())
         trained = table.column("trained").to_pylist()
-        held = np.concatenate([np.zeros(0, np.uint64), *words])
+        held = np.concatenate(words)
         weight = np.repeat(np.array(trained, np.int64), [len(w) for w in words])
-        keys, place = np.unique(held, return_inverse=True)
-        counts = np.bincount(place, weights=weight, minlength=len(keys)).astype(np.int64)
-        rows_out = keycounts.sent(table.column("batch")[0].as_py(), keys, counts, ranges, wide=True)
-        return pa.Table.from_batches([keycounts.batch_of(rows_out)])
+        counts = np.bincount(np.searchsorted(keys, held), weights=weight, minlength=len(keys)).astype("<i8")
+        w, p = _cut(keys, ranges), _cut(both, ranges)
+        _, low = keycounts.placed(both, ranges)
+        number = table.column("batch")[0].as_py()
+        used = np.flatnonzero((np.diff(w) > 0) | (np.diff(p) > 0)).tolist()
+        columns = (
+            [number] * len(used),
+            used,
+            [keys[w[r] : w[r + 1]].astype("<u8").tobytes() for r in used],
+            [counts[w[r] : w[r + 1]].tobytes() for r in used],
+            [low[p[r] : p[r + 1]].astype("<u4").tobytes() for r in used],
+        )
+        return pa.table({f.split()[0]: pa.array(c, k) for f, c, k in zip(_ASKED.split(", "), columns, _TOLD_KINDS)})
 
-    totals = keycounts.returned(placed.groupBy("batch").applyInArrow(send, keycounts.SENT), 1, wide=True)
+    told = _told(placed.groupBy("batch").applyInArrow(send, _ASKED), model, ranges)
     schema = T.StructType(
         [
             T.StructField("id", rows.schema["id"].dataType),
@@ -305,38 +394,39 @@ def score(
     )
 
     def judge(texts: pa.Table, came: pa.Table) -> pa.Table:
-        lm = sent.value
-        keys = [np.zeros(0, np.uint64), *[np.frombuffer(k, "<u8") for k in came.column("keys").to_pylist()]]
-        counts = [np.zeros(0, np.int64), *[np.frombuffer(c, "<u4") for c in came.column("counts").to_pylist()]]
-        known, count = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
-        order = np.argsort(known)
-        known, count = known[order], count[order]
+        came = came.sort_by("range")
+        split_words, keys, both = _keys_of(texts.column("text").to_pylist())
+        counts = np.frombuffer(b"".join(came.column("counts").to_pylist()), "<i8")
+        word_levels = np.frombuffer(b"".join(came.column("words").to_pylist()), np.uint8)
+        pair_levels = np.frombuffer(b"".join(came.column("pairs").to_pylist()), np.uint8)
+        assert len(counts) == len(word_levels) == len(keys) and len(pair_levels) == len(both)
         parts: list[list[np.ndarray]] = [[], [], [], [], []]
 
         def part(split: list[tuple[np.ndarray, np.ndarray]]) -> None:
             tokens = np.concatenate([t for t, _ in split])
             before = np.concatenate([b for _, b in split])
-            c = np.zeros(len(tokens), np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-                c = np.where(known[at] == tokens, count[at], 0)
-            c[tokens == END] = lm.documents
+            at = np.searchsorted(keys, tokens)
+            c = counts[at]
+            c[tokens == END] = documents
+            own = _SMALLEST[word_levels[at]]
+            context = _SMALLEST[word_levels[np.searchsorted(keys, before)]]
+            pair = _SMALLEST[pair_levels[np.searchsorted(both, pairs(before, tokens))]]
             lengths = np.array([len(t) for t, _ in split], np.int64)
             first = np.cumsum(lengths) - lengths
-            each = np.log10((c + 1) / (lm.tokens + 1 * (lm.types + 1)))
+            each = np.log10((c + 1) / (all_tokens + 1 * (all_types + 1)))
             values = (
                 lengths,
                 np.add.reduceat((c > 0).astype(np.int64), first),
-                np.full(len(split), lm.tokens),
+                np.full(len(split), all_tokens),
                 np.add.reduceat(each, first),
-                np.add.reduceat(lm.log10(tokens, before), first),
+                np.add.reduceat(log10(own, context, pair, all_tokens, all_types), first),
             )
             for held, value in zip(parts, values):
                 held.append(value)
 
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
-        for words in word_hashes(texts.column("text").to_pylist()):
+        for words in split_words:
             waiting.append(tokens_of(words))
             size += len(words) + 1
             if size >= SLICE:
@@ -351,5 +441,5 @@ def score(
             arrays.append(pa.array(values).cast(kind))
         return pa.table(dict(zip([f.name for f in schema], arrays)))
 
-    scored = placed.groupBy("batch").cogroup(totals.groupBy("batch")).applyInArrow(judge, schema)
+    scored = placed.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(judge, schema)
     return scored.withColumnRenamed("id", key)

@@ -142,3 +142,29 @@ def test_filter_never_counts_too_little(spark, labelled):
     assert (held > counts).mean() < 0.05
     small = language_model.train(docs, max_bytes=20_000)
     assert len(small.filter.bits) <= 21_000
+
+
+def test_every_bigram_is_held_and_probed_by_ranges(spark, labelled, monkeypatch):
+    from corpusloom.llm import keycounts
+    from corpusloom.llm.shingles import word_hashes
+
+    docs = labelled.select("doc_id", "text").where("doc_id % 4 = 0")
+    train = F.col("doc_id") % 3 != 0
+    model = language_model.train(docs.where(train))
+    rows = docs.collect()
+    split = {r.doc_id: language_model.tokens_of(word_hashes([r.text])[0]) for r in rows}
+    seen = np.concatenate([language_model.pairs(b, t) for k, (t, b) in split.items() if k % 3])
+    keys, counts = np.unique(seen, return_counts=True)
+    held = model.filter.counts(language_model._short(keys, model.ranges))
+    assert (counts == 1).any() and (held >= language_model._SMALLEST[language_model.levels(counts)]).all()
+    want = {}
+    for key, (tokens, before) in split.items():
+        own, context, pair = (
+            model.filter.counts(language_model._short(k, model.ranges))
+            for k in (tokens, before, language_model.pairs(before, tokens))
+        )
+        want[key] = language_model.log10(own, context, pair, model.tokens, model.types).sum()
+    first = {r.doc_id: r for r in language_model.score(docs, model, train).collect()}
+    assert all(math.isclose(first[k].score, v, rel_tol=1e-9) for k, v in want.items()) and len(first) == len(want)
+    monkeypatch.setattr(keycounts, "KEYS_PER_RANGE", 2_000)  # more ranges of questions than parts
+    assert {r.doc_id: r for r in language_model.score(docs, model, train).collect()} == first
