@@ -1,13 +1,13 @@
-"""Passages that documents share, from sparse suffix arrays.
-
-A suffix is retained where its first words are the least of a window (a minimiser): the choice depends on
-content alone, so every passage of ``least`` words retains the same suffixes wherever it stands. Suffixes
-whose first words no other document holds are dropped early, by global counts. The others are sorted by
-what follows, then by what precedes, across tasks by ranges of that order, so one very frequent passage is
-split like any other stretch of the order; each task also sees the first suffix of the next one. Neighbours
-from different documents are compared word by word to the right and to the left, and where they agree over
-``least`` words or more, both places are marked. A passage longer than the compared context holds several
-retained suffixes, whose marks overlap and make one span.
+"""Passages that documents share, from sparse suffixes.
+
+A suffix is retained where its first words, its head, are the least of a window (a minimiser): the choice
+depends on content alone, so every passage of ``least`` words retains the same suffixes wherever it stands.
+Suffixes whose head no other document holds are dropped early, by global counts. For the others, every
+passage of ``least`` words around the head is grouped: so many words before, the head, and the rest after,
+for each split. Batches of documents send their distinct passages, with the number of documents that hold
+them, to ranges of their 64-bit hashes and get those back that several documents hold. All pairs that share
+a passage meet there, wherever they go on differently, and a passage that every document holds costs one
+entry per batch. Overlapping and touching passages of a document make one span.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,8 @@ from corpusloom.session import materialize, release
 
 LEAST = 50  # words of a shared passage
 BATCH_BITS = 9  # documents of a batch: 2 ** 9
-_SUFFIX = f"key long, follows binary, precedes binary, {ROW} long, place long"
+_PASSAGES = f"batch long, {ROW} long, starts binary, hashes binary"
+_SPANS = f"{ROW} long, start long, end long"
 
 
 def _anchors(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,8 +59,8 @@ def _sent(written: DataFrame, least: int, ranges: int) -> DataFrame:
     return written.select(ROW, "text").mapInArrow(run, keycounts.SENT)
 
 
-def _suffixes(written: DataFrame, counted: DataFrame, least: int, ranges: int) -> DataFrame:
-    """Retained suffixes with a head that several documents hold, and the words on both sides."""
+def _passages(written: DataFrame, counted: DataFrame, least: int, ranges: int) -> DataFrame:
+    """Of each document, starts and hashes of the passages around a head that several documents hold."""
     head = least // 2
     documents = written.select(F.shiftright(ROW, BATCH_BITS).alias("batch"), ROW, "text")
 
@@ -67,140 +68,87 @@ def _suffixes(written: DataFrame, counted: DataFrame, least: int, ranges: int) -
         held, _ = keycounts.lookup(
             zip(*(came.column(n).to_pylist() for n in ("range", "keys", "counts"))), ranges
         )
-        out: list[list[np.ndarray]] = [[], [], [], [], []]
-        rows = texts.column(ROW).to_pylist()
+        out: list[tuple[int, int, bytes, bytes]] = []
+        numbers = texts.column("batch").to_pylist()
         hashes = word_hashes(texts.column("text").to_pylist()) if len(held) else []
-        for row, words in zip(rows, hashes):
+        for number, row, words in zip(numbers, texts.column(ROW).to_pylist(), hashes):
             places, heads = _anchors(words, least)
             if not len(places):
                 continue
             short = keycounts.short(heads, ranges)
             at = np.minimum(np.searchsorted(held, short), len(held) - 1)
-            shared = held[at] == short
-            places, heads = places[shared], heads[shared]
+            places = places[held[at] == short]
             if not len(places):
                 continue
-            # codes of words, never 0; zeros stand before and after the text
-            codes = np.maximum(words & np.uint64(0xFFFF), np.uint64(1)).astype(">u2")
-            padded = np.concatenate([np.zeros(head, ">u2"), codes, np.zeros(least, ">u2")])
-            near = np.lib.stride_tricks.sliding_window_view(padded, head + least)[places]
-            # the head is known from the key; what precedes is kept nearest first, so that its order is
-            # that of reversed texts
-            out[0].append(heads.view(np.int64))
-            out[1].append(np.ascontiguousarray(near[:, 2 * head :]))
-            out[2].append(np.ascontiguousarray(near[:, :head][:, ::-1]))
-            out[3].append(np.full(len(places), row))
-            out[4].append(places)
-
-        def fixed(parts: list[np.ndarray], words: int) -> pa.Array:
-            data = np.concatenate(parts).tobytes() if parts else b""
-            kind = pa.binary(2 * words)
-            return pa.Array.from_buffers(kind, len(data) // (2 * words), [None, pa.py_buffer(data)]).cast(pa.binary())
-
-        def whole(parts: list[np.ndarray]) -> pa.Array:
-            return pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
-
-        return pa.table(
-            {
-                "key": whole(out[0]),
-                "follows": fixed(out[1], least - head),
-                "precedes": fixed(out[2], head),
-                ROW: whole(out[3]),
-                "place": whole(out[4]),
-            }
-        )
+            # the split with 0 words before the head, with 1, and so on, as far as the text reaches
+            begins = np.zeros(len(words) - least + 2, np.int64)
+            last = len(words) - least
+            first = np.maximum(places - (least - head), 0)
+            ok = first <= last
+            np.add.at(begins, first[ok], 1)
+            np.add.at(begins, np.minimum(places[ok], last) + 1, -1)
+            starts = np.flatnonzero(np.cumsum(begins)[:-1] > 0)
+            found = ngrams(words, least)[starts]
+            out.append((number, row, starts.astype("<i4").tobytes(), found.astype("<u8").tobytes()))
+        columns = list(zip(*out)) if out else [[], [], [], []]
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        names = ("batch", ROW, "starts", "hashes")
+        return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds)})
+
+    return documents.groupBy("batch").cogroup(counted.groupBy("batch")).applyInArrow(run, _PASSAGES)
+
+
+def _sent_passages(passages: DataFrame, ranges: int) -> DataFrame:
+    """Distinct passages of each batch, with the number of documents that hold them."""
 
-    return documents.groupBy("batch").cogroup(counted.groupBy("batch")).applyInArrow(run, _SUFFIX)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = batch.column(0).to_numpy()
+            for number in np.unique(numbers):
+                blobs = batch.column(1).filter(pa.array(numbers == number)).to_pylist()
+                held = [np.unique(np.frombuffer(b, "<u8")) for b in blobs]
+                keys, counts = np.unique(np.concatenate(held), return_counts=True)
+                yield keycounts.batch_of(keycounts.sent(int(number), keys, counts, ranges, wide=True))
 
+    return passages.select("batch", "hashes").mapInArrow(run, keycounts.SENT)
 
-def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many words agree before the first that does not; absent words agree with nothing."""
-    same = (a == b) & (a != 0)
-    return np.where(same.all(axis=1), same.shape[1], same.argmin(axis=1))
 
+def _spans(passages: DataFrame, counted: DataFrame, least: int) -> DataFrame:
+    """Passages of each document that several hold; overlapping and touching ones as one span."""
 
-def _neighbours(table: pa.Table, least: int) -> pa.Table:
-    """Spans of words that a suffix shares with a neighbour of another document."""
-    key, row, place = (table.column(n).to_numpy() for n in ("key", ROW, "place"))
-    n = len(key)
-    follows = np.frombuffer(b"".join(table.column("follows").to_pylist()), ">u2").reshape(n, -1)
-    precedes = np.frombuffer(b"".join(table.column("precedes").to_pylist()), ">u2").reshape(n, -1)
-    head = least // 2  # equal keys are equal heads
-    after, before = (
-        np.array(table.column(c).to_pylist(), dtype=object) for c in ("follows", "precedes")
-    )
-    rows, starts, ends = [], [], []
-    for first, second in ((after, before), (before, after)):
-        order = np.array(
-            sorted(range(n), key=lambda i: (key[i], first[i], second[i], row[i], place[i])), np.int64
+    def run(table: pa.Table, came: pa.Table) -> pa.Table:
+        shared = np.unique(
+            np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(k, "<u8") for k in came.column("keys").to_pylist()]])
         )
-        k, r = key[order], row[order]
-        # the next suffix of another document; one document may hold a passage several times
-        new = np.flatnonzero((k[1:] != k[:-1]) | (r[1:] != r[:-1])) + 1
-        edge = np.concatenate([[0], new, [n]])
-        nxt = np.repeat(edge[1:], np.diff(edge))
-        last = np.repeat(edge[:-1], np.diff(edge)) - 1
-        for i, j in ((np.arange(n), nxt), (np.arange(n), last)):
-            ok = (j >= 0) & (j < n)
-            i, j = i[ok], j[ok]
-            i, j = i[k[i] == k[j]], j[k[i] == k[j]]
-            a, b = order[i], order[j]
-            right = head + _agreeing(follows[a], follows[b])
-            left = _agreeing(precedes[a], precedes[b])
-            good = left + right >= least
-            a, b, left, right = a[good], b[good], left[good], right[good]
-            for one in (a, b):
-                rows.append(row[one])
-                starts.append(place[one] - left)
-                ends.append(place[one] + right)
-    found = np.unique(
-        np.stack([np.concatenate(x).astype(np.int64) for x in (rows, starts, ends)], axis=1), axis=0
-    )
-    return pa.table({ROW: pa.array(found[:, 0]), "start": pa.array(found[:, 1]), "end": pa.array(found[:, 2])})
-
-
-def _united(marks: DataFrame) -> DataFrame:
-    """Overlapping and touching marks of a document as one span."""
-
-    def run(table: pa.Table) -> pa.Table:
-        row, start, end = (table.column(n).to_numpy() for n in (ROW, "start", "end"))
-        order = np.lexsort((end, start, row))
-        out: list[list[int]] = []
-        for r, a, b in zip(row[order].tolist(), start[order].tolist(), end[order].tolist()):
-            if out and out[-1][0] == r and a <= out[-1][2]:
-                out[-1][2] = max(out[-1][2], b)
-            else:
-                out.append([r, a, b])
-        columns = list(zip(*out)) if out else [[], [], []]
+        out: list[list[np.ndarray]] = [[], [], []]
+        fields = (table.column(n).to_pylist() for n in (ROW, "starts", "hashes"))
+        for row, starts, hashes in zip(*fields) if len(shared) else ():
+            hashes = np.frombuffer(hashes, "<u8")
+            at = np.minimum(np.searchsorted(shared, hashes), len(shared) - 1)
+            marked = np.frombuffer(starts, "<i4")[shared[at] == hashes].astype(np.int64)
+            if not len(marked):
+                continue
+            cut = np.flatnonzero(np.diff(marked) > least)
+            out[0].append(np.full(len(cut) + 1, row))
+            out[1].append(marked[np.concatenate([[0], cut + 1])])
+            out[2].append(marked[np.concatenate([cut, [len(marked) - 1]])] + least)
+        columns = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip((ROW, "start", "end"), columns)})
 
-    placed = marks.withColumn("batch", F.shiftright(ROW, BATCH_BITS))
-    return placed.groupBy("batch").applyInArrow(run, f"{ROW} long, start long, end long")
+    return passages.groupBy("batch").cogroup(counted.groupBy("batch")).applyInArrow(run, _SPANS)
 
 
 def shared_passages(written: DataFrame, least: int = LEAST) -> DataFrame:
     """(row, ``start``, ``end``) in words: passages of at least ``least`` words that other documents hold."""
-    words = written.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = keycounts.ranges_for(words // 60)
+    size = written.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = keycounts.ranges_for(size // 60)
     counted = keycounts.returned(_sent(written, least, ranges))
-    suffixes = _suffixes(written, counted, least, ranges)
-    order = ["key", "follows", "precedes", ROW, "place"]
-    suffixes = materialize(suffixes, "suffixes")
-    del counted  # the texts were shuffled for the suffixes, which are written now
+    passages = materialize(_passages(written, counted, least, ranges), "passages")
+    del counted  # the texts were shuffled for the passages, which are written now
     release(written.sparkSession)
-    dealt = materialize(
-        suffixes.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "suffix-order"
-    )
-    del suffixes
-    release(written.sparkSession)
-    # each part also gets the first suffix of the following one; a row for each part
-    first = dealt.groupBy("part").agg(F.min(F.struct(*order)).alias("f"))
-    ahead = first.select(F.lag("part").over(Window.orderBy("part")).alias("part"), "f").where("part is not null")
-    both = dealt.select("part", *order).unionByName(ahead.select("part", "f.*"))
-    marks = both.groupBy("part").applyInArrow(
-        lambda table: _neighbours(table, least), f"{ROW} long, start long, end long"
-    )
-    return _united(marks.distinct())
+    held = passages.agg(F.sum(F.octet_length("hashes"))).first()[0] or 0
+    shared = keycounts.returned(_sent_passages(passages, keycounts.ranges_for(held // 8)), wide=True)
+    return _spans(passages, shared, least)
 
 
 def repeated_spans(

@@ -97,3 +97,26 @@ def test_suffix_dedup(spark, texts):
     for key, text in rows:
         assert lengths[key] == len(reference.words(text)) - sum(b - a for a, b in got[key])
     assert suffix_dedup.repeated_spans(docs.where("false")).count() == 0
+
+
+def test_passages_that_end_in_a_frequent_head(spark):
+    """Pairs agree on 25 words before a head that all hold, and go on differently after it."""
+    from corpusloom.llm import shingles
+
+    rng = random.Random(8)
+    pool = [f"w{i}" for i in range(5_000)]
+    least = 2**64
+    while least > 2**64 // 3_000:  # a head that is the least of its window
+        head = [rng.choice(pool) for _ in range(25)]
+        least = int(shingles.mixed(shingles.ngrams(shingles.word_hashes([" ".join(head)])[0], 25))[0])
+    before = [[rng.choice(pool) for _ in range(25)] for _ in range(150)]
+    rows = [
+        (i, " ".join(before[i % 150] + head + [rng.choice(pool) for _ in range(30)])) for i in range(300)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.doc_id: [tuple(s) for s in r.spans] for r in suffix_dedup.repeated_spans(docs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == reference.repeated(rows) == {i: [(0, 50)] for i in range(300)}
