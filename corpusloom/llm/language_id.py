@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ BLOCK = 512  # characters of a text that are compressed at once: the dictionary
 LEVEL = 6
 HEAD = 256  # bytes of a dictionary before a very short text
 CLOSE = 1  # bytes between the two smallest sizes of a text of one block, up to which that is compared too
-PIECE = 1 << 15  # characters of one training text that may enter a dictionary
+PIECE = 1 << 15  # letters of one training text that may enter a dictionary
 MIN_MARGIN = 0.001  # the smallest two sizes are as good as equal
 _NO_LETTER = re.compile(r"[\W\d_]+")
 
@@ -52,41 +53,59 @@ def fit(
     """Fill a dictionary of at most ``dictionary_bytes`` per language with labelled texts.
 
     Texts are taken in the order of their hash: of each language, those hashes are read that hold about
-    four dictionaries of bytes, so a language of any size costs the same. Rows without text or language
-    do not count, repeated texts count once. More than ``max_languages`` languages are an error.
+    four dictionaries of bytes, then four times as many, until its dictionary is full or its texts are used
+    up. Rows without text or language do not count, repeated texts count once. A language none of whose
+    texts has a letter has no dictionary. More than ``max_languages`` languages are an error.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(language).isNotNull()).select(
         F.col(text).alias("t"), F.col(language).cast("string").alias("l")
     )
     placed = rows.withColumn("h", F.xxhash64("t"))
+    distinct = placed.groupBy("l", "h").agg(F.max(F.least(F.octet_length("t"), F.lit(PIECE))).alias("n"))
     sizes = {
-        r["l"]: r["n"]
-        for r in placed.groupBy("l").agg(F.sum(F.octet_length("t")).alias("n")).limit(max_languages + 1).collect()
+        r["l"]: r["n"] for r in distinct.groupBy("l").agg(F.sum("n").alias("n")).limit(max_languages + 1).collect()
     }
     if len(sizes) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
-    wanted = F.lit(False)
-    for name, size in sorted(sizes.items()):
-        share = min(1.0, 4 * dictionary_bytes / max(1, size))
-        limit = int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1
-        wanted = wanted | ((F.col("l") == name) & (F.col("h") <= limit))
-    # four dictionaries are expected; whole blocks of text, so that a very long one cannot take it all
-    pieces = (
-        placed.where(wanted)
-        .select("l", "h", F.substring("t", 1, PIECE).alias("t"))
-        .distinct()
-        .groupBy("l", "h")
-        .agg(F.min("t").alias("t"))
-    )
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [letters(t)[:PIECE] for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(parts, pa.string())], ["l", "h", "t"]
+            )
+
     filled: dict[str, list[bytes]] = {name: [] for name in sizes}
     left = dict.fromkeys(sizes, dictionary_bytes)
-    for row in pieces.orderBy("l", "h").toLocalIterator():
-        if left[row["l"]] <= 0:
-            continue
-        part = letters(row["t"]).encode()[: left[row["l"]]]
-        if part:
+    # four dictionaries are expected; parts of texts, so that a very long one cannot take it all
+    share = {name: min(1.0, 4 * dictionary_bytes / max(1, size)) for name, size in sizes.items()}
+    above = dict.fromkeys(sizes, -(2**63) - 1)  # hashes up to this one were read
+    short = sorted(sizes)
+    while short:
+        wanted = F.lit(False)
+        for name in short:
+            limit = int(-(2**63) + share[name] * (2**64 - 1)) if share[name] < 1 else 2**63 - 1
+            fresh_ones = F.col("h") <= limit
+            if above[name] >= -(2**63):
+                fresh_ones = fresh_ones & (F.col("h") > above[name])
+            wanted = wanted | ((F.col("l") == name) & fresh_ones)
+            above[name] = limit
+        pieces = (
+            placed.where(wanted)
+            .select("l", "h", "t")
+            .mapInArrow(spelled, "l string, h long, t string")
+            .where("t != ''")
+            .groupBy("l", "h")
+            .agg(F.min("t").alias("t"))
+        )
+        for row in pieces.orderBy("l", "h").toLocalIterator():
+            if left[row["l"]] <= 0:
+                continue
+            part = row["t"].encode()[: left[row["l"]]]
             filled[row["l"]].append(part)
             left[row["l"]] -= len(part) + 1
+        short = [name for name in short if left[name] > 0 and share[name] < 1]
+        share.update({name: min(1.0, 4 * share[name]) for name in short})
     return LanguageModel({name: b" ".join(parts) for name, parts in sorted(filled.items()) if parts})
 
 

@@ -46,6 +46,26 @@ def test_language_edges(spark, labelled):
     assert language_id.identify(odd.where("false"), model).count() == 0
 
 
+def test_dictionaries_take_texts_until_full(spark):
+    rng = random.Random(6)
+
+    def prose(signs, n):
+        return " ".join("".join(rng.choice(signs) for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    hidden = "7 " * 40_000 + prose("rst", 5_000)  # letters after a long stretch without any
+    rows = [(f"{i} " + prose("abcde", 200_000), "long") for i in range(6)]  # a few long texts
+    rows += [(f"{i} " + prose("fghij", 150), "mixed") for i in range(400)] + [(prose("fghij", 600_000), "mixed")] * 8
+    rows += [("1 " * 20_000 + str(i), "digits") for i in range(40)] + [(prose("klmno", 2_000), "digits")]
+    rows += [(hidden, "hidden"), ("12 34", "none"), (None, "none")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = language_id.fit(docs, dictionary_bytes=20_000)
+    held = {name: len(d) for name, d in model.dictionaries.items()}
+    assert set(held) == {"long", "mixed", "digits", "hidden"}
+    assert all(held[name] >= 19_990 for name in ("long", "mixed", "hidden")) and held["digits"] > 10_000
+    again = language_id.fit(docs.repartition(7), dictionary_bytes=20_000)
+    assert again == model
+
+
 def test_base_spans(spark, labelled):
     rng = random.Random(1)
     signs = "a1 2@.-+()9 5%_é😀\n"
