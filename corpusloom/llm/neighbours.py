@@ -5,10 +5,11 @@ together along random directions. Each round then joins every node with its neig
 and compares these with each other: a neighbour of a neighbour is kept where it is nearer than the farthest
 neighbour so far. Queries walk the graph together, one join for a step of all of them: of the nearest nodes
 seen, those not yet visited send their neighbours, until the ``beam`` nearest are all visited. The nearest
-found are compared again on the original vectors in double precision.
+found are scored again on the vectors as they are.
 
 Nodes are dealt to tasks by hash into buckets of bounded size; graph, vectors and requests meet there as
-arrays. Vectors travel as bytes, one to a component; no table of vectors is sent to the driver or all tasks.
+arrays. Graph and walk compare unit vectors in double precision, so that nearly equal vectors stay apart; no
+table of vectors is sent to the driver or all tasks.
 """
 
 from __future__ import annotations
@@ -30,10 +31,10 @@ BLOCK = 512
 ROUNDS = 4
 BEAM = 256
 STEPS = 24  # a bound on the walk, which ends by itself long before
-BUCKET = 2_048  # nodes of a bucket
-FINAL = 32  # nearest found nodes that are compared in double precision
+BUCKET = 2_048 * 64  # components of the vectors of a bucket
+FINAL = 32  # nearest found nodes whose scores are computed on the vectors as they are
 
-_EDGES = "a long, b long, s float"
+_EDGES = "a long, b long, s double"
 _PACKED = "bucket int, a binary, b binary, s binary"
 
 
@@ -69,15 +70,13 @@ def _hash_bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _coded(vectors: np.ndarray) -> np.ndarray:
-    """Direction of each vector, one signed byte to a component."""
-    top = np.abs(vectors).max(axis=1, keepdims=True)
-    scaled = vectors / top
-    return np.rint(scaled * 127).astype(np.int8)
+    """Direction of each vector, of length 1."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype("<f8")
 
 
 def _units(blobs: list[bytes]) -> np.ndarray:
-    codes = np.frombuffer(b"".join(blobs), np.int8).reshape(len(blobs), -1).astype(np.float32)
-    return codes / np.linalg.norm(codes, axis=1, keepdims=True)
+    return np.frombuffer(b"".join(blobs), "<f8").reshape(len(blobs), -1)
 
 
 def _best(a: np.ndarray, b: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -107,14 +106,14 @@ def _packed(a: np.ndarray, b: np.ndarray, s: np.ndarray, buckets: int) -> pa.Tab
             "bucket": pa.array([int(to[i]) for i, _ in spans], pa.int32()),
             "a": pa.array([a[i:j].astype("<i8").tobytes() for i, j in spans], pa.binary()),
             "b": pa.array([b[i:j].astype("<i8").tobytes() for i, j in spans], pa.binary()),
-            "s": pa.array([s[i:j].astype("<f4").tobytes() for i, j in spans], pa.binary()),
+            "s": pa.array([s[i:j].astype("<f8").tobytes() for i, j in spans], pa.binary()),
         }
     )
 
 
 def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     out = []
-    for name, kind in (("a", "<i8"), ("b", "<i8"), ("s", "<f4")):
+    for name, kind in (("a", "<i8"), ("b", "<i8"), ("s", "<f8")):
         blobs = table.column(name).to_pylist()
         out.append(np.frombuffer(b"".join(blobs), kind))
     return out[0], out[1], out[2]
@@ -130,7 +129,8 @@ def nodes_of(rows: DataFrame, vector: str) -> tuple[DataFrame, int, int]:
     distinct = rows.groupBy(F.col(vector).alias("vec")).agg(F.min(ROW).alias("node"))
     distinct = materialize(distinct, "vectors")
     count = distinct.count()
-    buckets = max(8, -(-count // BUCKET))
+    length = distinct.agg(F.max(F.size("vec"))).first()[0] or 1
+    buckets = max(8, -(-count * length // BUCKET))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,7 +230,7 @@ def _round(nodes: DataFrame, graph: DataFrame, buckets: int, number: int) -> Dat
         .distinct()
     )
     farthest = graph.groupBy(F.col("a").alias("node")).agg(
-        F.when(F.count("*") >= NEIGHBOURS, F.min("s")).otherwise(F.lit(-2.0)).cast("float").alias("far")
+        F.when(F.count("*") >= NEIGHBOURS, F.min("s")).otherwise(F.lit(-2.0)).cast("double").alias("far")
     )
     known = nodes.join(farthest, "node").select(F.col("node").alias("u"), "code", "far")
 
@@ -257,7 +257,7 @@ def _round(nodes: DataFrame, graph: DataFrame, buckets: int, number: int) -> Dat
 
 
 def build_graph(nodes: DataFrame, buckets: int, seed: int = 7, rounds: int = ROUNDS) -> DataFrame:
-    """(``a``, ``b``, ``s``): each node's nearest neighbours found and their nearness by coded vectors."""
+    """(``a``, ``b``, ``s``): each node's nearest neighbours found and their nearness."""
     graph = materialize(_kept(None, _first_neighbours(nodes, buckets, seed)), "graph")
     for number in range(rounds):
         graph = materialize(_round(nodes, graph, buckets, number), "graph")
@@ -301,7 +301,7 @@ def _walk(nodes: DataFrame, graph: DataFrame, queries: DataFrame, buckets: int,
         for batch in batches:
             rows = []
             for q, code, ids, s, seen in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                i, x = np.frombuffer(ids, "<i8"), np.frombuffer(s, "<f4")
+                i, x = np.frombuffer(ids, "<i8"), np.frombuffer(s, "<f8")
                 new = i[np.argsort(-x, kind="stable")[:beam]]
                 new = np.setdiff1d(new, np.frombuffer(seen, "<i8"))
                 to = _hash_bucket(new, buckets)
@@ -323,13 +323,11 @@ def _walk(nodes: DataFrame, graph: DataFrame, queries: DataFrame, buckets: int,
             if not places:
                 continue
             b = np.frombuffer(b"".join([ids[p] for p in places]), "<i8")
-            block = np.frombuffer(b"".join([codes[p] for p in places]), np.int8).reshape(len(b), -1)
+            block = np.frombuffer(b"".join([codes[p] for p in places]), "<f8").reshape(len(b), -1)
             b, first = np.unique(b, return_index=True)
-            block = block[first].astype(np.float32)
-            mine = np.frombuffer(code, np.int8).astype(np.float32)
-            s = block @ mine / (np.linalg.norm(block, axis=1) * np.linalg.norm(mine))
+            s = block[first] @ np.frombuffer(code, "<f8")
             other = b != q
-            out.append((q, b[other].astype("<i8").tobytes(), s[other].astype("<f4").tobytes()))
+            out.append((q, b[other].astype("<i8").tobytes(), s[other].astype("<f8").tobytes()))
         columns = list(zip(*out)) if out else [[], [], []]
         kinds = (pa.int64(), pa.binary(), pa.binary())
         return pa.table({n: pa.array(c, k) for n, c, k in zip(("q", "ids", "s"), columns, kinds)})
@@ -342,19 +340,19 @@ def _walk(nodes: DataFrame, graph: DataFrame, queries: DataFrame, buckets: int,
         out = []
         fields = ("bucket", "q", "code", "ids", "s", "seen")
         for bucket, q, code, ids, s, seen in zip(*(state.column(n).to_pylist() for n in fields)):
-            i, x, v = np.frombuffer(ids, "<i8"), np.frombuffer(s, "<f4"), np.frombuffer(seen, "<i8")
+            i, x, v = np.frombuffer(ids, "<i8"), np.frombuffer(s, "<f8"), np.frombuffer(seen, "<i8")
             asked = np.setdiff1d(i[np.argsort(-x, kind="stable")[:beam]], v)
             v = np.union1d(v, asked)
             more = came.get(q, [])
             i = np.concatenate([i, *[np.frombuffer(m[0], "<i8") for m in more]])
-            x = np.concatenate([x, *[np.frombuffer(m[1], "<f4") for m in more]])
+            x = np.concatenate([x, *[np.frombuffer(m[1], "<f8") for m in more]])
             i, first = np.unique(i, return_index=True)
             x = x[first]
             order = np.argsort(-x, kind="stable")[: 2 * beam]  # what is farther can never be visited
             i, x = i[order], x[order]
             left = len(np.setdiff1d(i[:beam], v)) > 0
             out.append(
-                (bucket, q, code, i.astype("<i8").tobytes(), x.astype("<f4").tobytes(), v.astype("<i8").tobytes(), left)
+                (bucket, q, code, i.astype("<i8").tobytes(), x.astype("<f8").tobytes(), v.astype("<i8").tobytes(), left)
             )
         kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.bool_())
         columns = list(zip(*out)) if out else [[] for _ in kinds]
@@ -372,7 +370,7 @@ def _walk(nodes: DataFrame, graph: DataFrame, queries: DataFrame, buckets: int,
             {
                 "q": pa.array(a[first]),
                 "ids": pa.array([b[i:j].astype("<i8").tobytes() for i, j in spans], pa.binary()),
-                "s": pa.array([s[i:j].astype("<f4").tobytes() for i, j in spans], pa.binary()),
+                "s": pa.array([s[i:j].astype("<f8").tobytes() for i, j in spans], pa.binary()),
             }
         )
 
@@ -452,7 +450,7 @@ def search(
         for batch in batches:
             q, node = [], []
             for one, ids, s in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                i, x = np.frombuffer(ids, "<i8"), np.frombuffer(s, "<f4")
+                i, x = np.frombuffer(ids, "<i8"), np.frombuffer(s, "<f8")
                 best = i[np.argsort(-x, kind="stable")[: max(FINAL, 2 * k)]].tolist()
                 q += [one] * len(best)
                 node += best

@@ -173,3 +173,17 @@ def test_neighbours(spark):
             scores = dict(want[q])
             assert all(abs(scores.get(v, s) - s) < 1e-12 for _, v, s in held)
     assert neighbours.search(base.where("false"), F.lit(True)).count() == 0
+
+
+def test_neighbours_among_nearly_equal_vectors(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(0, 1e-4, (1_500, 12))
+    x[:, 0] = 1.0  # one component dominates, the others differ by less than a byte shows
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.search(vectors, F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = _nearest(rows)
+    assert got.keys() == want.keys()
+    assert sum(len(got[q] & {v for v, _ in w}) for q, w in want.items()) >= 0.95 * 5 * len(want)
