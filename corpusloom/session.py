@@ -149,7 +149,7 @@ def spread(scan: DataFrame, max_bytes: int = SPREAD_BYTES) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     plan = scan._jdf.queryExecution()
-    if int(plan.optimizedPlan().stats().sizeInBytes().toString()) > max_bytes:
+    if int(str(plan.optimizedPlan().stats().sizeInBytes())) > max_bytes:
         return scan
     if plan.toRdd().getNumPartitions() >= cores:
         return scan
