@@ -18,6 +18,7 @@ from corpusloom.llm import (
     neighbours,
     packing,
     pii,
+    quality_rules,
     sharding,
     suffix_dedup,
 )
@@ -175,3 +176,75 @@ def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
 def op10_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _table(spark, sf, "embeddings").select("vec_id", "embedding")
     return neighbours.search(vectors, F.col("vec_id") % 50 == 0)
+
+
+def _sql_fences() -> str:
+    """Fences of each language and source, read from counts of the leading bits of each measure."""
+    bits = quality_rules.PRECISION
+    least = " ".join(f"WHEN '{m}' THEN {v}" for m, v in quality_rules.SLACK.items())
+    levels = []
+    for depth, by in ((2, "lang, source"), (1, "lang"), (0, "")):
+        names = f"{by}," if by else ""
+        enough = quality_rules.MIN_GROUP if depth else 0
+        levels.append(f"""
+cum{depth} AS (SELECT {names} measure, bucket, sum(n) OVER (PARTITION BY {names} measure ORDER BY bucket) AS upto,
+  sum(n) OVER (PARTITION BY {names} measure) AS total
+  FROM (SELECT {names} measure, bucket, sum(n) AS n FROM sketch GROUP BY {names} measure, bucket)),
+q{depth} AS (SELECT {names} measure, max(total) AS total,
+  min(CASE WHEN upto >= (total * {quality_rules.OUTER} + 999) // 1000 THEN bucket END) AS low,
+  min(CASE WHEN upto >= (total * 500 + 999) // 1000 THEN bucket END) AS mid,
+  min(CASE WHEN upto >= (total * {1000 - quality_rules.OUTER} + 999) // 1000 THEN bucket END) AS high
+  FROM cum{depth} GROUP BY {names} measure),
+f{depth} AS (SELECT {names} measure,
+  low - {quality_rules.REACH} * greatest(mid - low, CASE measure {least} END) AS lo,
+  high + {quality_rules.REACH} * greatest(high - mid, CASE measure {least} END) AS hi
+  FROM q{depth} WHERE total >= {enough}),""")
+    return f"""
+sketch AS (SELECT lang, source, measure, CASE WHEN length(bin(v)) <= {bits} THEN v
+    ELSE v - v % (1::BIGINT << (length(bin(v)) - {bits})) END AS bucket, count(*) AS n
+  FROM measures WHERE v IS NOT NULL GROUP BY ALL),
+{"".join(levels)}
+fence AS (SELECT s.lang, s.source, s.measure, CASE WHEN a.measure IS NOT NULL THEN a.lo
+    WHEN b.measure IS NOT NULL THEN b.lo ELSE c.lo END AS lo, CASE WHEN a.measure IS NOT NULL THEN a.hi
+    WHEN b.measure IS NOT NULL THEN b.hi ELSE c.hi END AS hi
+  FROM (SELECT DISTINCT lang, source, measure FROM sketch) s
+  LEFT JOIN f2 a ON a.lang IS NOT DISTINCT FROM s.lang AND a.source IS NOT DISTINCT FROM s.source
+    AND a.measure = s.measure
+  LEFT JOIN f1 b ON b.lang IS NOT DISTINCT FROM s.lang AND b.measure = s.measure
+  JOIN f0 c ON c.measure = s.measure)"""
+
+
+@_query(
+    rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+w AS MATERIALIZED (SELECT i, regexp_extract_all(t, '[^ 	-]+') AS w FROM d),
+places AS (SELECT i, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS run
+  FROM (SELECT i, w, unnest(generate_series(1, len(w) - 2)) AS p FROM w WHERE len(w) > 2)),
+again AS (SELECT i, p FROM (SELECT i, p, count(*) OVER (PARTITION BY i, run) AS times FROM places)
+  WHERE times > 1),
+covered AS (SELECT i, count(DISTINCT q) AS n FROM (SELECT i, unnest([p, p + 1, p + 2]) AS q FROM again) GROUP BY i),
+lines AS (SELECT i, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS x FROM d),
+counts AS MATERIALIZED (SELECT d.i, doc_id, lang, source, len(w) AS n_words,
+  length(regexp_replace(t, '[ 	-]', '', 'g')) AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+  len(x) - len(list_distinct(x)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, len(x) AS n_lines
+  FROM d JOIN w ON w.i = d.i JOIN lines ON lines.i = d.i LEFT JOIN covered ON covered.i = d.i),
+measures AS MATERIALIZED (SELECT i, lang, source, unnest(['word_length', 'symbol_share', 'dup_share', 'repeat_share'])
+    AS measure, unnest([word_chars * 100 // n_words, n_symbols * 10000 // word_chars,
+    n_dup_lines * 10000 // n_lines, n_repeat_words * 10000 // n_words]) AS v FROM counts WHERE n_words > 0),
+{_sql_fences()},
+outside AS (SELECT i, count(*) AS n FROM measures m JOIN fence f ON f.lang IS NOT DISTINCT FROM m.lang
+    AND f.source IS NOT DISTINCT FROM m.source AND f.measure = m.measure
+  WHERE v > hi OR v < lo AND m.measure = 'word_length' GROUP BY i)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND outside.n IS NULL AS kept
+FROM counts LEFT JOIN outside ON outside.i = counts.i
+"""
+)
+def op11_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document judged by the fences of its language and source."""
+    judged = quality_rules.judge(_table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
+    counts = [c for c in quality_rules.COUNTS if c != "n_lines"]
+    return judged.select("doc_id", *counts, "base_failed", "kept")

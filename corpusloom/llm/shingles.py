@@ -31,7 +31,7 @@ def _powers(n: int, base: np.uint64) -> np.ndarray:
         return np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(0, n - 1), base)]), dtype=np.uint64)[:n]
 
 
-def _hashed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def hashed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of each word of lower-cased bytes."""
     b = np.frombuffer(data, np.uint8)
     word = np.zeros(len(b) + 2, bool)
@@ -59,7 +59,7 @@ def word_hashes(texts: Sequence[str | None]) -> list[np.ndarray]:
     def flush() -> None:
         if not part:
             return
-        hashes, starts = _hashed(b"\n".join(part))
+        hashes, starts = hashed(b"\n".join(part))
         ends = np.cumsum([len(p) + 1 for p in part])
         out.extend(np.split(hashes, np.searchsorted(starts, ends[:-1])))
         part.clear()
