@@ -55,7 +55,7 @@ def read_vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
     return ranks, special
 
 
-class _Pieces(dict):
+class Pieces(dict):
     """Token ids, as bytes, of a space and the word after it."""
 
     def __init__(self, encoding: tiktoken.Encoding):
@@ -114,7 +114,7 @@ def token_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, special = sent.value
-        pieces = _Pieces(
+        pieces = Pieces(
             tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
         )
         for batch in batches:

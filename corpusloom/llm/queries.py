@@ -20,7 +20,9 @@ from corpusloom.llm import (
     pii,
     quality_rules,
     sharding,
+    spelling_variants,
     suffix_dedup,
+    token_alignment,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,15 +220,18 @@ fence AS (SELECT s.lang, s.source, s.measure, CASE WHEN a.measure IS NOT NULL TH
     rf"""
 WITH d AS MATERIALIZED (
   SELECT row_number() OVER () AS i, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
-w AS MATERIALIZED (SELECT i, regexp_extract_all(t, '[^ 	-]+') AS w FROM d),
+w AS MATERIALIZED (SELECT i, regexp_extract_all(t, '[^ 	-
+]+') AS w FROM d),
 places AS (SELECT i, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS run
   FROM (SELECT i, w, unnest(generate_series(1, len(w) - 2)) AS p FROM w WHERE len(w) > 2)),
 again AS (SELECT i, p FROM (SELECT i, p, count(*) OVER (PARTITION BY i, run) AS times FROM places)
   WHERE times > 1),
 covered AS (SELECT i, count(DISTINCT q) AS n FROM (SELECT i, unnest([p, p + 1, p + 2]) AS q FROM again) GROUP BY i),
-lines AS (SELECT i, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS x FROM d),
+lines AS (SELECT i, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS x FROM d),
 counts AS MATERIALIZED (SELECT d.i, doc_id, lang, source, len(w) AS n_words,
-  length(regexp_replace(t, '[ 	-]', '', 'g')) AS word_chars,
+  length(regexp_replace(t, '[ 	-
+]', '', 'g')) AS word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
   len(x) - len(list_distinct(x)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, len(x) AS n_lines
   FROM d JOIN w ON w.i = d.i JOIN lines ON lines.i = d.i LEFT JOIN covered ON covered.i = d.i),
@@ -248,3 +253,21 @@ def op11_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality_rules.judge(_table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
     counts = [c for c in quality_rules.COUNTS if c != "n_lines"]
     return judged.select("doc_id", *counts, "base_failed", "kept")
+
+
+@_query()
+def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    groups = F.col("groups")
+    digest = F.when(groups == "", F.lit("")).otherwise(F.sha2(groups.cast("binary"), 256))
+    return token_alignment.align(
+        _table(spark, sf, "documents").select("doc_id", "text"),
+        _tokenizer("byte_bpe_50k.json"),
+        _tokenizer("piece_bpe_32k.model"),
+        outputs={"groups_sha256": digest},
+    )
+
+
+@_query()
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return spelling_variants.spelling_groups(spelling_variants.word_counts(docs))
