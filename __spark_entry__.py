@@ -23,6 +23,7 @@ from corpusloom.operators import (  # noqa: E402
     bpe,
     classifier,
     encode,
+    fit,
     metrics,
     ordering,
     results,
@@ -240,6 +241,26 @@ def resplit(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.resplit(rows, ["doc_id"], train_ratio=0.9)
 
 
+@_query(
+    f"WITH {_LABELED}, sized AS (SELECT count(*) AS n FROM lab), "
+    "cuts AS (SELECT n, CAST(floor(0.9::DOUBLE * n) AS BIGINT) AS a, "
+    f"CAST({_SECOND_CUT} AS BIGINT) AS b FROM sized) "
+    "SELECT 'train' AS part, a AS rows FROM cuts UNION ALL SELECT 'validation', b - a FROM cuts "
+    "UNION ALL SELECT 'test', n - b FROM cuts UNION ALL "
+    "SELECT md5(text) || ':' || label, count(*) FROM lab GROUP BY ALL"
+)
+def resplit_pool(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without a key, copies among them, from the CSV files of three splits: sizes of the new splits,
+    and how often they hold each row."""
+    path = scratch_path(spark, "pool")
+    tabular.write_splits_csv(_split(spark, sf), path, ["text", "label"])
+    folders = [f"{path}/split={s}" for s in sampling.SPLITS] + [f"{path}/missing"]
+    rows = labeled.resplit_pool(spark, folders, train_ratio=0.9)
+    sizes = rows.groupBy(F.col("split").alias("part")).agg(F.count("*").alias("rows"))
+    row = F.concat_ws(":", F.md5("text"), F.col("label").cast("string"))
+    return sizes.unionByName(rows.groupBy(row.alias("part")).agg(F.count("*").alias("rows")))
+
+
 @_query(
     f"WITH {_SPLIT} SELECT split, label, count(*) AS rows, "
     "round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM parts), 6) AS percent "
@@ -1202,6 +1223,40 @@ def classifier_samples(spark: SparkSession, sf: str) -> DataFrame:
     return report.select("split", "samples")
 
 
+_FIT = fit.FitOptions(features=1 << 12, batch_size=64, epochs=2, evaluate_every=20)
+
+
+@_query(
+    f"WITH {_SPLIT}, n AS (SELECT count(*) FILTER (split = 'train') AS n FROM parts), "
+    f"steps AS (SELECT n, unnest(generate_series(1, CAST(ceil(n / {_FIT.batch_size}) AS BIGINT) * {_FIT.epochs})) AS step, "
+    f"CAST(ceil(n / {_FIT.batch_size}) AS BIGINT) AS per_epoch FROM n) "
+    f"SELECT step, (step - 1) // per_epoch AS epoch, CASE WHEN step % per_epoch = 0 AND n % {_FIT.batch_size} > 0 "
+    f"THEN n % {_FIT.batch_size} ELSE {_FIT.batch_size} END AS rows, "
+    f"step % {_FIT.evaluate_every} = 0 OR step = per_epoch * {_FIT.epochs} AS evaluated FROM steps"
+)
+def classifier_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """Pool, split, fit and log: the steps that a fit takes, the rows of each and where it evaluates.
+
+    The fit is stopped half way and gone on with from its written state.
+    """
+    rows = _split(spark, sf, _labeled_texts)
+    train, held_out = (rows.where(F.col("split") == s) for s in ("train", "validation"))
+    path = scratch_path(spark, "fit")
+    fit.fit_steps(train, held_out, ["doc_id"], path, options=_FIT, stop_after=_FIT.evaluate_every + 5)
+    log = fit.fit_steps(train, held_out, ["doc_id"], path, options=_FIT).log
+    return log.select("step", "epoch", "rows", F.col("eval_accuracy").isNotNull().alias("evaluated"))
+
+
+@_query()
+def classifier_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Loss and evaluations of every step, the best step, and the report of its state for each split."""
+    rows = _split(spark, sf, _labeled_texts)
+    trained = labeled.train_with_history(rows, ["doc_id"], scratch_path(spark, "fit"), options=_FIT)
+    record = trained.record.select(F.struct("best_step", "test_accuracy", "test_loss").alias("r")).scalar()
+    points = F.arrays_zip("steps", "epoch", "loss", "running_mean", "eval_loss", "eval_accuracy")
+    return trained.history.select(F.inline(points)).withColumn("r", record).select("*", "r.*").drop("r")
+
+
 # --- training log -----------------------------------------------------------------------------------
 
 

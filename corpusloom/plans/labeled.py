@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.arrays import attention_mask, fit_length
 from corpusloom.functions.text import pretokenize
+from corpusloom.operators import traininglog
 from corpusloom.operators.bpe import CLASSIFIER_SPECIALS, BpeTokenizer, train_bpe, word_counts
 from corpusloom.operators.classifier import (
     classification_report,
@@ -18,10 +19,12 @@ from corpusloom.operators.classifier import (
     score,
 )
 from corpusloom.operators.encode import encode_column, max_token_length
-from corpusloom.operators.results import build_metadata
-from corpusloom.operators.sampling import balanced_sample, ratio_split
+from corpusloom.operators.fit import FitOptions, Fitted, fit_steps, predict
+from corpusloom.operators.results import build_metadata, results_record
+from corpusloom.operators.sampling import balanced_sample, ratio_split, resplit
 from corpusloom.session import cut_lineage
-from corpusloom.sources.tabular import write_record, write_splits_csv
+from corpusloom.sources import pool
+from corpusloom.sources.tabular import LABELED, write_record, write_splits_csv
 
 
 @dataclass(frozen=True)
@@ -84,6 +87,23 @@ def write_prepared(corpus: PreparedCorpus, path: str, columns: Sequence[str] = (
     write_record(corpus.metadata, f"{path}/metadata")
 
 
+def resplit_pool(
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: str = LABELED,
+    train_ratio: float = 0.95,
+    seed: int = 42,
+    require_any: bool = True,
+) -> DataFrame:
+    """The CSV files of earlier splits as one pool, split anew by position in a seeded shuffle.
+
+    The rows need no key: equal rows are told apart by file and row number, so that the sizes of the parts
+    are exact whatever the copies. Adds ``row_file``, ``row_number`` and ``split``.
+    """
+    rows = pool.read_pool(spark, paths, schema, require_any)
+    return resplit(rows, [pool.FILE, pool.ROW], seed, train_ratio)
+
+
 def split_word_report(
     df: DataFrame, keys: Sequence[str], text: str, label: str, per_class: int, seed: int = 42
 ) -> DataFrame:
@@ -124,11 +144,68 @@ def train_and_report(df: DataFrame, text: str = "text", label: str = "label", **
     return report.agg(*columns).withColumn("num_parameters", F.lit(parameter_count(model)))
 
 
+@dataclass(frozen=True)
+class TrainedClassifier:
+    """A fit, the step its best evaluation came after, the report of that state, history and record."""
+
+    fitted: Fitted
+    best_step: int
+    report: DataFrame
+    history: DataFrame
+    record: DataFrame
+
+
+def train_with_history(
+    df: DataFrame,
+    keys: Sequence[str],
+    path: str,
+    text: str = "text",
+    label: str = "label",
+    options: FitOptions | None = None,
+    metric: str = "eval_accuracy",
+    stop_after: int | None = None,
+) -> TrainedClassifier:
+    """Fit on the train split with a logged history, keep the state that evaluates best, report every split.
+
+    Evaluations are of the validation split. States and log stay below ``path``, from where a stopped run
+    goes on. The history has the running mean of the loss in each epoch beside the steps' own values; the
+    record holds the sizes, the options, the best step and its value.
+    """
+    options = options or FitOptions()
+    df = cut_lineage(df.select(*keys, text, label, "split"))
+    part = {s: df.where(F.col("split") == s) for s in ("train", "validation")}
+    fitted = fit_steps(part["train"], part["validation"], keys, path, text, label, options, stop_after)
+    best = traininglog.best_checkpoint(fitted.log, "step", metric, greater_is_better=metric != "eval_loss")
+    found = best.first()
+    if found is None or found["step"] is None:
+        raise ValueError("no step was evaluated")
+    scored = predict(df.where(F.col(label).isNotNull()), fitted.at(found["step"]), text)
+    report = cut_lineage(classification_report(scored, label))
+    running = traininglog.running_epoch_mean(fitted.log, "epoch", "step", "loss")
+    history = traininglog.history(running, "step", ["epoch", "loss", "running_mean", "eval_loss", "eval_accuracy"])
+    sizes = report.agg(
+        *[
+            F.max(F.when(F.col("split") == s, F.col(c))).alias(f"{s}_{c}")
+            for s in ("train", "validation", "test")
+            for c in ("samples", "loss", "accuracy")
+        ],
+    ).withColumns({"best_step": F.lit(found["step"]), f"best_{metric}": F.lit(found["value"])})
+    architecture = {
+        name: F.lit(getattr(options, name))
+        for name in ("features", "classes", "batch_size", "epochs", "learning_rate", "evaluate_every")
+    }
+    record = results_record(sizes, nested={"architecture": architecture})
+    return TrainedClassifier(fitted, found["step"], report, history, record)
+
+
 __all__ = [
     "PreparedCorpus",
+    "TrainedClassifier",
     "fit_shape",
     "prepare_labeled_corpus",
+    "resplit_pool",
     "split_word_report",
     "train_and_report",
+    "train_with_history",
     "write_prepared",
 ]

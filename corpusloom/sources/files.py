@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a path or glob pattern matches."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
+    return [] if found is None else [status.getPath().toString() for status in found]
+
+
 def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """The given paths and glob patterns that match something, in the given order."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    found = []
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        hits = p.getFileSystem(conf).globStatus(p)
-        if hits is not None and len(hits) > 0:
-            found.append(path)
-    return found
+    return [path for path in paths if matching(spark, path)]
+
+
+def below(spark: SparkSession, path: str, file: Column) -> Column:
+    """A file's path below a given path, or below the last folder before the first wildcard of a pattern."""
+    fixed = path
+    for mark in "*?[{":
+        if mark in fixed:
+            fixed = fixed[: fixed.index(mark)].rpartition("/")[0]
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(fixed)
+    root = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place)
+    # Hadoop writes file:/ or file:/// for one and the same, and both encode odd characters
+    whole = F.regexp_replace(file, "^([a-z0-9]+):/+", "$1:/")
+    start = re.sub("^([a-z0-9]+):/+", r"\1:/", root.toUri().toString())
+    return F.when(F.startswith(whole, F.lit(start)), F.substr(whole, F.lit(len(start) + 2))).otherwise(whole)
 
 
 def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
