@@ -5,7 +5,9 @@
    is at most one edit of its reduced word, so that all words one edit away reduce to something in its
    full one-edit neighbourhood: itself and every deletion, insertion and replacement of a symbol.
 3. The neighbourhoods are joined with the reduced vocabulary, and what meets is verified on the words
-   themselves. Reduced words travel as 64-bit numbers, whose collisions the verification drops too.
+   themselves. Reduced words travel as 64-bit numbers, whose collisions the verification drops too. Most of
+   a neighbourhood is no word's: a bitmap of the reduced vocabulary, of one size whatever the vocabulary,
+   keeps it from being sent. A fuller bitmap lets more pass and changes no result.
 4. A word's form is its most frequent near word, if that is frequent enough; roots are found by following
    forms to the last in doubling steps.
 
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.shingles import mixed
 from corpusloom.session import materialize
 
 RUN = re.compile("[a-zÀ-ÿ]+")  # fixed value, of lower-cased text
@@ -33,7 +36,9 @@ MIN_COUNT = 3  # occurrences of a word
 MARGIN = 2  # times a word's count that its form has at least
 DAMAGE = 97  # one in so many pairs of document and run loses a code point
 MIN_SYMBOLS = 4
-SENT_ROWS = 1 << 20  # neighbours sent at once
+TOGETHER = 1 << 20  # neighbours worked out at once
+BITMAP_BITS = 26  # the bitmap of reduced words has 2 ** 26 bits: 8 MiB
+_CHUNK_BITS = 15  # and is put together in parts of 2 ** 15
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2 ** 64
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -164,24 +169,59 @@ def _reduced_numbers(words: DataFrame, alphabet: int) -> DataFrame:
     return words.select("word", "n").mapInArrow(run, "near string, near_n long, number long")
 
 
-def _neighbours(words: DataFrame, alphabet: int) -> DataFrame:
-    """(``word``, ``number``) of every word's neighbourhood, each number once for a word."""
+def _places(numbers: np.ndarray) -> np.ndarray:
+    """The bit of each number."""
+    return (mixed(numbers) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def bitmap_of(reduced_words: DataFrame) -> np.ndarray:
+    """A bit for each ``number`` there is; the parts are put together by groups, the whole by the driver."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(_places(batch.column(0).to_numpy().view(np.uint64)))
+            chunk, place = at >> _CHUNK_BITS, at & ((1 << _CHUNK_BITS) - 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(chunk.astype(np.int32)), pa.array(place.astype(np.int32))], ["chunk", "place"]
+            )
+
+    def filled(rows: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << _CHUNK_BITS, bool)
+        bits[rows.column("place").to_numpy()] = True
+        return pa.table({"chunk": rows.column("chunk").slice(0, 1), "bits": [np.packbits(bits).tobytes()]})
+
+    at = reduced_words.select("number").mapInArrow(places, "chunk int, place int").distinct()
+    whole = np.zeros((1 << (BITMAP_BITS - _CHUNK_BITS), 1 << (_CHUNK_BITS - 3)), np.uint8)
+    for row in at.groupBy("chunk").applyInArrow(filled, "chunk int, bits binary").toLocalIterator():
+        whole[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
+    return whole.reshape(-1)
+
+
+def _neighbours(words: DataFrame, alphabet: int, bitmap: np.ndarray) -> DataFrame:
+    """(``word``, ``number``) of every word's neighbourhood, each number once, without those of no word."""
+    sent = words.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sent.value
         for batch in batches:
             held = batch.column(0).to_pylist()
             for at, points in _by_length(held):
                 length = points.shape[1]
-                each = max(1, SENT_ROWS // (2 * (length + 1) * alphabet + length))
+                each = max(1, TOGETHER // (2 * (length + 1) * alphabet + length))
                 for start in range(0, len(at), each):
-                    mine = at[start : start + each]
                     near = neighbourhood(reduced(points[start : start + each], alphabet), alphabet)
-                    near.sort(axis=1)
-                    new = np.ones(near.shape, bool)
-                    new[:, 1:] = near[:, 1:] != near[:, :-1]
-                    of = np.repeat(mine, new.sum(axis=1))
+                    place = _places(near)
+                    row, col = np.nonzero((bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1)
+                    number = near[row, col]
+                    order = np.lexsort((number, row))
+                    row, number = row[order], number[order]
+                    new = np.ones(len(row), bool)
+                    new[1:] = (row[1:] != row[:-1]) | (number[1:] != number[:-1])
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(of)), pa.array(near[new].view(np.int64))],
+                        [
+                            batch.column(0).take(pa.array(at[start + row[new]])),
+                            pa.array(number[new].view(np.int64)),
+                        ],
                         ["word", "number"],
                     )
 
@@ -193,7 +233,8 @@ def near_words(words: DataFrame, alphabet: int) -> DataFrame:
 
     A word's neighbourhood holds the number of a near word's reduced word once, so a pair meets once.
     """
-    met = _neighbours(words, alphabet).join(_reduced_numbers(words, alphabet), "number")
+    reduced_words = _reduced_numbers(words, alphabet)
+    met = _neighbours(words, alphabet, bitmap_of(reduced_words)).join(reduced_words, "number")
     return met.where(F.levenshtein("word", "near", 1) == 1).select("word", "near", "near_n")
 
 
