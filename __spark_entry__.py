@@ -14,6 +14,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+import pyarrow as pa  # noqa: E402
 from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
@@ -21,8 +22,10 @@ from corpusloom.functions import arrays, numbers, text  # noqa: E402
 from corpusloom.operators import (  # noqa: E402
     batching,
     bpe,
+    callbacks,
     classifier,
     encode,
+    export,
     fit,
     metrics,
     ordering,
@@ -771,11 +774,17 @@ def max_token_length(spark: SparkSession, sf: str) -> DataFrame:
     return encode.max_token_length(_texts(spark, sf), "text", _tokenizer(spark, sf))
 
 
-@_query("SELECT unnest(['[PAD]', '[UNK]', '[CLS]', '[SEP]']) AS token, unnest([0, 1, 2, 3]) AS id FROM (SELECT count(*) FROM documents)")
+@_query(
+    _sql_bpe(
+        ", listed AS (SELECT unnest(v) AS token, unnest(range(len(v))) AS id FROM v{last}) "
+        "SELECT token, id FROM listed WHERE token IN ('[PAD]', '[UNK]', '[CLS]', '[SEP]', 'e', 'n', 'en', 'er', 'th')"
+    )
+)
 def special_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of the special tokens, and of a few others, looked up in the trained vocabulary."""
     tokenizer = _tokenizer(spark, sf)
-    vocabulary = tokenizer.vocab_table(spark)
-    return vocabulary.where(F.col("token").isin(*tokenizer.specials))
+    wanted = [*tokenizer.specials, "e", "n", "en", "er", "th"]
+    return tokenizer.vocab_table(spark).where(F.col("token").isin(*wanted))
 
 
 _SQL_PAIR_TOKENS = (
@@ -929,6 +938,18 @@ def train_batches(spark: SparkSession, sf: str) -> DataFrame:
     return batching.assign_batches(ranked, 48, drop_last=True, base=docs).select("doc_id", "batch_id")
 
 
+@_query(_SQL["train_batches"])
+def exported_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches written as files with a manifest, read to a batch and gone on with from there."""
+    docs = _table(spark, sf, "documents").select("doc_id")
+    path = scratch_path(spark, "batches")
+    ranked = ordering.shuffle_rank(docs, ["doc_id"])
+    export.export_batches(ranked, path, 48, batches_per_file=4, drop_last=True, base=docs)
+    half = export.read_manifest(spark, path).agg(F.max("last_batch")).first()[0] or 0
+    parts = export.read_batches(spark, path, 0, half // 2), export.read_batches(spark, path, half // 2)
+    return parts[0].unionByName(parts[1]).select("doc_id", "batch_id")
+
+
 @_query(
     f"SELECT doc_id, (rank - 1) // 48 AS batch_id FROM ({_BATCHED}) WHERE (rank - 1) // 48 < 5"
 )
@@ -973,6 +994,34 @@ def collated_labels(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _padding_collator(bos: int):
+    """Labels of one batch padded to the longest, padding ignored, a first id that all share cut off."""
+    ignored = arrays.IGNORED_LABEL
+
+    def collator(rows: pa.Table) -> pa.Table:
+        labels = rows.column("ids").to_pylist()
+        longest = max(map(len, labels))
+        cut = int(all(x[:1] == [bos] for x in labels))
+        padded = [(x + [ignored] * (longest - len(x)))[cut:] for x in labels]
+        place = rows.schema.get_field_index("ids")
+        return rows.set_column(place, "ids", pa.array(padded, pa.list_(pa.int32())))
+
+    return collator
+
+
+@_query(_SQL["collated_labels"])
+def callback_collated_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by a Python collator that gets each batch at once."""
+    batches = _ids(spark, sf).withColumn("batch_id", F.floor(F.col("doc_id") / 16))
+    collated = callbacks.collate(batches, _padding_collator(2), batches.schema, order=["doc_id"])
+    return collated.select(
+        "doc_id",
+        "batch_id",
+        F.md5(_joined("ids")).alias("labels_md5"),
+        F.md5(_joined(arrays.unmask_labels("ids", 0))).alias("restored_md5"),
+    )
+
+
 @_query(
     f"WITH {_LABELED} SELECT count(*) // 32 AS steps_per_epoch, (count(*) // 32) * 3 AS total_steps FROM lab"
 )
@@ -1125,6 +1174,84 @@ def word_error_rate(spark: SparkSession, sf: str) -> DataFrame:
     return rate.withColumn("wer", F.round("wer", 6))
 
 
+def _error_rate() -> callbacks.Metric:
+    """Word error rate in plain Python: edits, reference words and rows are added up."""
+
+    def edits(reference: list[str], hypothesis: list[str]) -> int:
+        row = list(range(len(hypothesis) + 1))
+        for i, word in enumerate(reference, 1):
+            corner, row[0] = row[0], i
+            for j, other in enumerate(hypothesis, 1):
+                corner, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, corner + (word != other))
+        return row[-1]
+
+    def update(state: list[int], rows: pa.Table) -> list[int]:
+        for reference, hypothesis in zip(*[rows.column(c).to_pylist() for c in ("article", "summary")]):
+            words = reference.split()
+            state = [state[0] + edits(words, hypothesis.split()), state[1] + len(words), state[2] + 1]
+        return state
+
+    def finish(state: list[int]) -> dict:
+        rate = round(state[0] * 100.0 / state[1], 6) if state[1] else None
+        return {"wer": rate, "edits": state[0], "ref_words": state[1], "num_samples": state[2]}
+
+    return callbacks.Metric(
+        start=lambda: [0, 0, 0],
+        update=update,
+        merge=lambda a, b: [x + y for x, y in zip(a, b)],
+        finish=finish,
+        schema="wer double, edits bigint, ref_words bigint, num_samples bigint",
+    )
+
+
+def _sql_spelled(ids: str) -> str:
+    """Ids as words: 5 stands between words, others are letters."""
+    letters = f"list_transform({ids}, lambda x: CASE WHEN x = 5 THEN ' ' ELSE chr(CAST(97 + x % 26 AS INT)) END)"
+    return f"trim(regexp_replace(coalesce(array_to_string({letters}, ''), ''), ' +', ' ', 'g'))"
+
+
+_SQL_CTC = (
+    f"WITH {_IDS}, heard AS (SELECT doc_id, list_filter(ids, lambda x, i: (i = 1 OR ids[i - 1] <> x) AND x <> 2) AS p, "
+    "list_filter(ids, lambda x: x <> 2) AS r FROM ids), "
+    f"said AS (SELECT doc_id, {_sql_spelled('r')} AS reference, {_sql_spelled('p')} AS prediction FROM heard) "
+    "SELECT doc_id, md5(reference) AS reference_md5, md5(prediction) AS prediction_md5, "
+    "len(list_filter(string_split(reference, ' '), lambda w: w <> '')) AS ref_words FROM said"
+)
+
+
+@_query(_SQL_CTC)
+def ctc_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels unmasked and spelled without grouping, predictions collapsed and spelled, then compared."""
+    ids = _ids(spark, sf)
+    masked = ids.select("doc_id", arrays.mask_labels(F.concat("ids", F.array(F.lit(2), F.lit(2))), F.size("ids")).alias("labels"), "ids")
+    scored = speech.score_ctc(
+        masked,
+        predictions="ids",
+        labels="labels",
+        blank=2,
+        spell=lambda x: F.when(x == 5, F.lit(" ")).otherwise(F.char(F.lit(97) + x % 26)),
+    )
+    return scored.select(
+        "doc_id", F.md5("reference").alias("reference_md5"), F.md5("prediction").alias("prediction_md5"), "ref_words"
+    )
+
+
+@_query("SELECT doc_id, n_chars FROM documents WHERE length(text) % 3 = 0 AND lang <> 'de'")
+def filtered_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that a Python predicate of two columns keeps, called with a series of each."""
+    docs = _table(spark, sf, "documents").select("doc_id", "n_chars", "text", "lang")
+    kept = tables.filter_batches(
+        docs, lambda text, lang: (text.str.len() % 3 == 0) & (lang != "de"), ["text", "lang"]
+    )
+    return kept.select("doc_id", "n_chars")
+
+
+@_query(_SQL["word_error_rate"])
+def callback_word_error_rate(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by a Python metric with states that are merged."""
+    return callbacks.evaluate(_pairs(spark, sf), _error_rate(), ["article", "summary"])
+
+
 def _sql_rouge_n(n: int) -> str:
     grams = "t" if n == 1 else "list_transform(list_zip(t[1:len(t) - 1], t[2:len(t)]), lambda p: p[1] || ' ' || p[2])"
     side = (

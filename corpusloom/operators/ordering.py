@@ -21,6 +21,8 @@ from corpusloom.session import broadcast_if_small, materialize
 # A rank sorts whole rows in every bucket, a cut only keys in the few buckets it needs.
 RANK_DIGITS = 4
 BUCKET_DIGITS = 3
+SORTED_KEYS = 1 << 20  # keys of one range that a task sorts, at most
+MOST_RANGES = 4_096
 
 
 def shuffle_hash(keys: Sequence[str], seed: int) -> Column:
@@ -115,33 +117,41 @@ def head_n(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
     """The first ``n`` rows in the given unique order; ``None`` keeps all.
 
     The order columns alone are searched for the ``n``-th row; the rows themselves are only filtered. The
-    search counts ranges of the order and sorts only the range that holds the row, so that no task has to
-    hold ``n`` keys.
+    search counts ranges of the order and goes on inside the range that holds the row, until that has
+    ``SORTED_KEYS`` keys or fewer, which one task sorts: each round leaves about a partition's share of the
+    keys, so that a few rounds do for any table.
     """
     if n is None:
         return df
     if n < 1:
         return df.where(F.lit(False))
     place = F.struct(*[F.col(c) for c in order])
-    placed = materialize(
-        df.select(place.alias("_place")).repartitionByRange("_place").withColumn("_part", F.spark_partition_id()),
-        "places",
-    )
-    # a row for each range
-    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (
-        counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .where((F.col("_before") < n) & (F.col("_before") + F.col("_n") >= n))
-        .first()
-    )
-    if cut is None:
-        return df
-    inside = F.row_number().over(Window.orderBy("_place"))
+    keys, before, held = df.select(place.alias("_place")), 0, None
+    while True:
+        # as many ranges as the shuffle has, then as many as the keys need
+        parts = [] if held is None else [min(MOST_RANGES, max(2, -(-2 * held // SORTED_KEYS)))]
+        placed = materialize(
+            keys.repartitionByRange(*parts, F.col("_place")).withColumn("_part", F.spark_partition_id()), "places"
+        )
+        # a row for each range
+        counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+        earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        cut = (
+            counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + before)
+            .where((F.col("_before") < n) & (F.col("_before") + F.col("_n") >= n))
+            .first()
+        )
+        if cut is None:
+            return df
+        before = cut["_before"]
+        keys = placed.where(F.col("_part") == cut["_part"]).select("_place")
+        # unique keys split again and again; where copies of one key fill a range, it is sorted as it is
+        if cut["_n"] <= SORTED_KEYS or cut["_n"] == held:
+            break
+        held = cut["_n"]
     last = (
-        placed.where(F.col("_part") == cut["_part"])
-        .withColumn("_row", inside)
-        .where(F.col("_row") == n - cut["_before"])
+        keys.withColumn("_row", F.row_number().over(Window.orderBy("_place")))
+        .where(F.col("_row") == n - before)
         .agg(F.max("_place").alias("_last"))
     )
     return df.where(place <= last.scalar())

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.arrays import ctc_collapse, unmask_labels
 from corpusloom.functions.numbers import decimals_to_words, integers_to_words, ordinals_to_words
 from corpusloom.functions.text import clean_transcript, rewrite_media_path
 from corpusloom.operators.results import results_record
@@ -17,7 +18,7 @@ from corpusloom.operators.tables import (
     filter_length,
     keep_columns,
 )
-from corpusloom.operators.wer import wer
+from corpusloom.operators.wer import wer, word_errors
 
 
 def numbers_to_words(col: Column | str) -> Column:
@@ -61,3 +62,25 @@ def score_transcripts(
     first = examples(df, shown, keys, {reference: "reference", prediction: "prediction"})
     totals = wer(df, reference, prediction).select(F.col("wer").alias("test_wer"), "num_samples")
     return results_record(totals, lists={"examples": (first, keys, ["reference", "prediction"])})
+
+
+def score_ctc(
+    df: DataFrame,
+    predictions: str,
+    labels: str,
+    blank: int,
+    spell: Callable[[Column], Column],
+) -> DataFrame:
+    """Add ``reference``, ``prediction``, ``edits`` and ``ref_words`` to rows of frame ids and masked labels.
+
+    Masked labels turn back into the blank, and neither side keeps blanks. Repeats of frames are one symbol;
+    repeats of labels are symbols of their own. ``spell`` gives the text of an id; runs of blanks between
+    words are one. Errors are counted in words.
+    """
+
+    def text(ids: Column) -> Column:
+        return F.trim(F.regexp_replace(F.array_join(F.transform(ids, spell), ""), " +", " "))
+
+    reference = ctc_collapse(unmask_labels(labels, blank), blank, group=False)
+    rows = df.withColumns({"reference": text(reference), "prediction": text(ctc_collapse(predictions, blank))})
+    return word_errors(rows, "reference", "prediction")

@@ -106,6 +106,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(written: DataFrame) -> None:
+    """Delete a table of ``materialize`` that nothing reads any more; without it tables stay to the end."""
+    spark = written.sparkSession
+    for folder in {path.rpartition("/")[0] for path in written.inputFiles()}:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of steps whose DataFrames are gone.
 

@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.operators import ordering
 from corpusloom.operators.ordering import head_n, running_aggregates, shuffle_rank
 from corpusloom.operators.sampling import balanced_sample, ratio_split, resplit
 
@@ -75,6 +76,17 @@ def test_running_aggregates(spark, width, current):
         assert (row["min"], row["max"]) == ((min(seen), max(seen)) if seen else (None, None))
 
 
+def test_head_n_narrows_range_after_range(spark, monkeypatch):
+    """No task sorts more than a stated number of keys."""
+    monkeypatch.setattr(ordering, "SORTED_KEYS", 50)
+    rows = spark.range(20_000).select((F.col("id") * 7_919 % 20_011).alias("id"))
+    ids = sorted(r["id"] for r in rows.collect())
+    for n in (1, 777, 19_999):
+        assert sorted(r["id"] for r in head_n(rows, n, ["id"]).collect()) == ids[:n]
+    copies = spark.range(300).select(F.when(F.col("id") < 250, 5).otherwise(F.col("id")).alias("id"))
+    assert head_n(copies, 100, ["id"]).count() == 250  # copies of a key are not told apart
+
+
 def test_head_n_beyond_one_range(spark):
     rows = spark.range(5_000).repartition(3)
     for n in (1, 2_499, 4_999, 5_000, 9_000):
