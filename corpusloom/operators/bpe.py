@@ -207,6 +207,50 @@ def _count_pairs(words: DataFrame) -> DataFrame:
     )
 
 
+def _postings(words: DataFrame) -> DataFrame:
+    """Each word under each of its pairs, in the order of pairs, so that a job reads few pages of a file.
+
+    Words are the second key of the ranges: a pair that most words hold is spread over many.
+    """
+    listed = words.selectExpr(f"explode(array_distinct({_symbol_pairs('s')})) AS pair", "s", "n")
+    return listed.repartitionByRange("pair", "s").sortWithinPartitions("pair")
+
+
+def _words_with(postings: DataFrame, pairs: Sequence[str]) -> DataFrame:
+    """The words that hold any of the pairs, each once: under the first of those it holds."""
+    if not pairs:
+        return postings.where(F.lit(False)).select("s", "n")
+    wanted = f"split('{','.join(pairs)}', ',')"
+    first = f"array_min(array_intersect({_symbol_pairs('s')}, {wanted}))"
+    return postings.where(F.col("pair").isin(*pairs)).where(f"pair = {first}").select("s", "n")
+
+
+class _Heads:
+    """What a word held when the tables were written, if it holds a symbol or a pair now.
+
+    A symbol made since then stands for a run of symbols of that time, or for one of several, since other
+    pairs may spell the same token. Its heads are the first two symbols of each run. A word that holds a
+    pair now held, side by side, the first two of what the pair stands for.
+    """
+
+    def __init__(self, made: dict[str, frozenset[str]] | None = None) -> None:
+        self._made = dict(made or {})
+
+    def _of(self, symbol: str) -> frozenset[str]:
+        return self._made.get(symbol, frozenset()) | {symbol}
+
+    def pairs(self, pair: str) -> frozenset[str]:
+        left, right = self._of(pair[0]), self._of(pair[1])
+        long = {head for head in left if len(head) > 1}
+        return frozenset(long | {head + other[0] for head in left - long for other in right})
+
+    def merge(self, pair: str, new: str) -> None:
+        self._made[new] = self._made.get(new, frozenset()) | self.pairs(pair)
+
+    def copy(self) -> _Heads:
+        return _Heads(self._made)
+
+
 def _count_paths(
     words: DataFrame,
     pairs: DataFrame,
@@ -218,8 +262,8 @@ def _count_paths(
     """How pair counts go on from the written tables through the planned merges.
 
     Gives ``(pair, count after the merges done, {planned step: change})`` for the pairs that reach the
-    highest counts on the way, highest first and smaller ids first among equals. Only words that change
-    are looked at, and only the changes are shuffled.
+    highest counts on the way, highest first and smaller ids first among equals. ``words`` has at least
+    those that hold a pair of a merge, and only their changes are shuffled.
     """
     jump = (
         f"IF(s <> t, array(struct(0 AS step, s AS before, t AS after)), CAST(array() AS {_CHANGES}))"
@@ -298,6 +342,7 @@ def train_bpe(
     lookahead: int = 64,
     candidates: int = 2_048,
     rewrite_every: int = 128,
+    rewrite_share: float = 0.25,
 ) -> BpeTokenizer:
     """Train on ``(word, n)``.
 
@@ -308,24 +353,26 @@ def train_bpe(
     One job settles many merges: it follows the counts through a guessed sequence of merges, and the driver
     keeps the part of the guess in which every merge is what the exact counts demand at its turn. Guesses
     only affect the number of jobs, never the result.
+
+    Words are written under each of their pairs, and a job reads those under the pairs it merges, so that
+    a late job, whose pairs are rare, reads a small part of the vocabulary. The tables are written anew
+    after ``rewrite_every`` merges, and later after ``rewrite_share`` of the merges so far: the words that a
+    merge changes get fewer with its rank.
     """
     spark = counts.sparkSession
-    word_table, pair_table = _WrittenTable(spark, "words"), _WrittenTable(spark, "pairs")
+    tables = [_WrittenTable(spark, name) for name in ("words", "pairs", "postings")]
+    setting = "spark.sql.parquet.pushdown.inFilterThreshold"
+    before = spark.conf.get(setting, None)
+    # else a long list of pairs reaches the files as the range from its first to its last
+    spark.conf.set(setting, "4096")
     try:
         return _train(
-            counts,
-            vocab_size,
-            specials,
-            min_frequency,
-            lookahead,
-            candidates,
-            rewrite_every,
-            word_table,
-            pair_table,
+            counts, vocab_size, specials, min_frequency, lookahead, candidates, rewrite_every, rewrite_share, *tables
         )
     finally:
-        word_table.drop()
-        pair_table.drop()
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+        for table in tables:
+            table.drop()
 
 
 def _train(
@@ -336,8 +383,10 @@ def _train(
     lookahead: int,
     candidates: int,
     rewrite_every: int,
+    rewrite_share: float,
     word_table: _WrittenTable,
     pair_table: _WrittenTable,
+    posting_table: _WrittenTable,
 ) -> BpeTokenizer:
     spark = counts.sparkSession
     floor = max(min_frequency, 1)
@@ -359,15 +408,21 @@ def _train(
         .repartition(spark.sparkContext.defaultParallelism, "s")
     )
     pairs = pair_table.replace(_count_pairs(words))
+    postings = posting_table.replace(_postings(words))
     plan, done, length = _Plan(), [], lookahead // 2
+    heads, touched = _Heads(), set()
 
     while len(tokens) < vocab_size:
         guess = plan.guess(length, ids, floor)
         trial, planned = dict(ids), []
+        ahead, wanted = heads.copy(), set(touched)
         for left, right in guess:
             new = trial.setdefault(left + right, len(trial))
             planned.append((_code(trial[left]) + _code(trial[right]), _code(new)))
-        rows = _count_paths(words, pairs, done, planned, floor, candidates)
+            wanted |= ahead.pairs(planned[-1][0])
+            ahead.merge(*planned[-1])
+        held = _words_with(postings, sorted(wanted))
+        rows = _count_paths(held, pairs, done, planned, floor, candidates)
         if not rows:
             break
         text = {_code(i): t for t, i in trial.items()}
@@ -395,6 +450,8 @@ def _train(
                 tokens.append(left + right)
             merges.append((ids[left], ids[right], ids[left + right]))
             done.append((pair, merged))
+            touched |= heads.pairs(pair)
+            heads.merge(pair, merged)
             kept += 1
             for other, change in shifts.get(step, {}).items():
                 ranking[other] += change
@@ -410,10 +467,12 @@ def _train(
             # The fetched ranking was too short for this guess. A plain ranking always has a certain
             # first place, and a guess of one merge after it always holds.
             plan, length = _Plan(), 1
-        if len(done) >= rewrite_every and len(tokens) < vocab_size:
+        due = max(rewrite_every, int(rewrite_share * len(merges)))
+        if len(done) >= due and len(tokens) < vocab_size:
             words = word_table.replace(
                 words.selectExpr(f"{_merged('s', done)} AS s", "n").where(F.length("s") > 1)
             )
             pairs = pair_table.replace(_count_pairs(words))
-            done = []
+            postings = posting_table.replace(_postings(words))
+            done, heads, touched = [], _Heads(), set()
     return BpeTokenizer(tuple(tokens), tuple(merges), tuple(specials))

@@ -15,6 +15,9 @@ from corpusloom.operators.bpe import (
     CLASSIFIER_SPECIALS,
     BpeTokenizer,
     _code,
+    _Heads,
+    _postings,
+    _words_with,
     train_bpe,
     word_counts,
 )
@@ -126,6 +129,42 @@ def test_ties_and_short_rankings(spark, seed, letters, candidates):
     assert list(got.tokens) == tokens
 
 
+def test_long_training_equals_the_library(documents):
+    """Two thousand tokens, over several writings of the tables."""
+    texts = [r["text"] for r in documents.orderBy("doc_id").collect()]
+    library = Tokenizer(BPE(unk_token="[UNK]"))
+    library.pre_tokenizer = Whitespace()
+    trainer = BpeTrainer(
+        vocab_size=2_000, special_tokens=list(CLASSIFIER_SPECIALS), min_frequency=2, show_progress=False
+    )
+    library.train_from_iterator(texts, trainer)
+    got = train_bpe(word_counts(documents, ["text"]), 2_000)
+    assert len(got.tokens) == 2_000
+    assert {t: i for i, t in enumerate(got.tokens)} == library.get_vocab()
+
+
+def test_words_with_a_pair_are_read_once(spark):
+    words = spark.createDataFrame([("abcb", 2), ("bc", 5), ("xyz", 1), ("aaaa", 3)], "s string, n long")
+    postings = _postings(words)
+    assert sorted(map(tuple, postings.collect())) == sorted(
+        [("ab", "abcb", 2), ("bc", "abcb", 2), ("cb", "abcb", 2), ("bc", "bc", 5), ("xy", "xyz", 1), ("yz", "xyz", 1), ("aa", "aaaa", 3)]
+    )
+    assert sorted(map(tuple, _words_with(postings, ["ab", "bc", "zz"]).collect())) == [("abcb", 2), ("bc", 5)]
+    assert _words_with(postings, []).count() == 0
+
+
+def test_heads_lead_to_what_a_word_held():
+    heads = _Heads()
+    assert heads.pairs("ab") == {"ab"}
+    heads.merge("ab", "X")
+    heads.merge("cX", "Y")
+    assert {"ab"} <= heads.pairs("Xd") and {"ca"} <= heads.pairs("Yd")
+    assert "da" in heads.pairs("dX") and "dc" in heads.pairs("dY")
+    # the same token by another way
+    heads.merge("ef", "X")
+    assert {"ab", "ef"} <= heads.pairs("Xd") and {"da", "de"} <= heads.pairs("dX")
+
+
 def test_symbols_pass_the_surrogates():
     codes = [_code(i) for i in range(70_000)]
     assert codes == sorted(set(codes)) and all(c.encode() for c in codes)
