@@ -8,6 +8,7 @@ scores and vectors. Token ids are lengths of pre-tokens where only their shape m
 from __future__ import annotations
 
 import importlib.util
+import re
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -18,7 +19,7 @@ import pyarrow as pa  # noqa: E402
 from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from corpusloom.functions import arrays, numbers, text  # noqa: E402
+from corpusloom.functions import arrays, numbers, porter, text  # noqa: E402
 from corpusloom.operators import (  # noqa: E402
     batching,
     bpe,
@@ -301,6 +302,20 @@ def csv_splits(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query(
+    "SELECT doc_id, md5(coalesce(text, '')) AS text_md5 FROM documents "
+    "WHERE source = 'src0' OR source LIKE 'src1_' OR source IN ('src4', 'src5', 'src6')"
+)
+def included_files(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV files of those folders that include patterns name; patterns that match nothing are passed over."""
+    path = scratch_path(spark, "sources")
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "source")
+    tabular.write_splits_csv(docs, path, ["doc_id", "text"], split="source")
+    patterns = ["source=src0", "source=src1?", "source=src[4-6]", "source=none*"]
+    rows = tabular.read_union(spark, [f"{path}/{p}" for p in patterns], "doc_id bigint, text string")
+    return rows.select("doc_id", F.md5("text").alias("text_md5"))
+
+
 @_query(f"WITH {_SPLIT} SELECT doc_id, label, md5(text) AS text_md5 FROM parts WHERE split = 'test'")
 def saved_dataset(spark: SparkSession, sf: str) -> DataFrame:
     """One split of a saved dataset; the other splits' folders are not read."""
@@ -1185,10 +1200,14 @@ def _error_rate() -> callbacks.Metric:
                 corner, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, corner + (word != other))
         return row[-1]
 
+    def words(text: str) -> list[str]:
+        # runs of white space are a space; single line breaks stay inside a word
+        return [w for w in re.sub(r"\s{2,}", " ", text).strip().split(" ") if w]
+
     def update(state: list[int], rows: pa.Table) -> list[int]:
         for reference, hypothesis in zip(*[rows.column(c).to_pylist() for c in ("article", "summary")]):
-            words = reference.split()
-            state = [state[0] + edits(words, hypothesis.split()), state[1] + len(words), state[2] + 1]
+            said = words(reference)
+            state = [state[0] + edits(said, words(hypothesis)), state[1] + len(said), state[2] + 1]
         return state
 
     def finish(state: list[int]) -> dict:
@@ -1312,6 +1331,106 @@ def rouge_report(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _sql_stems(tokens: str) -> str:
+    """CTEs ``stems(token, stem)``: the suffix rules over a table of tokens, one step after another.
+
+    ``p`` is a word's shape, V and C for each letter: a y is a vowel after a consonant. The shape of a word's
+    head is the head of its shape, and its measure the number of VC in it.
+    """
+
+    def shaped(name: str, source: str) -> str:
+        found = "regexp_replace(regexp_replace(w, '[aeiou]', 'V', 'g'), '[^Vy]', 'C', 'g')"
+        for _ in range(5):  # of each run of y the first that is left
+            found = f"replace(replace(regexp_replace({found}, '^y', 'C'), 'Cy', 'CV'), 'Vy', 'VC')"
+        return f"{name} AS MATERIALIZED (SELECT token, w, {found} AS p FROM {source})"
+
+    def head(cut: int | str, of: str = "w") -> str:
+        return f"left({of}, length(w) - {cut})"
+
+    def measure(cut: int | str) -> str:
+        shape = head(cut, "p")
+        return f"(length({shape}) - length(replace({shape}, 'VC', ''))) // 2"
+
+    def short(stem: str, shape: str) -> str:
+        return f"({shape} = 'VC' OR {shape} LIKE '%CVC' AND right({stem}, 1) NOT IN ('w', 'x', 'y'))"
+
+    def table(rules) -> str:
+        cases = " ".join(
+            f"WHEN w LIKE '%{old}' THEN CASE WHEN {measure(len(old))} > 0 THEN {head(len(old))} || '{new}' ELSE w END"
+            for old, new in rules
+        )
+        return f"CASE {cases} ELSE w END"
+
+    ending = " ".join(
+        f"WHEN w LIKE '%{x}' THEN CASE WHEN {measure(len(x))} > 1"
+        + (f" AND right({head(3)}, 1) IN ('s', 't')" if x == "ion" else "")
+        + f" THEN {head(len(x))} ELSE w END"
+        for x in porter.STEP_4
+    )
+    odd = ", ".join(f"('{a}', '{b}')" for a, b in porter.IRREGULAR.items())
+    ed = "CASE WHEN w LIKE '%ed' THEN 2 ELSE 3 END"
+    return f"""
+odd(token, stem) AS (VALUES {odd}),
+e0 AS (SELECT DISTINCT token, token AS w FROM ({tokens})
+  WHERE length(token) > {rouge.UNSTEMMED_LENGTH} AND token NOT IN (SELECT token FROM odd)),
+e1 AS (SELECT token, CASE WHEN w LIKE '%ies' THEN CASE WHEN length(w) = 4 THEN {head(1)} ELSE {head(2)} END
+  WHEN w LIKE '%sses' THEN {head(2)} WHEN w LIKE '%s' AND w NOT LIKE '%ss' THEN {head(1)} ELSE w END AS w FROM e0),
+{shaped('e1p', 'e1')},
+e2 AS (SELECT token, w, p, CASE WHEN w LIKE '%ied' THEN CASE WHEN length(w) = 4 THEN {head(1)} ELSE {head(2)} END
+  WHEN w LIKE '%eed' THEN CASE WHEN {measure(3)} > 0 THEN {head(1)} ELSE w END END AS done,
+  CASE WHEN (w LIKE '%ed' OR w LIKE '%ing') AND contains({head(ed, 'p')}, 'V') THEN {head(ed)} END AS x,
+  {head(ed, 'p')} AS xp, {measure(ed)} AS m FROM e1p),
+e3 AS (SELECT token, CASE WHEN done IS NOT NULL THEN done WHEN x IS NULL THEN w
+  WHEN x LIKE '%at' OR x LIKE '%bl' OR x LIKE '%iz' THEN x || 'e'
+  WHEN length(x) > 1 AND right(x, 1) = left(right(x, 2), 1) AND right(xp, 1) = 'C'
+    THEN CASE WHEN right(x, 1) IN ('l', 's', 'z') THEN x ELSE left(x, length(x) - 1) END
+  WHEN m = 1 AND {short('x', 'xp')} THEN x || 'e' ELSE x END AS w FROM e2),
+{shaped('e3p', 'e3')},
+e4 AS (SELECT token, CASE WHEN w LIKE '%y' AND length(w) > 2 AND right({head(1, 'p')}, 1) = 'C'
+  THEN {head(1)} || 'i' ELSE w END AS w FROM e3p),
+{shaped('e4p', 'e4')},
+e5 AS (SELECT token, CASE WHEN w LIKE '%alli' AND {measure(4)} > 0 THEN {head(2)} ELSE w END AS w FROM e4p),
+{shaped('e5p', 'e5')},
+e6 AS (SELECT token, CASE WHEN w LIKE '%logi' THEN CASE WHEN {measure(3)} > 0 THEN {head(1)} ELSE w END
+  ELSE {table(porter.STEP_2)} END AS w FROM e5p),
+{shaped('e6p', 'e6')},
+e7 AS (SELECT token, {table(porter.STEP_3)} AS w FROM e6p),
+{shaped('e7p', 'e7')},
+e8 AS (SELECT token, CASE {ending} ELSE w END AS w FROM e7p),
+{shaped('e8p', 'e8')},
+e9 AS (SELECT token, CASE WHEN w LIKE '%e' AND ({measure(1)} > 1 OR {measure(1)} = 1 AND NOT
+  {short(head(1), head(1, 'p'))}) THEN {head(1)} ELSE w END AS w FROM e8p),
+{shaped('e9p', 'e9')},
+stems AS MATERIALIZED (
+  SELECT token, CASE WHEN w LIKE '%ll' AND {measure(1)} > 1 THEN {head(1)} ELSE w END AS stem FROM e9p
+  UNION ALL SELECT token, stem FROM odd)"""
+
+
+def _sql_stemmed_pairs() -> str:
+    """CTE ``pairs``: both texts as their stems."""
+    tokens = "regexp_extract_all(lower({0}), '[a-z0-9]+')"
+    sides = ", ".join(
+        f"(SELECT coalesce(string_agg(coalesce(stem, t), ' ' ORDER BY i), '') FROM (SELECT unnest({tokens.format(c)}) AS t, "
+        f"generate_subscripts({tokens.format(c)}, 1) AS i) LEFT JOIN stems ON stems.token = t) AS {c}"
+        for c in ("article", "summary")
+    )
+    every = " UNION ALL ".join(f"SELECT unnest({tokens.format(c)}) AS token FROM given" for c in ("article", "summary"))
+    given = _PAIRS.replace("pairs AS", "given AS", 1)
+    return f"{given}, {_sql_stems(every)}, pairs AS MATERIALIZED (SELECT conv_id, turn, {sides} FROM given)"
+
+
+@_query(
+    _SQL_ROUGE.replace(_PAIRS, _sql_stemmed_pairs(), 1)
+    + " SELECT conv_id, turn, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2, "
+    'round(rougeL, 6) AS "rougeL" FROM rows'
+)
+def rouge_stemmed_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Summary scores of stems; the SQL applies the suffix rules to shapes of words."""
+    scored = rouge.rouge_scores(_pairs(spark, sf), "article", "summary", stem=True)
+    kinds = [F.round(k, 6).alias(k) for k in ("rouge1", "rouge2", "rougeL")]
+    return scored.select("conv_id", "turn", *kinds)
+
+
 @_query()
 def rouge_stemmed(spark: SparkSession, sf: str) -> DataFrame:
     """The summary results record: stemmed scores and the first examples."""
