@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,8 +28,8 @@ from corpusloom.llm.rows import ROW, gapless, with_rows
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHED = 400_000  # cut words a worker remembers; beyond it starts anew
 _RUN = re.compile(r" \s|\s ")
-NODES = 1_500  # nodes of the search for fewer sequences than best fit needs
-FILLINGS = 3  # fillings tried around one largest piece
+TOGETHER = 1 << 21  # characters of the texts encoded at once
+NODES = 50_000  # branches looked at in search of fewer sequences than best fit needs
 
 
 # --- tokens -----------------------------------------------------------------------------------------
@@ -56,34 +57,75 @@ def read_vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
 
 
 class Pieces(dict):
-    """Token ids, as bytes, of a space and the word after it."""
+    """Token ids, as bytes, of a space and the word after it; new words of a batch are encoded together."""
 
-    def __init__(self, encoding: tiktoken.Encoding):
+    def __init__(self, encoding: tiktoken.Encoding, ranks: dict[bytes, int]):
         super().__init__()
         self.encoding = encoding
+        marked = np.zeros(max([*ranks.values(), *encoding._special_tokens.values()], default=0) + 1, bool)
+        marked[[i for token, i in ranks.items() if token[:1] == b" "]] = True
+        self.marked = marked
 
     def ids(self, text: str) -> bytes:
         if any(mark in text for mark in self.encoding.special_tokens_set):
             found = self.encoding.encode(text, allowed_special="all")
         else:
             found = self.encoding.encode_ordinary(text)
-        return np.array(found, dtype="<u4").tobytes()
+        return array("I", found).tobytes()
+
+    def learn(self, words: set[str]) -> None:
+        """Encode words that hold no white space at either end, nor a space, in one go.
+
+        A space before a word always starts a token, and no other token of the word begins with one, so that
+        the ids of all of them fall apart at the tokens that do.
+        """
+        marks = self.encoding.special_tokens_set
+        alone = {w for w in words if not w or any(mark in w for mark in marks)}
+        for word in alone:
+            self[word] = self.ids(" " + word)
+        listed = list(words - alone)
+        if not listed:
+            return
+        found = np.frombuffer(array("I", self.encoding.encode_ordinary(" " + " ".join(listed))), "<u4")
+        starts = np.flatnonzero(self.marked[found])
+        if len(starts) != len(listed):
+            self.update({word: self.ids(" " + word) for word in listed})
+            return
+        data, edges = found.tobytes(), [*(4 * starts).tolist(), 4 * len(found)]
+        self.update(zip(listed, [data[i:j] for i, j in zip(edges, edges[1:])]))
+
+    def batch(self, texts: Sequence[str]) -> Iterator[bytes]:
+        """The ids of each text."""
+        # a single space between two others always starts a cut, so the words can be encoded alone
+        split = [None if _RUN.search(t) else t.split(" ") for t in texts]
+        wanted: set[str] = set()
+        for words in split:
+            if words:
+                wanted.update(words[1:])
+        new = wanted.difference(self)
+        if len(self) + len(new) > CACHED:
+            self.clear()
+            new = wanted
+        self.learn(new)
+        for text, words in zip(texts, split):
+            if words is None:
+                yield self.ids(text)
+            else:
+                first = self.ids(words[0]) if words[0] else b""
+                yield first + b"".join(map(self.__getitem__, words[1:]))
 
-    def __missing__(self, word: str) -> bytes:
-        out = self.ids(" " + word)
-        if len(word) <= 64:
-            if len(self) >= CACHED:
-                self.clear()
-            self[word] = out
-        return out
 
-    def encode(self, text: str) -> bytes:
-        # a single space between two others always starts a cut, so the words can be encoded alone
-        if _RUN.search(text):
-            return self.ids(text)
-        words = text.split(" ")
-        first = self.ids(words[0]) if words[0] else b""
-        return first + b"".join(map(self.__getitem__, words[1:]))
+def slices(texts: Sequence[str | None], together: int = TOGETHER) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about so many characters; a very long one is a run of its own."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        length = len(text or "")
+        if i > start and size + length > together:
+            yield start, i
+            start, size = i, 0
+        size += length
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def token_pieces(
@@ -115,12 +157,14 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, special = sent.value
         pieces = Pieces(
-            tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+            tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special), ranks
         )
         for batch in batches:
             of, numbers, starts, lengths, ids = [], [], [], [], []
-            for row, value in enumerate(batch.column(1).to_pylist()):
-                held = (pieces.encode(value) if value else b"") + last
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            coded = (held for a, z in slices(texts) for held in pieces.batch(texts[a:z]))
+            for row, held in enumerate(coded):
+                held += last
                 n = len(held) // 4
                 edges = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
                 for number, (a, b) in enumerate(zip(edges, edges[1:])):
@@ -198,13 +242,8 @@ def _dominates(a: list[int], b: list[int]) -> bool:
     return True
 
 
-def fillings(left: dict[int, int], room: int, width: int, most_waste: int) -> list[list[int]]:
-    """Undominated fillings of ``room`` that waste at most ``most_waste``, the least waste first.
-
-    Of the sums that can be reached the ``4 * width`` largest are looked at, each filled with its largest
-    pieces, and up to ``width`` fillings are returned.
-    """
-    lengths = sorted(n for n in left if left[n] and n <= room)
+def _sums(left: dict[int, int], lengths: list[int], room: int) -> list[int]:
+    """Bit sets of the sums up to ``room`` that the first 0, 1, 2 ... of the lengths reach."""
     mask = (1 << (room + 1)) - 1
     reach = [1]
     for n in lengths:
@@ -215,75 +254,111 @@ def fillings(left: dict[int, int], room: int, width: int, most_waste: int) -> li
             copies -= take
             step *= 2
         reach.append(now)
+    return reach
+
+
+def _spelled(total: int, upto: int, left: dict[int, int], lengths: list[int], reach: list[int]) -> Iterator[list[int]]:
+    """All multisets of the first ``upto`` lengths with a sum, the largest pieces first."""
+    if not total:
+        yield []
+        return
+    for i in range(upto - 1, -1, -1):
+        if not reach[i + 1] >> total & 1:
+            return  # nor do fewer lengths reach it
+        n = lengths[i]
+        for k in range(min(left[n], total // n), 0, -1):
+            if reach[i] >> (total - k * n) & 1:
+                for rest in _spelled(total - k * n, i, left, lengths, reach):
+                    yield [n] * k + rest
+
+
+def fillings(left: dict[int, int], room: int, most_waste: int) -> Iterator[list[int] | None]:
+    """All undominated fillings of ``room`` that waste at most ``most_waste``, the least waste first.
+
+    None stands for one that an earlier filling dominates, and for every 64 comparisons, so that a caller
+    can end a long search.
+    """
+    lengths = sorted(n for n in left if left[n] and n <= room)
+    reach = _sums(left, lengths, room)
     found: list[list[int]] = []
-    sums, tried = reach[-1], 0
-    while sums and len(found) < width and tried < 4 * width:
+    sums = reach[-1]
+    while sums:
         total = sums.bit_length() - 1
         if room - total > most_waste:
             break
         sums ^= 1 << total
-        tried += 1
-        rest, held, i = total, [], len(lengths)
-        while rest:
-            i -= 1
-            n = lengths[i]
-            if n > rest or reach[i] >> rest & 1 and n * 2 > rest and not reach[i] >> (rest - n) & 1:
-                continue
-            for k in range(min(left[n], rest // n), -1, -1):
-                if reach[i] >> (rest - k * n) & 1:
-                    held += [n] * k
-                    rest -= k * n
+        for held in _spelled(total, len(lengths), left, lengths, reach):
+            dominated = False
+            for i, other in enumerate(found, 1):
+                if not i % 64:
+                    yield None
+                if dominated := _dominates(other, held):
                     break
-        if not any(_dominates(other, held) for other in found):
-            found.append(held)
-    return found
+            if dominated:
+                yield None
+            else:
+                found.append(held)
+                yield held
+
+
+def lower_bound(histogram: dict[int, int], capacity: int) -> int:
+    """Sequences that are needed at least: by the tokens, and by the pieces larger than half of one."""
+    total = sum(n * c for n, c in histogram.items())
+    return max(-(-total // capacity), sum(c for n, c in histogram.items() if 2 * n > capacity))
 
 
-def plan(
-    histogram: dict[int, int], capacity: int, nodes: int = NODES, width: int = FILLINGS
-) -> list[Pattern]:
+def plan(histogram: dict[int, int], capacity: int, nodes: int = NODES) -> list[Pattern]:
     """Patterns that use every piece: best fit, or what bin completion finds to need fewer sequences.
 
-    The search ends when it meets the lower bound, has tried everything or has visited ``nodes`` nodes;
-    its effort depends on the lengths present, not on how many pieces there are.
+    Around the largest piece left every undominated filling is tried within the waste that could still beat
+    the incumbent, the least waste first, and every multiplicity, the largest first. The search ends when it
+    meets the lower bound, has tried everything or has looked at ``nodes`` branches; its effort depends on
+    the lengths present, not on how many pieces there are.
     """
     best = best_fit(histogram, capacity)
-    incumbent = sum(p.times for p in best)
-    total = sum(n * c for n, c in histogram.items())
-    half = sum(c for n, c in histogram.items() if 2 * n > capacity)
-    bound = max(-(-total // capacity), half)
-    visited = 0
-    # depth first; a node is what is left, the patterns so far, sequences used and tokens still to place
-    stack = [(dict(histogram), None, 0, total)]
-    while stack and visited < nodes and incumbent > bound:
-        left, path, used, tokens = stack.pop()
-        visited += 1
-        if not tokens:
-            if used < incumbent:
-                incumbent, best = used, []
-                while path is not None:
-                    best.append(path[0])
-                    path = path[1]
-            continue
-        if used + -(-tokens // capacity) >= incumbent:
-            continue  # even without further waste it would not be better
-        largest = max(n for n, c in left.items() if c)
+    incumbent, bound = sum(p.times for p in best), lower_bound(histogram, capacity)
+
+    def branches(left: dict[int, int], used: int, tokens: int) -> Iterator[tuple | None]:
+        largest = max(left)
         less = dict(left)
         less[largest] -= 1
-        branches = []
         # sequences that the incumbent leaves to waste, at most
         slack = (incumbent - 1 - used) * capacity - tokens
-        for held in fillings(less, capacity - largest, width, slack):
+        for held in fillings(less, capacity - largest, slack):
+            if held is None:
+                yield None
+                continue
             pieces = _counted([largest, *held])
-            times = min(left[n] // k for n, k in pieces)
-            after = dict(left)
-            for n, k in pieces:
-                after[n] -= k * times
-                if not after[n]:
-                    del after[n]
-            placed = times * sum(n * k for n, k in pieces)
-            branches.append((after, (Pattern(times, pieces), path), used + times, tokens - placed))
-        stack.extend(reversed(branches))  # the least waste comes first
+            placed = sum(n * k for n, k in pieces)
+            for times in range(min(left[n] // k for n, k in pieces), 0, -1):
+                after = dict(left)
+                for n, k in pieces:
+                    after[n] -= k * times
+                    if not after[n]:
+                        del after[n]
+                yield after, Pattern(times, pieces), used + times, tokens - times * placed
+
+    # depth first; a node is the patterns so far and what is left to try after them
+    root = {n: c for n, c in histogram.items() if c}
+    tokens = sum(n * c for n, c in root.items())
+    stack = [(None, branches(root, 0, tokens))] if root else []
+    looked = 0
+    while stack and looked < nodes and incumbent > bound:
+        looked += 1
+        path, more = stack[-1]
+        branch = next(more, False)
+        if branch is False:
+            stack.pop()
+        elif branch is not None:
+            after, pattern, used, tokens = branch
+            if not tokens and used < incumbent:
+                incumbent, best, path = used, [], (pattern, path)
+                while path is not None:
+                    best.append(path[0])
+                    path = path[1]
+            elif tokens and used + -(-tokens // capacity) < incumbent:
+                # without further waste it would be better
+                stack.append(((pattern, path), branches(after, used, tokens)))
     return best
 
 

@@ -4,13 +4,15 @@
 2. Where tokens of both end and the next tokens of both bear the mark of a space, an anchor is set: the
    ends are shared and verified, so that the text falls into windows of two runs of token ids.
 3. A window is aligned once and remembered by the ids in it; most windows are a word met before. Windows
-   of a batch that hold the same ids are found together, by hashes that are verified id by id.
+   of a batch that hold the same ids are found together, by hashes that are verified id by id, and those
+   of a batch that are new are aligned together.
 4. Links are counted per batch, then over the corpus. A batch asks for the counts of its own pairs by a
    join, so that nothing is broadcast but the highest count of each id of the second vocabulary.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.packing import PATTERN, Pieces, read_vocabulary
+from corpusloom.llm.packing import PATTERN, Pieces, read_vocabulary, slices
 from corpusloom.llm.shingles import mixed
 from corpusloom.session import materialize
 
@@ -52,12 +54,14 @@ def piece_bytes(processor: sentencepiece.SentencePieceProcessor) -> list[bytes]:
 
 
 class Tokens:
-    """Ids, byte lengths and space marks of one vocabulary."""
+    """Byte lengths, space marks and decimal names of the ids of one vocabulary."""
 
-    def __init__(self, entries: list[bytes]):
+    def __init__(self, entries: list[bytes], last: str):
         self.entries = entries
         self.lengths = np.array([len(x) for x in entries], np.int64)
         self.marked = np.array([x[:1] == b" " for x in entries], bool)
+        # followed by a comma, or by what ends the ids of this vocabulary in a group
+        self.names = np.array([f"{i}," for i in range(len(entries))] + [f"{i}{last}" for i in range(len(entries))], object)
 
     def spell(self, ids: list[int]) -> bytes:
         return b"".join(map(self.entries.__getitem__, ids))
@@ -70,25 +74,27 @@ class Pair:
         entries = [b""] * (max(ranks.values()) + 1)
         for token, i in ranks.items():
             entries[i] = token
-        self.a = Tokens(entries)
+        self.a = Tokens(entries, "|")
         # without special tokens, so that their strings are plain text
         self.encoding = Pieces(
-            tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), ranks
         )
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.b = Tokens(piece_bytes(self.processor))
+        self.b = Tokens(piece_bytes(self.processor), ";")
 
     def tokenised(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Both runs of ids of each text; None where there are none, or the bytes are not the text's."""
         out: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(texts)
         places = [i for i, t in enumerate(texts) if t]
         second = self.processor.encode([texts[i] for i in places], num_threads=1) if places else []
-        for i, b in zip(places, second):
+        first = self.encoding.batch([" " + texts[i] for i in places])
+        for i, ids, b in zip(places, first, second):
             whole = " " + texts[i]
-            a = np.frombuffer(self.encoding.encode(whole), "<u4")
+            a = np.frombuffer(ids, "<u4").astype(np.int64)
             data = whole.encode("utf-8", "surrogatepass")
-            if self.b.spell(b) == data and self.a.spell(a.tolist()) == data:
-                out[i] = a.astype(np.int64), np.array(b, np.int64)
+            # byte-level tokens are cut from the text's bytes, so that their lengths tell whether all are there
+            if self.a.lengths[a].sum() == len(data) and self.b.spell(b) == data:
+                out[i] = a, np.frombuffer(array("q", b), np.int64)
         return out
 
 
@@ -97,32 +103,51 @@ class Pair:
 
 @dataclass(frozen=True)
 class Aligned:
-    """A window's groups as text, how many, and its links as (first id, second id)."""
-
-    text: str
-    groups: int
-    links: tuple[tuple[int, int], ...]
-
-
-def align_window(a: tuple[int, ...], b: tuple[int, ...], a_lengths, b_lengths) -> Aligned:
-    """Cut two runs of tokens over the same bytes where tokens of both end, and link what overlaps."""
-    groups, links = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = int(a_lengths[a[0]]), int(b_lengths[b[0]])
-    while True:
-        links.append((a[i], b[j]))
-        here_a, here_b = end_a, end_b
-        if here_a <= here_b:
-            i += 1
-            end_a += int(a_lengths[a[i]]) if i < len(a) else 0
-        if here_b <= here_a:
-            j += 1
-            end_b += int(b_lengths[b[j]]) if j < len(b) else 0
-        if here_a == here_b:
-            groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-            first_a, first_b = i, j
-            if i == len(a):
-                return Aligned(";".join(groups), len(groups), tuple(links))
+    """Windows aligned: the text of each one's groups, how many, and its links, one window after another.
+
+    A link is ``first id * second ids + second id``.
+    """
+
+    texts: list[str]
+    groups: np.ndarray
+    sizes: np.ndarray  # links of each window
+    links: np.ndarray
+
+
+def align_windows(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, pair: Pair) -> Aligned:
+    """Cut windows where tokens of both end, and link what overlaps.
+
+    ``a`` and ``b`` hold the ids of window after window, ``na`` and ``nb`` of them each. Between two ends
+    of either, next to each other, lie the bytes of one pair of tokens: a link.
+    """
+    end_a, end_b = np.cumsum(pair.a.lengths[a]), np.cumsum(pair.b.lengths[b])
+    at = np.minimum(np.searchsorted(end_b, end_a), len(end_b) - 1)
+    both_a = end_b[at] == end_a
+    both_b = np.zeros(len(b), bool)
+    both_b[at[both_a]] = True
+    # where the ends of b that a has not fall among those of a
+    ends = np.sort(np.concatenate([end_a, end_b[~both_b]]), kind="stable")
+    at_a, at_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+    links = a[at_a] * len(pair.b.entries) + b[at_b]
+    last_a, last_b = np.cumsum(na) - 1, np.cumsum(nb) - 1
+    link_cuts = np.searchsorted(ends, end_a[last_a], "right")
+    upto_a, upto_b = np.cumsum(both_a), np.cumsum(both_b)
+    groups = np.diff(upto_a[last_a], prepend=0)
+    # ids in the order of the text: those of a group in a, then those in b
+    group_a, group_b = upto_a - both_a, upto_b - both_b
+    spoken = np.empty(len(a) + len(b), object)
+    before_b = np.searchsorted(group_b, group_a)
+    spoken[np.arange(len(a)) + before_b] = pair.a.names[a + both_a * len(pair.a.entries)]
+    before_a = np.searchsorted(group_a, group_b, "right")
+    spoken[np.arange(len(b)) + before_a] = pair.b.names[b + both_b * len(pair.b.entries)]
+    words, cuts = spoken.tolist(), [0, *np.cumsum(na + nb).tolist()]
+    texts = ["".join(words[i:j])[:-1] for i, j in zip(cuts, cuts[1:])]
+    return Aligned(texts, groups, np.diff(link_cuts, prepend=0), links)
+
+
+def _flat(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs that start and are as long as given, one run after another."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
 
 
 def _run_hashes(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -191,16 +216,40 @@ class Aligner:
 
     def __init__(self, pair: Pair):
         self.pair = pair
-        self.known: dict[tuple[tuple[int, ...], tuple[int, ...]], Aligned] = {}
-
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> Aligned:
-        found = self.known.get((a, b))
-        if found is None:
-            found = align_window(a, b, self.pair.a.lengths, self.pair.b.lengths)
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[a, b] = found
-        return found
+        self.forget()
+
+    def forget(self) -> None:
+        # a window's number by its ids; what is known of it by its number
+        self.known: dict[bytes, int] = {}
+        self.texts: list[str] = []
+        none = np.zeros(0, np.int64)
+        self.groups, self.sizes, self.starts, self.links = none, none, none, none
+
+    def numbers(self, a: np.ndarray, b: np.ndarray, windows: Windows, first: np.ndarray) -> np.ndarray:
+        """The numbers of the given windows; those that are not known yet are aligned together."""
+        a_ids, b_ids = a.astype("<u4").tobytes(), b.astype("<u4").tobytes()
+        ends = (x[first] * 4 for x in (windows.a0, windows.a0 + windows.na, windows.b0, windows.b0 + windows.nb))
+        # no id is as large as what stands between the two runs
+        keys = [
+            a_ids[i:j] + b"\xff\xff\xff\xff" + b_ids[k:m] for i, j, k, m in zip(*[x.tolist() for x in ends])
+        ]
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        found = list(map(self.known.get, keys))
+        new = [i for i, x in enumerate(found) if x is None]
+        if new:
+            own = first[new]
+            na, nb = windows.na[own], windows.nb[own]
+            aligned = align_windows(a[_flat(windows.a0[own], na)], b[_flat(windows.b0[own], nb)], na, nb, self.pair)
+            start, held = len(self.texts), len(self.links)
+            self.texts += aligned.texts
+            self.groups = np.concatenate([self.groups, aligned.groups])
+            self.starts = np.concatenate([self.starts, held + np.cumsum(aligned.sizes) - aligned.sizes])
+            self.sizes = np.concatenate([self.sizes, aligned.sizes])
+            self.links = np.concatenate([self.links, aligned.links])
+            for number, i in enumerate(new, start):
+                self.known[keys[i]] = found[i] = number
+        return np.array(found, np.int64)
 
     def batch(self, texts: list[str | None]) -> tuple[dict[str, np.ndarray], list[str], list[bytes], list[bytes]]:
         """``COUNTS``, groups, distinct pairs and how often each occurs, of each text."""
@@ -216,54 +265,25 @@ class Aligner:
         a, b = (np.concatenate([x[side] for _, x in held]) for side in (0, 1))
         windows = Windows.cut(a, b, np.cumsum(counts["n_a"][rows]), self.pair)
         first, kind = windows.distinct(a, b)
-        a_list, b_list = a.tolist(), b.tolist()
-        kinds = [
-            self.window(tuple(a_list[p : p + x]), tuple(b_list[q : q + y]))
-            for p, x, q, y in zip(
-                windows.a0[first].tolist(), windows.na[first].tolist(), windows.b0[first].tolist(), windows.nb[first].tolist()
-            )
-        ]
-        counts["n_groups"][rows] = np.bincount(
-            windows.of, np.array([k.groups for k in kinds])[kind], len(rows)
-        ).astype(np.int64)
-        # all links, kind after kind, then window after window
-        size = np.array([len(k.links) for k in kinds])
-        flat = np.array([x for k in kinds for x in k.links], np.int64)
-        codes = flat[:, 0] * len(self.pair.b.entries) + flat[:, 1]
-        links = size[kind]
-        start = (np.cumsum(size) - size)[kind]
-        inside = np.arange(int(links.sum())) - np.repeat(np.cumsum(links) - links, links)
-        code = codes[np.repeat(start, links) + inside]
-        of = np.repeat(windows.of, links)
+        number = self.numbers(a, b, windows, first)[kind]
+        counts["n_groups"][rows] = np.bincount(windows.of, self.groups[number], len(rows)).astype(np.int64)
+        sizes = self.sizes[number]
+        code = self.links[_flat(self.starts[number], sizes)]
+        of = np.repeat(windows.of, sizes)
         counts["n_links"][rows] = np.bincount(of, minlength=len(rows))
         names, local = np.unique(code, return_inverse=True)
         keys, n_times = np.unique(of * len(names) + local, return_counts=True)
-        cut = np.searchsorted(keys // len(names), np.arange(len(rows) + 1))
-        own = names[keys % len(names)].astype("<u8")
-        n_times = n_times.astype("<u4")
-        texts_of = [k.text for k in kinds]
-        spoken = [texts_of[k] for k in kind.tolist()]
+        cut = np.searchsorted(keys // len(names), np.arange(len(rows) + 1)).tolist()
+        own, n_times = names[keys % len(names)].astype("<u8").tobytes(), n_times.astype("<u4").tobytes()
+        spoken = list(map(self.texts.__getitem__, number.tolist()))
         upto = np.searchsorted(windows.of, np.arange(len(rows) + 1)).tolist()
         for j, row in enumerate(rows.tolist()):
             groups[row] = ";".join(spoken[upto[j] : upto[j + 1]])
-            pairs[row] = own[cut[j] : cut[j + 1]].tobytes()
-            times[row] = n_times[cut[j] : cut[j + 1]].tobytes()
+            pairs[row] = own[8 * cut[j] : 8 * cut[j + 1]]
+            times[row] = n_times[4 * cut[j] : 4 * cut[j + 1]]
         return counts, groups, pairs, times
 
 
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about ``TOGETHER`` characters; a very long one is a run of its own."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        length = len(text or "")
-        if i > start and size + length > TOGETHER:
-            yield start, i
-            start, size = i, 0
-        size += length
-    if start < len(texts):
-        yield start, len(texts)
-
-
 # --- the corpus -------------------------------------------------------------------------------------
 
 
@@ -285,7 +305,7 @@ def _aligned(docs: DataFrame, ranks: dict[bytes, int], model: bytes) -> DataFram
         aligner, number = Aligner(Pair(*sent.value)), TaskContext.get().partitionId() << 32
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for start, end in _slices(texts):
+            for start, end in slices(texts, TOGETHER):
                 counts, groups, pairs, times = aligner.batch(texts[start:end])
                 arrays = [
                     batch.column(0).slice(start, end - start),
