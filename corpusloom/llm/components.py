@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from corpusloom.session import materialize
 
+# Links that one task follows at most: fewer than these need no exchange, and more are dealt out as ever.
+ONE_TASK = 1 << 17
 
-def _least(edges: DataFrame, name: str) -> DataFrame:
-    """The least neighbour of each ``a``; written, so that a node with very many links can be split."""
-    return materialize(edges.groupBy("a").agg(F.min("b").alias("m")), name)
+
+def _gathered(df: DataFrame, few: bool) -> DataFrame:
+    """The same rows, in one partition if they are few: joins and groups of such tables exchange nothing."""
+    return df.coalesce(1) if few else df
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -18,16 +21,27 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Every step links nodes to the least neighbour of a neighbourhood, so the number of steps grows with
     the logarithm of the longest path. Links of a node to itself and repeated links do no harm; without
-    links there are no nodes.
+    links there are no nodes. The least neighbours are written, so that a node with very many links can be
+    split. Up to ``ONE_TASK`` links are followed by the same steps in one task.
     """
     x, y = F.col(a).alias("a"), F.col(b).alias("b")
     edges = links.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).where("a != b").distinct()
     edges = materialize(edges, "links")
-    mark = None
+    # the steps never make more edges than there are links
+    few = edges.count() <= ONE_TASK
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        return _gathered(materialize(df, name), few)
+
+    def least_of(pairs: DataFrame) -> DataFrame:
+        least = pairs.groupBy("a").agg(F.min("b").alias("m"))
+        return least if few else materialize(least, "least")
+
+    edges, mark = _gathered(edges, few), None
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = _least(both, "least").select("a", F.least("m", "a").alias("m"))
-        large = materialize(
+        both = _gathered(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), few)
+        least = least_of(both).select("a", F.least("m", "a").alias("m"))
+        large = written(
             both.join(least, "a")
             .where("b > a")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -35,15 +49,11 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .distinct(),
             "large-star",
         )
-        least = _least(large, "least")
-        joined = large.join(least, "a")
-        edges = materialize(
-            joined.select("a", F.col("m").alias("b"))
-            .unionByName(joined.select(F.col("b").alias("a"), F.col("m").alias("b")))
-            .where("a != b")
-            .distinct(),
-            "small-star",
+        joined = large.join(least_of(large), "a")
+        chained = joined.select("a", F.col("m").alias("b")).unionByName(
+            joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
         )
+        edges = written(_gathered(chained, few).where("a != b").distinct(), "small-star")
         now = edges.agg(
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
         ).first()

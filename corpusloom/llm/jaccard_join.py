@@ -27,7 +27,7 @@ from corpusloom.llm import keycounts
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.rows import ROW, with_rows
 from corpusloom.llm.shingles import mixed, shingle_set, word_hashes
-from corpusloom.session import materialize, release
+from corpusloom.session import discard, materialize, release
 
 BATCH_BITS = 10  # documents of a batch: 2 ** 10
 PARTS = 64  # parts of the suffix filter
@@ -159,10 +159,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     suffix = (100 + percent) * most >= percent * (na + nb)
     both = F.when(suffix, F.size(F.array_intersect("ga", "gb"))).otherwise(0)
     return (
-        joined.select("a", "b", na.alias("na"), nb.alias("nb"), both.alias("overlap"))
+        joined.select(*pairs.columns, na.alias("na"), nb.alias("nb"), both.alias("overlap"))
         .where(100 * F.col("overlap") >= percent * (F.col("na") + F.col("nb") - F.col("overlap")))
         .where(F.col("overlap") > 0)
-        .select("a", "b", "overlap")
+        .select(*pairs.columns, "overlap")
     )
 
 
@@ -212,10 +212,11 @@ def link_sets(written: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
     several = materialize(
         posted.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1").select("key"), "several"
     )
+    every = posted
     posted = materialize(posted.join(several, "key"), "postings")
-    grams = materialize(_grams(written, posted.select("set").distinct(), n), "grams")
+    discard(every)
+    discard(several)
     release(written.sparkSession)
-    links = None
     tested = None
     component = posted.select("set").distinct().select("set", F.col("set").alias("component"))
     for step in range(LEADER_ROUNDS + 1):
@@ -253,21 +254,35 @@ def link_sets(written: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
             .where(F.col("x.component") != F.col("y.component"))
             .where(_may_link(percent, "x", "y"))
             .select(
-                F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")
+                F.least("x.set", "y.set").alias("a"),
+                F.greatest("x.set", "y.set").alias("b"),
+                F.least("x.component", "y.component").alias("ca"),
+                F.greatest("x.component", "y.component").alias("cb"),
             )
             .distinct()
         )
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        now = pairs.select("a", "b")
+        tested = now if tested is None else tested.unionByName(now)
+        # the sets of this round's pairs alone are hashed again, and dropped after it
+        compared = materialize(
+            now.select(F.col("a").alias("set")).unionByName(now.select(F.col("b").alias("set"))).distinct(), "compared"
+        )
+        grams = materialize(_grams(written, compared, n), "grams")
         found = materialize(_verified(pairs, grams, percent), "verified")
-        links = found if links is None else links.unionByName(found)
-        grouped = connected_components(links)
+        discard(grams)
+        discard(compared)
+        release(written.sparkSession)
+        if found.isEmpty():
+            continue
+        # the new links join groups so far, and what they join is all that is followed
+        grouped = connected_components(found, "ca", "cb").withColumnRenamed("component", "joined")
         component = materialize(
-            component.select("set")
-            .join(grouped, F.col("set") == F.col("node"), "left")
-            .select("set", F.coalesce("component", "set").alias("component")),
+            component.join(grouped, F.col("component") == F.col("node"), "left").select(
+                "set", F.coalesce("joined", "component").alias("component")
+            ),
             "groups",
         )
         release(written.sparkSession)

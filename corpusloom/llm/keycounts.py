@@ -1,7 +1,8 @@
 """Global counts of 64-bit keys that batches of rows hold, returned to each batch.
 
 A batch sends its distinct keys, cut by their leading bits into ranges, as arrays of the following 32
-bits. The task of a range adds up the counts and sends each batch the keys that more than one row holds.
+bits. Sorted keys travel as their differences, and numbers as their first bytes, then their second bytes and
+so on, so that the bytes that are zero compress. The task of a range adds up the counts and sends each batch the keys that more than one row holds.
 A frequent key comes once per batch, not once per row, and there are as many ranges as bound a task's
 keys, so neither hot keys nor a large corpus gather in one task.
 """
@@ -23,6 +24,28 @@ def ranges_for(keys: int) -> int:
     return 1 << max(6, int(np.ceil(np.log2(max(1, keys) / KEYS_PER_RANGE))))
 
 
+def packed(values: np.ndarray, kind: str) -> bytes:
+    """Numbers of a kind as bytes: the first byte of each, then the second of each."""
+    held = np.ascontiguousarray(values.astype(kind))
+    return held.view(np.uint8).reshape(len(held), held.itemsize).T.tobytes()
+
+
+def unpacked(blob: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(blob, np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
+def packed_keys(keys: np.ndarray, kind: str) -> bytes:
+    """Sorted keys by their differences."""
+    return packed(np.diff(keys.astype(kind), prepend=np.zeros(1, kind)), kind)
+
+
+def unpacked_keys(blob: bytes, kind: str) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.cumsum(unpacked(blob, kind), dtype=kind)
+
+
 def placed(keys: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
     """Range and remaining 32 bits of each key. Sorted keys stay sorted."""
     bits = ranges.bit_length() - 1
@@ -33,12 +56,12 @@ def placed(keys: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
 def sent(batch: int, keys: np.ndarray, counts: np.ndarray, ranges: int, wide: bool = False) -> list[tuple]:
     """Rows of ``SENT`` for the sorted distinct keys of a batch; ``wide`` keys keep all their bits."""
     high, low = placed(keys, ranges)
-    low = keys.astype("<u8") if wide else low.astype("<u4")
+    low, kind = (keys, "<u8") if wide else (low, "<u4")
     edges = np.flatnonzero(np.diff(high, prepend=-1))
     out = []
     for a, b in zip(edges, [*edges[1:], len(keys)]):
         out.append(
-            (batch, int(high[a]), low[a:b].tobytes(), counts[a:b].astype("<u4").tobytes())
+            (batch, int(high[a]), packed_keys(low[a:b], kind), packed(counts[a:b], "<u4"))
         )
     return out
 
@@ -53,8 +76,8 @@ def batch_of(rows: list[tuple]) -> pa.RecordBatch:
 
 def added(table: pa.Table, wide: bool = False) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """The keys of each row of a range; its distinct keys, each key's place among them, and their totals."""
-    keys = [np.frombuffer(k, "<u8" if wide else "<u4") for k in table.column("keys").to_pylist()]
-    counts = np.concatenate([np.frombuffer(c, "<u4") for c in table.column("counts").to_pylist()])
+    keys = [unpacked_keys(k, "<u8" if wide else "<u4") for k in table.column("keys").to_pylist()]
+    counts = np.concatenate([unpacked(c, "<u4") for c in table.column("counts").to_pylist()])
     held, place = np.unique(np.concatenate(keys), return_inverse=True)
     return keys, held, place, np.bincount(place, weights=counts, minlength=len(held)).astype(np.int64)
 
@@ -73,7 +96,7 @@ def returned(sent_rows: DataFrame, at_least: int = 2, wide: bool = False) -> Dat
             at += len(k)
             take = t >= at_least
             if take.any():
-                out.append((batch, number, k[take].tobytes(), t[take].tobytes()))
+                out.append((batch, number, packed_keys(k[take], "<u8" if wide else "<u4"), packed(t[take], "<u4")))
         return pa.Table.from_batches([batch_of(out)])
 
     return sent_rows.groupBy("range").applyInArrow(total, SENT)
@@ -84,8 +107,8 @@ def lookup(rows: Iterator[tuple[int, bytes, bytes]], ranges: int) -> tuple[np.nd
     bits = ranges.bit_length() - 1
     keys, totals = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
     for high, k, t in rows:
-        keys.append((np.uint64(high) << np.uint64(32)) | np.frombuffer(k, "<u4").astype(np.uint64))
-        totals.append(np.frombuffer(t, "<u4"))
+        keys.append((np.uint64(high) << np.uint64(32)) | unpacked_keys(k, "<u4").astype(np.uint64))
+        totals.append(unpacked(t, "<u4"))
     joined, total = np.concatenate(keys), np.concatenate(totals)
     joined, first = np.unique(joined, return_index=True)
     assert bits <= 32

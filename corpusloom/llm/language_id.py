@@ -39,8 +39,9 @@ class LanguageModel:
 
 
 def letters(text: str) -> str:
-    """Lower-cased words of letters, one space between them."""
-    return _NO_LETTER.sub(" ", text.lower()).strip()
+    """Lower-cased words, one space between them; none where no word has a letter, as in ``½`` or ``²²``."""
+    words = _NO_LETTER.sub(" ", text.lower()).strip()
+    return words if any(map(str.isalpha, words)) else ""
 
 
 def fit(
@@ -182,11 +183,12 @@ def identify(
     for name in (prediction, score, rejected):
         if name.lower() in taken:
             raise ValueError(f"there is a column {name} already")
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # not the model itself, whose class a worker cannot import
+    sent = docs.sparkSession.sparkContext.broadcast(dict(model.dictionaries))
 
     @F.pandas_udf("language string, score double")
     def classified(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        sizer = Sizer(sent.value)
+        sizer = Sizer(LanguageModel(sent.value))
         for batch in batches:
             yield pd.DataFrame([sizer.classify(t) for t in batch], columns=["language", "score"])
 

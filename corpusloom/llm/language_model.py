@@ -138,10 +138,13 @@ class LanguageModel:
 def log10(
     own: np.ndarray, context: np.ndarray, pair: np.ndarray, tokens: int, types: int, share: float = SHARE
 ) -> np.ndarray:
-    """The logarithm of each token's probability after the one before, from the filter's counts."""
+    """The logarithm of each token's probability after the one before, from the filter's counts.
+
+    After a token that was never seen nothing is known of what follows, and the word's own share is all.
+    """
     ratio = np.minimum(1.0, pair / np.maximum(context, 1))
     single = np.minimum(1.0, (own + 1) / (tokens + types + 1))
-    return np.log10(share * ratio + (1 - share) * single)
+    return np.log10(np.where(context > 0, share * ratio + (1 - share) * single, single))
 
 
 def _counted(docs: DataFrame, ranges: int) -> DataFrame:
@@ -310,10 +313,10 @@ def _told(asked: DataFrame, model: LanguageModel, ranges: int) -> DataFrame:
         number = questions.column("range")[0].as_py()
         names = ("batch", "words", "counts", "pairs")
         batch, words, counts, both = (questions.column(n).to_pylist() for n in names)
-        words = [np.frombuffer(w, "<u8") for w in words]
-        both = [np.frombuffer(p, "<u4") for p in both]
+        words = [keycounts.unpacked_keys(w, "<u8") for w in words]
+        both = [keycounts.unpacked_keys(p, "<u4") for p in both]
         held, place = np.unique(np.concatenate(words), return_inverse=True)
-        weights = np.concatenate([np.frombuffer(c, "<i8") for c in counts])
+        weights = np.concatenate([keycounts.unpacked(c, "<i8") for c in counts])
         total = np.bincount(place, weights=weights, minlength=len(held)).astype("<i8")[place]
         size = part.column("size")[0].as_py() if len(part) else 0
         blob = part.column("bits")[0].as_py() if len(part) else b""
@@ -331,7 +334,7 @@ def _told(asked: DataFrame, model: LanguageModel, ranges: int) -> DataFrame:
         columns = (
             batch,
             [number] * len(batch),
-            [total[i:j].tobytes() for i, j in zip(w, w[1:])],
+            [keycounts.packed(total[i:j], "<i8") for i, j in zip(w, w[1:])],
             [word_levels[i:j].tobytes() for i, j in zip(w, w[1:])],
             [pair_levels[i:j].tobytes() for i, j in zip(p, p[1:])],
         )
@@ -374,9 +377,9 @@ def score(
         columns = (
             [number] * len(used),
             used,
-            [keys[w[r] : w[r + 1]].astype("<u8").tobytes() for r in used],
-            [counts[w[r] : w[r + 1]].tobytes() for r in used],
-            [low[p[r] : p[r + 1]].astype("<u4").tobytes() for r in used],
+            [keycounts.packed_keys(keys[w[r] : w[r + 1]], "<u8") for r in used],
+            [keycounts.packed(counts[w[r] : w[r + 1]], "<i8") for r in used],
+            [keycounts.packed_keys(low[p[r] : p[r + 1]], "<u4") for r in used],
         )
         return pa.table({f.split()[0]: pa.array(c, k) for f, c, k in zip(_ASKED.split(", "), columns, _TOLD_KINDS)})
 
@@ -396,7 +399,9 @@ def score(
     def judge(texts: pa.Table, came: pa.Table) -> pa.Table:
         came = came.sort_by("range")
         split_words, keys, both = _keys_of(texts.column("text").to_pylist())
-        counts = np.frombuffer(b"".join(came.column("counts").to_pylist()), "<i8")
+        counts = np.concatenate(
+            [np.zeros(0, "<i8"), *[keycounts.unpacked(c, "<i8") for c in came.column("counts").to_pylist()]]
+        )
         word_levels = np.frombuffer(b"".join(came.column("words").to_pylist()), np.uint8)
         pair_levels = np.frombuffer(b"".join(came.column("pairs").to_pylist()), np.uint8)
         assert len(counts) == len(word_levels) == len(keys) and len(pair_levels) == len(both)

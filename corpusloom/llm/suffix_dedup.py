@@ -118,7 +118,7 @@ def _spans(passages: DataFrame, counted: DataFrame, least: int) -> DataFrame:
 
     def run(table: pa.Table, came: pa.Table) -> pa.Table:
         shared = np.unique(
-            np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(k, "<u8") for k in came.column("keys").to_pylist()]])
+            np.concatenate([np.zeros(0, np.uint64), *[keycounts.unpacked_keys(k, "<u8") for k in came.column("keys").to_pylist()]])
         )
         out: list[list[np.ndarray]] = [[], [], []]
         fields = (table.column(n).to_pylist() for n in (ROW, "starts", "hashes"))

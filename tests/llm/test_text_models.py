@@ -46,6 +46,15 @@ def test_language_edges(spark, labelled):
     assert language_id.identify(odd.where("false"), model).count() == 0
 
 
+def test_texts_without_a_letter_have_no_language(spark):
+    model = language_id.LanguageModel({"de": b"der die das und", "en": b"the of and to"})
+    texts = ["\u00bd", "\u00b2\u00b2 \u2460", "12 ... \u2167", "_", "the", "\u4e00"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in language_id.identify(docs, model).collect()}
+    assert [got[i].lang_pred == "und" for i in range(6)] == [True, True, True, True, False, False]
+    assert all(got[i].lang_score == 0 and got[i].rejected for i in range(4))
+
+
 def test_dictionaries_take_texts_until_full(spark):
     rng = random.Random(6)
 
@@ -188,3 +197,29 @@ def test_every_bigram_is_held_and_probed_by_ranges(spark, labelled, monkeypatch)
     assert all(math.isclose(first[k].score, v, rel_tol=1e-9) for k, v in want.items()) and len(first) == len(want)
     monkeypatch.setattr(keycounts, "KEYS_PER_RANGE", 2_000)  # more ranges of questions than parts
     assert {r.doc_id: r for r in language_model.score(docs, model, train).collect()} == first
+
+
+def test_shares_of_all_words_add_up():
+    """After every word, and after one never seen, within what quantised counts can miss."""
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 12, 4_000)
+    n = np.bincount(words, minlength=12)
+    follow = np.zeros((12, 12), np.int64)
+    np.add.at(follow, (words[:-1], words[1:]), 1)
+    tokens, types = int(n.sum()), 12
+
+    def level(counts):
+        return language_model._SMALLEST[language_model.levels(counts)]
+
+    unknown = np.zeros(1, np.int64)
+    for first in range(12):
+        # nothing follows the last word
+        for known, low in ((lambda x: x, 1 - 1 / n.min()), (level, 1 / language_model.GROWTH**2)):
+            own, context = np.append(known(n), unknown), np.full(13, known(n[first : first + 1])[0])
+            both = np.append(known(follow[first]), unknown)
+            total = (10 ** language_model.log10(own, context, both, tokens, types)).sum()
+            assert low <= total <= language_model.GROWTH
+    # what follows a word that was never seen: the words' own shares, all of them
+    own = np.append(n, unknown)
+    total = (10 ** language_model.log10(own, np.zeros(13, np.int64), np.zeros(13, np.int64), tokens, types)).sum()
+    assert abs(total - 1) < 1e-9
