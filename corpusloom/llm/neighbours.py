@@ -8,8 +8,9 @@ seen, those not yet visited send their neighbours, until the ``beam`` nearest ar
 found are scored again on the vectors as they are.
 
 Nodes are dealt to tasks by hash into buckets of bounded size; graph, vectors and requests meet there as
-arrays. Graph and walk compare unit vectors in double precision, so that nearly equal vectors stay apart; no
-table of vectors is sent to the driver or all tasks.
+arrays. Vectors travel in single precision, which is how embeddings are stored, and are brought to length 1
+in the task: graph and walk compare in double precision, so that nearly equal vectors stay apart. No table
+of vectors is sent to the driver or all tasks.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ BLOCK = 512
 ROUNDS = 4
 BEAM = 256
 STEPS = 24  # a bound on the walk, which ends by itself long before
-BUCKET = 2_048 * 64  # components of the vectors of a bucket
+BUCKET = 1_024 * 64  # components of the vectors of a bucket
 FINAL = 32  # nearest found nodes whose scores are computed on the vectors as they are
 
 _EDGES = "a long, b long, s double"
@@ -70,13 +71,18 @@ def _hash_bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _coded(vectors: np.ndarray) -> np.ndarray:
-    """Direction of each vector, of length 1."""
-    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-    return (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype("<f8")
+    """Each vector by its largest component, so that none is too large or too small for single precision."""
+    return (vectors / np.abs(vectors).max(axis=1, keepdims=True)).astype("<f4")
+
+
+def _directions(codes: bytes, n: int) -> np.ndarray:
+    """The vectors of length 1 of ``n`` codes."""
+    held = np.frombuffer(codes, "<f4").reshape(n, -1).astype(np.float64)
+    return held / np.linalg.norm(held, axis=1, keepdims=True)
 
 
 def _units(blobs: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), "<f8").reshape(len(blobs), -1)
+    return _directions(b"".join(blobs), len(blobs))
 
 
 def _best(a: np.ndarray, b: np.ndarray, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -323,9 +329,9 @@ def _walk(nodes: DataFrame, graph: DataFrame, queries: DataFrame, buckets: int,
             if not places:
                 continue
             b = np.frombuffer(b"".join([ids[p] for p in places]), "<i8")
-            block = np.frombuffer(b"".join([codes[p] for p in places]), "<f8").reshape(len(b), -1)
+            block = np.frombuffer(b"".join([codes[p] for p in places]), "<f4").reshape(len(b), -1)
             b, first = np.unique(b, return_index=True)
-            s = block[first] @ np.frombuffer(code, "<f8")
+            s = _directions(block[first].tobytes(), len(b)) @ _units([code])[0]
             other = b != q
             out.append((q, b[other].astype("<i8").tobytes(), s[other].astype("<f8").tobytes()))
         columns = list(zip(*out)) if out else [[], [], []]
