@@ -12,6 +12,8 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import struct
+import sys
 import tempfile
 import unicodedata
 from collections.abc import Iterable, Iterator, Sequence
@@ -20,9 +22,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
+
+from corpusloom.session import materialize
 
 WORDS = 200_000  # words of the lexicon
 LONGEST = 64  # bytes of a lexicon word
@@ -32,7 +37,6 @@ SPACE = r"[\t-\r \x85\xa0  -     　]"
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _MARKS = tuple(".,;:!?|")
 _OTHER_SPACE = regex.compile("[\x1c-\x1f]")  # white space to Python alone
-_WORD = regex.compile(WORD.replace(r"\s", SPACE[1:-1]))
 
 
 @dataclass(frozen=True)
@@ -44,6 +48,9 @@ class Vocabulary:
     made: list[int]  # by rank
     special: dict[str, int]
     word_end: str
+    letters: str  # inside of a character class
+    numbers: str
+    lower: dict[str, str]  # what the tokenizer makes of letters that Python does not know
 
     @staticmethod
     def read(path: str) -> Vocabulary:
@@ -58,8 +65,13 @@ class Vocabulary:
             [ids[a + b] for a, b in merges],
             {t["content"]: t["id"] for t in held["added_tokens"]},
             model["end_of_word_suffix"] or "",
+            *character_classes(path),
         )
 
+    def parts(self) -> tuple:
+        """The fields, which travel to workers that cannot import this class."""
+        return self.ids, self.ranks, self.made, self.special, self.word_end, self.letters, self.numbers, self.lower
+
 
 def byte_table() -> list[str]:
     """The printable character that stands for each byte."""
@@ -127,6 +139,75 @@ def _merge_long(parts: list[int], vocabulary: Vocabulary) -> list[int]:
     return [p for p in parts if p >= 0]
 
 
+class Merger:
+    """Merges many words at once: in each round the pair of the lowest rank of every word, the first of equals."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        order = np.argsort(np.array(list(vocabulary.ranks), np.int64))
+        self.pairs = np.array(list(vocabulary.ranks), np.int64)[order]
+        self.pair_ranks = np.array(list(vocabulary.ranks.values()), np.int64)[order]
+        self.made = np.array(vocabulary.made, np.int64)
+        table, ids = byte_table(), vocabulary.ids
+        self.inside = np.array([ids.get(c, 0) for c in table], np.int64)
+        self.last = np.array([ids.get(c + vocabulary.word_end, 0) for c in table], np.int64)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, or the number of ranks where it has none."""
+        wanted = (left << 32) + right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == wanted, self.pair_ranks[at], len(self.made))
+
+    def merge(self, words: Sequence[bytes]) -> list[bytes]:
+        """The ids of each word, of 1 to 200 bytes."""
+        if not words:
+            return []
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        data = np.frombuffer(b"".join(words), np.uint8)
+        ends, none = np.cumsum(lengths), len(self.made)
+        parts = self.inside[data]
+        parts[ends - 1] = self.last[data[ends - 1]]
+        of = np.repeat(np.arange(len(words)), lengths)
+        ranks = np.full(len(parts), none)
+        if len(self.pairs):
+            ranks[:-1] = self._ranks(parts[:-1], parts[1:])
+        ranks[ends - 1] = none
+        done_parts, done_of = [], []
+        while len(parts):
+            starts = np.flatnonzero(np.diff(of, prepend=-1))
+            sizes = np.diff(np.append(starts, len(of)))
+            best = np.minimum.reduceat(ranks, starts)
+            open_words = best < none
+            going = np.repeat(open_words, sizes)
+            done_parts.append(parts[~going])
+            done_of.append(of[~going])
+            each = np.repeat(best, sizes)[going]
+            parts, of, ranks = parts[going], of[going], ranks[going]
+            if not len(parts):
+                break
+            hits = np.flatnonzero(ranks == each)
+            first = hits[np.diff(of[hits], prepend=-1) > 0]
+            parts[first] = self.made[ranks[first]]
+            kept = np.ones(len(parts), bool)
+            kept[first + 1] = False
+            # after the second parts are gone, each first one has moved by those before it
+            at = first - np.arange(len(first))
+            parts, of, ranks = parts[kept], of[kept], ranks[kept]
+            for place in (at, at - 1):
+                ahead = np.minimum(place + 1, len(parts) - 1)
+                real = (place >= 0) & (place + 1 < len(parts))
+                real &= of[ahead] == of[place]
+                inside = place[real]
+                ranks[inside] = self._ranks(parts[inside], parts[inside + 1])
+                if place is at:
+                    ranks[place[~real]] = none
+        flat, of = np.concatenate(done_parts), np.concatenate(done_of)
+        order = np.argsort(of, kind="stable")
+        blob = flat[order].astype("<u4").tobytes()
+        cuts = [0, *(4 * np.cumsum(np.bincount(of, minlength=len(words)))).tolist()]
+        return [blob[i:j] for i, j in zip(cuts, cuts[1:])]
+
+
 # --- the automaton ----------------------------------------------------------------------------------
 
 
@@ -171,6 +252,9 @@ class Transducer:
     def output(self, index: int) -> bytes:
         return self.ids[self.starts[index] : self.starts[index + 1]].tobytes()
 
+    def parts(self) -> tuple:
+        return self.edges, self.target, self.before, self.final, self.starts, self.ids
+
     def save(self, path: str) -> None:
         for name in ("edges", "target", "before", "final", "starts", "ids"):
             np.save(os.path.join(path, f"{name}.npy"), getattr(self, name))
@@ -249,14 +333,73 @@ def normalised(text: str) -> str:
     return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
 
-def words_of(text: str) -> list[bytes]:
-    """The words of a text; letters alone, or before one mark, are known without the pattern."""
-    text = text.lower() if text.isascii() else normalised(text)
-    if text.isalpha():
-        return [text.encode()]
-    if text[-1:] in _MARKS and text[:-1].isalpha():
-        return [text[:-1].encode(), text[-1].encode()]
-    return [w.encode() for w in _WORD.findall(text)]
+def _ranges(points: Sequence[int]) -> str:
+    """Sorted code points as the inside of a character class."""
+    out, start = [], 0
+    for i in range(1, len(points) + 1):
+        if i == len(points) or points[i] != points[i - 1] + 1:
+            first, last = points[start], points[i - 1]
+            out.append(f"\\U{first:08x}-\\U{last:08x}")
+            start = i
+    return "".join(out)
+
+
+def character_classes(path: str) -> tuple[str, str, dict[str, str]]:
+    """What a tokenizer file's library knows: letters and numbers, as insides of classes, and lower case.
+
+    Libraries follow different versions of Unicode. Those code points that the newest one here calls letters
+    or numbers are shown to the library's pre-tokenizer: a letter stays with a letter before it, and a mark
+    with a mark; what does neither is a number. Later versions only add letters and numbers. The lower case
+    is given of those letters of which Python has another.
+    """
+    library = Tokenizer.from_file(path)
+    cut = library.pre_tokenizer.pre_tokenize_str
+    everything = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+
+    def stays(points: list[str], before: str) -> set[str]:
+        # each is cut with what stands before it, a blank apart from the others
+        pieces = {place for _, place in cut("".join(f"{before}{c} " for c in points))}
+        return {c for i, c in enumerate(points) if (3 * i, 3 * i + 2) in pieces}
+
+    known = regex.compile(r"[\p{L}\p{N}]")
+    points = [c for c in everything if known.match(c)]
+    letters = stays(points, "a")
+    rest = [c for c in points if c not in letters]
+    numbers = set(rest) - stays(rest, "!")
+    shown = library.normalizer.normalize_str(" ".join(points)).split(" ")
+    lower = {c: x for c, x in zip(points, shown) if normalised(c) != x}
+    return _ranges(sorted(map(ord, letters))), _ranges(sorted(map(ord, numbers))), lower
+
+
+class Cutter:
+    """Cuts text between white space into words."""
+
+    def __init__(self, letters: str, numbers: str, lower: dict[str, str]):
+        pattern = WORD.replace(r"\s", SPACE[1:-1]).replace(r"\p{L}", letters).replace(r"\p{N}", numbers)
+        self.pattern = regex.compile(pattern)
+        # letters to Python, whose Unicode may be newer, that are none to the tokenizer
+        known = regex.compile(f"[{letters}]")
+        odd = [c for c in range(sys.maxunicode + 1) if chr(c).isalpha() and not known.match(chr(c))]
+        self.odd = regex.compile(f"[{_ranges(odd)}]") if odd else None
+        self.lower = str.maketrans(lower)
+        self.changed = regex.compile(f"[{_ranges(sorted(self.lower))}]") if lower else None
+
+    def _letters(self, text: str) -> bool:
+        return text.isalpha() and (self.odd is None or text.isascii() or not self.odd.search(text))
+
+    def words(self, text: str) -> list[bytes]:
+        """The words of a text; letters alone, or before one mark, are known without the pattern."""
+        if text.isascii():
+            text = text.lower()
+        else:
+            text = normalised(text)
+            if self.changed and self.changed.search(text):
+                text = text.translate(self.lower)
+        if self._letters(text):
+            return [text.encode()]
+        if text[-1:] in _MARKS and self._letters(text[:-1]):
+            return [text[:-1].encode(), text[-1].encode()]
+        return [w.encode() for w in self.pattern.findall(text)]
 
 
 class Encoder:
@@ -264,6 +407,8 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Transducer | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
+        self.words = Cutter(vocabulary.letters, vocabulary.numbers, vocabulary.lower).words
+        self.merger = Merger(vocabulary)
         self.ids: dict[str, bytes] = {}
         self.shown: dict[str, str] = {}  # decoded
         self.empty: set[str] = set()  # cuts without any word
@@ -279,11 +424,11 @@ class Encoder:
 
     def _merged(self, word: bytes) -> bytes:
         shown = word.decode("latin-1").translate(self.table)
-        return np.array(merge(shown, self.vocabulary), "<u4").tobytes()
+        return struct.pack(f"<{len(ids := merge(shown, self.vocabulary))}I", *ids)
 
     def decoded(self, ids: bytes) -> str:
         """Tokens with a space between two, as the library writes them for such vocabularies."""
-        return " ".join([self.tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return " ".join([self.tokens[i] for i in struct.unpack(f"<{len(ids) // 4}I", ids)])
 
     def forget(self) -> None:
         self.ids.clear()
@@ -293,13 +438,14 @@ class Encoder:
     def learn(self, cuts: Iterable[str]) -> None:
         """Encode new cuts: their words in the lexicon together, the others one by one."""
         cuts = list(cuts)
-        parts = [words_of(c) for c in cuts]
+        parts = [self.words(c) for c in cuts]
         words = list(dict.fromkeys(w for ws in parts for w in ws))
-        found = self.lexicon.find(words) if self.lexicon else np.full(len(words), -1)
-        ids = {
-            w: self.lexicon.output(i) if i >= 0 else self._merged(w)
-            for w, i in zip(words, found.tolist())
-        }
+        found = self.lexicon.find(words).tolist() if self.lexicon else [-1] * len(words)
+        unseen = [w for w, i in zip(words, found) if i < 0 and len(w) <= 200]
+        ids = dict(zip(unseen, self.merger.merge(unseen)))
+        for word, i in zip(words, found):
+            if word not in ids:
+                ids[word] = self.lexicon.output(i) if i >= 0 else self._merged(word)
         decoded = {w: self.decoded(i) for w, i in ids.items()}
         for cut, ws in zip(cuts, parts):
             self.ids[cut] = b"".join([ids[w] for w in ws])
@@ -347,16 +493,28 @@ class Encoder:
 # --- on tables --------------------------------------------------------------------------------------
 
 
-def frequent_words(docs: DataFrame, text: str = "text", words: int = WORDS) -> list[bytes]:
-    """The most frequent words of all documents, equal counts in byte order: ``words`` of them at most.
+def _leading(n: Column) -> Column:
+    """A count with all but its eight leading bits cleared."""
+    cut = F.greatest(F.length(F.bin(n)) - 8, F.lit(0))
+    power = F.element_at(F.array(*[F.lit(1 << i) for i in range(63)]), cut + 1)
+    return n - n % power
+
+
+def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", words: int = WORDS) -> list[bytes]:
+    """The most frequent words of all documents, ``words`` of them at most.
 
     Each batch counts its words before they are shuffled, so that a frequent word costs no more than others.
+    The count from which on words are taken is read from how many words have counts of the same leading
+    bits, some thousand rows; words of a count whose words are too many for the rest stay out. Only the
+    words taken reach the driver.
     """
     schema = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
+    sent = docs.sparkSession.sparkContext.broadcast((vocabulary.letters, vocabulary.numbers, vocabulary.lower))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
+        words_of = Cutter(*sent.value).words
         for batch in batches:
             cuts: Counter = Counter()
             for value in batch.column(0).to_pylist():
@@ -372,13 +530,22 @@ def frequent_words(docs: DataFrame, text: str = "text", words: int = WORDS) -> l
             )
 
     counted = docs.select(F.col(text)).mapInArrow(count, schema).groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(words)  # a bound on the lexicon, not on the texts
-    return [bytes(r["word"]) for r in top.collect()]
+    counted = materialize(counted.withColumn("leading", _leading(F.col("n"))), "lexicon-words")
+    sizes = {r["leading"]: r["words"] for r in counted.groupBy("leading").agg(F.count("*").alias("words")).collect()}
+    least, taken = None, 0
+    for leading in sorted(sizes, reverse=True):
+        taken += sizes[leading]
+        if taken > words:
+            break
+        least = leading
+    if least is None:
+        return []
+    return [bytes(r["word"]) for r in counted.where(F.col("n") >= least).select("word").toLocalIterator()]
 
 
 def lexicon_of(words: Iterable[bytes], vocabulary: Vocabulary) -> Transducer:
-    encoder = Encoder(vocabulary, None)
-    return compile_lexicon({w: np.frombuffer(encoder._merged(w), "<u4") for w in words})
+    held = [w for w in words if 0 < len(w) <= LONGEST]
+    return compile_lexicon({w: np.frombuffer(i, "<u4") for w, i in zip(held, Merger(vocabulary).merge(held))})
 
 
 def encode_documents(
@@ -390,7 +557,7 @@ def encode_documents(
     empty text. Repeated rows are encoded each; a row's result depends on its text alone.
     """
     # both are bounded: the vocabulary by its file, the lexicon by its number and length of words
-    sent = docs.sparkSession.sparkContext.broadcast((vocabulary, lexicon))
+    sent = docs.sparkSession.sparkContext.broadcast((vocabulary.parts(), lexicon.parts()))
     schema = T.StructType(
         [
             T.StructField("key", docs.schema[key].dataType),
@@ -400,7 +567,7 @@ def encode_documents(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, compiled = sent.value
+        held, compiled = Vocabulary(*sent.value[0]), Transducer(*sent.value[1])
         with tempfile.TemporaryDirectory(prefix="lexicon-") as folder:
             compiled.save(folder)
             encoder = Encoder(held, Transducer.mapped(folder))

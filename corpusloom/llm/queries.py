@@ -164,7 +164,7 @@ def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     vocabulary = lexicon.Vocabulary.read(_tokenizer("word_bpe_49k.json"))
-    compiled = lexicon.lexicon_of(lexicon.frequent_words(docs), vocabulary)
+    compiled = lexicon.lexicon_of(lexicon.frequent_words(docs, vocabulary), vocabulary)
     coded = lexicon.encode_documents(docs, vocabulary, compiled)
     return coded.select(
         "doc_id",

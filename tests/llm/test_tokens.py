@@ -79,6 +79,55 @@ def test_plan_uses_every_piece_and_is_no_worse_than_best_fit(seed):
     assert sum(p.times for p in plan) <= sum(p.times for p in fit)
 
 
+def _optimum(pieces, capacity):
+    """Fewest sequences, by trying every subset that fits."""
+    whole = (1 << len(pieces)) - 1
+    fits = [m for m in range(1, whole + 1) if sum(p for i, p in enumerate(pieces) if m >> i & 1) <= capacity]
+    need = {0: 0}
+    for mask in range(1, whole + 1):
+        need[mask] = 1 + min(need[mask & ~m] for m in fits if m & mask == m and m >> (mask.bit_length() - 1) & 1)
+    return need[whole]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_meets_the_optimum_of_small_histograms(seed):
+    rng = random.Random(100 + seed)
+    for _ in range(12):
+        pieces = [rng.randint(8, 60) for _ in range(rng.randint(1, 9))]
+        histogram = dict(Counter(pieces))
+        plan = packing.plan(histogram, 100, nodes=100_000)
+        assert sum(p.times for p in plan) == _optimum(pieces, 100)
+        assert packing.lower_bound(histogram, 100) <= _optimum(pieces, 100)
+
+
+def test_plan_of_large_histograms_against_the_bound():
+    """Many big pieces: never worse than best fit, and within 3 % of the bound."""
+    rng = random.Random(8)
+    for _ in range(3):
+        histogram = {n: rng.randint(1, 400) for n in rng.sample(range(200, 701), 300)}
+        sizes = [sum(p.times for p in f(histogram, 1024)) for f in (packing.plan, packing.best_fit)]
+        bound = packing.lower_bound(histogram, 1024)
+        assert bound <= sizes[0] <= sizes[1] and sizes[0] <= 1.03 * bound
+    assert packing.plan({}, 10) == []
+
+
+def test_fillings_are_all_and_undominated():
+    left = {5: 2, 4: 1, 3: 3, 2: 2}
+    found = list(packing.fillings(left, 10, 3))
+    kept = [tuple(f) for f in found if f is not None]
+    assert kept[0] == (5, 5) and len(kept) == len(set(kept))
+    assert all(sum(f) >= 7 and all(f.count(n) <= left[n] for n in f) for f in kept)
+    everything = {
+        (5,) * a + (4,) * b + (3,) * c + (2,) * d
+        for a in range(3) for b in range(2) for c in range(4) for d in range(3)
+        if 7 <= 5 * a + 4 * b + 3 * c + 2 * d <= 10
+    }
+    # what is left out is dominated by something that is there
+    assert len(found) == len(everything)
+    for other in everything - set(kept):
+        assert any(packing._dominates(list(k), list(other)) for k in kept)
+
+
 def test_plan_improves_on_best_fit():
     # 5 + 5 + 2 + ... : best fit puts the fives and fours together and needs a third sequence
     histogram = {5: 2, 4: 2, 3: 2}
@@ -102,7 +151,7 @@ def test_transducer_finds_its_words_and_no_others():
 def test_encoding_and_decoding_equal_the_library(spark, odd):
     path = public_tokenizers.path("word_bpe_49k.json")
     library, vocabulary = Tokenizer.from_file(path), lexicon.Vocabulary.read(path)
-    held = lexicon.lexicon_of(lexicon.frequent_words(odd, words=500), vocabulary)
+    held = lexicon.lexicon_of(lexicon.frequent_words(odd, vocabulary, words=500), vocabulary)
     got = {r.doc_id: r for r in lexicon.encode_documents(odd, vocabulary, held).collect()}
     for row in odd.collect():
         ids = library.encode(row.text or "", add_special_tokens=False).ids
@@ -114,6 +163,48 @@ def test_encoding_and_decoding_equal_the_library(spark, odd):
         assert lexicon._merge_long(parts, vocabulary) == lexicon.merge(word, vocabulary)
 
 
+def test_every_code_point_is_cut_as_the_library_cuts_it():
+    """Letters, numbers, marks and white space of the tokenizer's own version of Unicode."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), lexicon.Encoder(lexicon.Vocabulary.read(path), None)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    # planes without any assigned character in parts
+    points = [c for c in points if ord(c) < 0x33480 or ord(c) % 0x101 == 0]
+    for start in range(0, len(points), 40_000):
+        texts = [f"ab{c}?{c}cd" for c in points[start : start + 40_000]]
+        want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        for text, ids, (got, _) in zip(texts, want, encoder.batch(texts)):
+            assert np.frombuffer(got, "<u4").tolist() == ids, hex(ord(text[2]))
+
+
+def test_words_merged_together_are_merged_alike():
+    vocabulary = lexicon.Vocabulary.read(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(12)
+    words = ["".join(rng.choice("etaonrisé中1!") for _ in range(rng.randint(1, 30))).encode()[:200] for _ in range(3_000)]
+    words += [b"a", b"a" * 200, b"ab" * 90, b"the", b"thethethe", b"\xff\x00"]
+    merger, table = lexicon.Merger(vocabulary), lexicon.byte_table()
+    for batch in (words, words[:1], []):
+        got = [np.frombuffer(b, "<u4").tolist() for b in merger.merge(batch)]
+        assert got == [lexicon.merge("".join(table[b] for b in w), vocabulary) for w in batch]
+
+
+def test_frequent_words_are_the_most_frequent(spark, odd):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    vocabulary = lexicon.Vocabulary.read(path)
+    words = lexicon.Cutter(vocabulary.letters, vocabulary.numbers, vocabulary.lower).words
+    counts = Counter(
+        w for r in odd.collect() for cut in (r.text or "").split() for w in words(cut) if len(w) <= lexicon.LONGEST
+    )
+    for most in (1, 40, 500, 10**6):
+        got = lexicon.frequent_words(odd, vocabulary, words=most)
+        assert len(got) == len(set(got)) <= most
+        least = min((counts[w] for w in got), default=None)
+        if least is not None:
+            # none that is as frequent is missing
+            assert set(got) == {w for w, n in counts.items() if n >= least}
+    assert lexicon.frequent_words(odd.where("false"), vocabulary) == []
+
+
 def test_rendezvous_moves_rows_only_into_the_new_shard(spark):
     ids = spark.range(4_000).select(F.col("id").alias("doc_id"))
     even = dict.fromkeys(range(8), 1.0)
