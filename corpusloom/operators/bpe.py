@@ -354,8 +354,9 @@ def train_bpe(
     keeps the part of the guess in which every merge is what the exact counts demand at its turn. Guesses
     only affect the number of jobs, never the result.
 
-    Words are written under each of their pairs, and a job reads those under the pairs it merges, so that
-    a late job, whose pairs are rare, reads a small part of the vocabulary. The tables are written anew
+    After the first ``rewrite_every`` merges, whose pairs are in most words, words are written under each of
+    their pairs, and a job reads those under the pairs it merges, so that a late job, whose pairs are rare,
+    reads a small part of the vocabulary. The tables are written anew
     after ``rewrite_every`` merges, and later after ``rewrite_share`` of the merges so far: the words that a
     merge changes get fewer with its rank.
     """
@@ -408,7 +409,7 @@ def _train(
         .repartition(spark.sparkContext.defaultParallelism, "s")
     )
     pairs = pair_table.replace(_count_pairs(words))
-    postings = posting_table.replace(_postings(words))
+    postings = None  # the first pairs are in most words
     plan, done, length = _Plan(), [], lookahead // 2
     heads, touched = _Heads(), set()
 
@@ -421,7 +422,7 @@ def _train(
             planned.append((_code(trial[left]) + _code(trial[right]), _code(new)))
             wanted |= ahead.pairs(planned[-1][0])
             ahead.merge(*planned[-1])
-        held = _words_with(postings, sorted(wanted))
+        held = words if postings is None else _words_with(postings, sorted(wanted))
         rows = _count_paths(held, pairs, done, planned, floor, candidates)
         if not rows:
             break
