@@ -150,3 +150,34 @@ def test_plan_reports_the_best_state(rows, tmp_path):
 def test_no_rows(rows, tmp_path):
     none = fitted(rows.where("false"), tmp_path)
     assert none.state.step == 0 and none.log.count() == 0
+
+
+def test_rounds_take_many_steps_in_one_job(rows, whole, tmp_path, monkeypatch):
+    from corpusloom.operators import fit
+
+    jobs = []
+    take = fit._take_steps
+    monkeypatch.setattr(fit, "_take_steps", lambda *a: jobs.append(a[1:3]) or take(*a))
+    again = fitted(rows, tmp_path)
+    # an epoch of 89 rows is six steps, one job
+    assert jobs == [(0, 6)] * OPTIONS.epochs
+    assert sorted(map(tuple, again.log.collect())) == sorted(map(tuple, whole.log.collect()))
+    assert np.array_equal(again.at(14).weights, whole.at(14).weights)
+    with pytest.raises(ValueError):
+        again.at(13)
+
+
+def test_large_batches_and_short_rounds_are_the_same_fit(rows, whole, tmp_path, monkeypatch):
+    from corpusloom.operators import fit
+
+    monkeypatch.setattr(fit, "ROUND_ROWS", 32)
+    monkeypatch.setattr(fit, "SCORED_VALUES", 64)
+    short = fitted(rows, tmp_path / "short")
+    assert np.allclose(short.state.weights, whole.state.weights, rtol=1e-12, atol=1e-15)
+    monkeypatch.setattr(fit, "ALONE_ROWS", 1)
+    spread = fitted(rows, tmp_path / "spread")
+    assert np.allclose(spread.state.weights, whole.state.weights, rtol=1e-9, atol=1e-12)
+    for got in (short, spread):
+        for a, b in zip(got.log.orderBy("step").collect(), whole.log.orderBy("step").collect()):
+            assert a["step"] == b["step"] and a["rows"] == b["rows"] and a["eval_accuracy"] == b["eval_accuracy"]
+            assert math.isclose(a["loss"], b["loss"], rel_tol=1e-9)
