@@ -16,7 +16,10 @@ from corpusloom.operators.bpe import (
     BpeTokenizer,
     _code,
     _Heads,
+    _count_pairs,
+    _merged,
     _postings,
+    _shifts,
     _words_with,
     train_bpe,
     word_counts,
@@ -175,3 +178,32 @@ def test_word_counts_ignore_partitioning(documents):
         return word_counts(df, ["text"]).agg(F.count("*"), F.sum("n")).first()
 
     assert total(documents.repartition(1)) == total(documents.repartition(17))
+
+
+def test_shifts_are_the_differences_of_counts(spark):
+    """Merged one after another, overlapping runs and neighbouring places included."""
+    chance = random.Random(5)
+    letters = [_code(i) for i in range(3)]
+    words = {"".join(chance.choices(letters, k=chance.randint(1, 12))): chance.randint(1, 9) for _ in range(200)}
+    table = spark.createDataFrame(list(words.items()), "s string, n long").repartition(3)
+    a, b, c = letters
+    x, y, z = (_code(i) for i in (3, 4, 5))
+    merges = [(a + a, x), (b + c, y), (x + y, z), (x + x, z)]
+
+    def counts(k):
+        merged = table.selectExpr(f"{_merged('s', merges[:k])} AS s", "n")
+        return Counter({r["pair"]: r["n"] for r in _count_pairs(merged).collect()})
+
+    plain = Counter()
+    for word, n in words.items():
+        for pair in zip(word, word[1:]):
+            plain["".join(pair)] += n
+    assert counts(0) == plain
+    got = {(r["step"], r["pair"]): r["n"] for r in _shifts(table, merges[:1], merges[1:]).collect()}
+    stages = [counts(0), counts(1), counts(2), counts(3), counts(4)]
+    want = {}
+    for step, (before, after) in enumerate(zip(stages, stages[1:])):
+        for pair in before.keys() | after.keys():
+            if after[pair] != before[pair]:
+                want[step, pair] = after[pair] - before[pair]
+    assert got == want
