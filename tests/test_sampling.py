@@ -103,3 +103,15 @@ def test_equal_rows_are_all_kept(spark):
     rows = spark.createDataFrame([(1, 2)] * 5, "step bigint, v int")
     got = running_aggregates(rows, "step", {"s": ("sum", F.col("v"))}, width=2).collect()
     assert sorted(r["s"] for r in got) == [2, 4, 6, 8, 10]
+
+
+def test_narrow_ranges_are_only_so_many(spark, monkeypatch):
+    """A range is a task and a file; rows, not the width asked for, set their number in the end."""
+    monkeypatch.setattr(ordering, "RUNNING_RANGES", 4)
+    rows = spark.range(600).select(F.col("id").alias("step"), (F.col("id") % 7).alias("v"))
+    made = []
+    keep = ordering.materialize
+    monkeypatch.setattr(ordering, "materialize", lambda df, name: made.append(keep(df, name)) or made[-1])
+    got = running_aggregates(rows, "step", {"s": ("sum", F.col("v"))}, width=2).collect()
+    assert made[0].select("_chunk").distinct().count() <= 4
+    assert all(r["s"] == sum(i % 7 for i in range(r["step"] + 1)) for r in got) and len(got) == 600
