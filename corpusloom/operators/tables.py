@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,9 @@ from corpusloom.operators.ordering import head_n
 
 MAX_INPUT_LENGTH = 480_000  # fixed value: 30 seconds at 16 kHz
 MAX_LABEL_LENGTH = 448  # fixed value
+SERIES_ROWS = 512  # rows of a batch that are Python values at once
+# Types whose Arrow values become the same series with and without Spark's own conversion.
+_PLAIN = (T.StringType, T.BooleanType, T.IntegralType, T.FloatType, T.DoubleType)
 
 
 def keep_columns(df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -47,12 +51,24 @@ def filter_batches(
     """Keep the rows for which a Python predicate of the named columns holds.
 
     ``fn`` gets one series for each column and returns one truth value for each row; null drops the row.
+    Texts and numbers are handed over a few rows of a batch at a time, so that long texts are not all
+    Python strings at once.
     """
 
     @F.pandas_udf("boolean")
     def holds(*series: pd.Series) -> pd.Series:
         return pd.Series(fn(*series)).astype("boolean")
 
+    if columns and all(isinstance(df.select(c).schema[0].dataType, _PLAIN) for c in columns):
+
+        @F.arrow_udf("boolean")
+        def holds(*arrays: pa.Array) -> pa.Array:
+            kept = []
+            for start in range(0, len(arrays[0]), SERIES_ROWS):
+                series = (a.slice(start, SERIES_ROWS).to_pandas() for a in arrays)
+                kept.append(pa.array(pd.Series(fn(*series)).astype("boolean"), pa.bool_()))
+            return pa.concat_arrays(kept) if kept else pa.array([], pa.bool_())
+
     return df.where(holds(*[F.col(c) for c in columns]))
 
 

@@ -146,6 +146,14 @@ def test_python_predicate_over_batches(spark):
     assert [r["id"] for r in kept] == [3]
 
 
+def test_python_predicate_gets_a_few_texts_at_a_time(spark):
+    rows = spark.range(3_000).select("id", F.concat(F.lit("t"), "id").alias("t")).coalesce(1)
+    kept = filter_batches(rows, lambda i, t: (i % 3 == 0) & (t.str.len() > 1) & (len(t) <= 512), ["id", "t"])
+    assert sorted(r["id"] for r in kept.collect()) == list(range(0, 3_000, 3))
+    dated = spark.createDataFrame([(1, "2020-01-02"), (2, None)], "id int, d string").withColumn("d", F.to_date("d"))
+    assert [r["id"] for r in filter_batches(dated, lambda d: d.notna(), ["d"]).collect()] == [1]
+
+
 class _Cluster:
     master = "spark://host:7077"
 
