@@ -14,6 +14,8 @@ from corpusloom.functions.text import summary_tokens
 
 UNSTEMMED_LENGTH = 3  # fixed value: tokens up to this length stay as they are
 MEMO_TOKENS = 200_000
+STEMMED_ROWS = 1_024  # rows of a batch whose tokens are looked up at once
+LISTED_ROWS = 256  # rows of a batch whose tokens are Python strings at once
 
 
 def _stemmer():
@@ -31,7 +33,11 @@ def _stemmer():
         return known
 
     def stem_lists(tokens: pa.Array) -> pa.Array:
-        """Stem each distinct token of a batch once."""
+        """Stem each distinct token of some rows of a batch once."""
+        parts = [stem_some(tokens.slice(i, STEMMED_ROWS)) for i in range(0, len(tokens), STEMMED_ROWS)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
+
+    def stem_some(tokens: pa.Array) -> pa.Array:
         coded = tokens.flatten().dictionary_encode()
         stems = pa.array([stem(t) for t in coded.dictionary.to_pylist()], pa.string())
         lengths = np.asarray(tokens.value_lengths().fill_null(0), dtype=np.int64)
@@ -118,10 +124,11 @@ def common_subsequence(a: list[str], b: list[str]) -> int:
 
 
 def _lcs_lengths(a: pa.Array, b: pa.Array) -> pa.Array:
-    rows = zip(a.to_pylist(), b.to_pylist())
-    return pa.array(
-        [None if x is None or y is None else common_subsequence(x, y) for x, y in rows], pa.int32()
-    )
+    found: list[int | None] = []
+    for start in range(0, len(a), LISTED_ROWS):
+        rows = zip(*(side.slice(start, LISTED_ROWS).to_pylist() for side in (a, b)))
+        found += [None if x is None or y is None else common_subsequence(x, y) for x, y in rows]
+    return pa.array(found, pa.int32())
 
 
 def lcs_length(a: Column, b: Column) -> Column:

@@ -211,3 +211,19 @@ def test_references_are_not_grouped(spark):
     row = spark.sql("SELECT array(1, 1, 0, 1, 2, 2) AS ids")
     got = row.select(arrays.ctc_collapse("ids", 0).alias("a"), arrays.ctc_collapse("ids", 0, group=False).alias("b")).first()
     assert (got["a"], got["b"]) == ([1, 1, 2], [1, 1, 1, 2, 2])
+
+
+def test_batches_are_scored_some_rows_after_another(monkeypatch):
+    """Only so many rows are Python lists at once; nulls and empty rows keep their places."""
+    import pyarrow as pa
+
+    from corpusloom.operators import rouge
+
+    monkeypatch.setattr(rouge, "LISTED_ROWS", 2)
+    monkeypatch.setattr(rouge, "STEMMED_ROWS", 2)
+    a = pa.array([["running", "dogs"], None, [], ["x"], ["running", "cats", "sat"]], pa.list_(pa.string()))
+    b = pa.array([["dogs"], ["y"], ["y"], None, ["running", "sat"]], pa.list_(pa.string()))
+    assert rouge._lcs_lengths(a, b).to_pylist() == [1, None, 0, None, 2]
+    want = [["run", "dog"], None, [], ["x"], ["run", "cat", "sat"]]
+    assert rouge._stemmer()(a).to_pylist() == want
+    assert rouge._stemmer()(a.slice(1, 4)).to_pylist() == want[1:]
