@@ -207,3 +207,18 @@ def test_shifts_are_the_differences_of_counts(spark):
             if after[pair] != before[pair]:
                 want[step, pair] = after[pair] - before[pair]
     assert got == want
+
+
+def test_batches_are_encoded_some_rows_after_another(trained, monkeypatch):
+    import pyarrow as pa
+
+    from corpusloom.operators import encode as operator
+
+    words = [["the", "a"], None, [], ["theatre"], ["x", "the", "a" * 40], [], ["é"]]
+    batch = pa.array(words, pa.list_(pa.string()))
+    whole = operator._word_encoder(trained)(batch).to_pylist()
+    monkeypatch.setattr(operator, "ENCODED_CHARACTERS", 4)
+    assert operator._word_encoder(trained)(batch).to_pylist() == whole
+    assert operator._word_encoder(trained)(batch.slice(2, 4)).to_pylist() == whole[2:6]
+    assert operator._word_encoder(trained)(batch.slice(0, 0)).to_pylist() == []
+    assert whole[1] is None and whole[2] == []
