@@ -4,7 +4,8 @@ Frequent words and their ids are compiled into an automaton that shares prefixes
 of words behind each edge makes the path of a word its index, and the index leads to its ids, so words with
 common endings share states in spite of different outputs. Workers memory-map the compiled arrays and look
 up all new words of a batch at once, one character of all of them at a time; words outside the lexicon are
-merged one by one by the ranks of the vocabulary.
+merged together by the ranks of the vocabulary. New cuts are cut into words together, and the ids of a
+batch are decoded together.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import re
 import struct
 import sys
 import tempfile
@@ -21,12 +23,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from corpusloom.llm.packing import slices
 from corpusloom.session import materialize
 
 WORDS = 200_000  # words of the lexicon
@@ -36,6 +40,9 @@ CACHED = 600_000  # cut words a worker remembers; beyond it starts anew
 SPACE = r"[\t-\r \x85\xa0  -     　]"
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _MARKS = tuple(".,;:!?|")
+TOGETHER = 100_000  # cuts that are cut into words at once
+# the same words of lower-case ASCII, and the ends of lines that keep one cut from the next
+_ASCII = re.compile(rb"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 _OTHER_SPACE = regex.compile("[\x1c-\x1f]")  # white space to Python alone
 
 
@@ -164,10 +171,17 @@ class Merger:
             return []
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         data = np.frombuffer(b"".join(words), np.uint8)
+        flat, counts = self.merged(data, lengths)
+        blob = flat.tobytes()
+        cuts = [0, *(4 * np.cumsum(counts)).tolist()]
+        return [blob[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def merged(self, data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words of such lengths that stand one after another, and how many each word has."""
         ends, none = np.cumsum(lengths), len(self.made)
         parts = self.inside[data]
         parts[ends - 1] = self.last[data[ends - 1]]
-        of = np.repeat(np.arange(len(words)), lengths)
+        of = np.repeat(np.arange(len(lengths)), lengths)
         ranks = np.full(len(parts), none)
         if len(self.pairs):
             ranks[:-1] = self._ranks(parts[:-1], parts[1:])
@@ -203,9 +217,7 @@ class Merger:
                     ranks[place[~real]] = none
         flat, of = np.concatenate(done_parts), np.concatenate(done_of)
         order = np.argsort(of, kind="stable")
-        blob = flat[order].astype("<u4").tobytes()
-        cuts = [0, *(4 * np.cumsum(np.bincount(of, minlength=len(words)))).tolist()]
-        return [blob[i:j] for i, j in zip(cuts, cuts[1:])]
+        return flat[order].astype("<u4"), np.bincount(of, minlength=len(lengths))
 
 
 # --- the automaton ----------------------------------------------------------------------------------
@@ -401,57 +413,123 @@ class Cutter:
             return [text[:-1].encode(), text[-1].encode()]
         return [w.encode() for w in self.pattern.findall(text)]
 
+    def many(self, cuts: Sequence[str]) -> tuple[list[bytes], np.ndarray]:
+        """The words of cuts that hold no white space, one cut after another, and how many each has.
+
+        Those in ASCII are cut together, with an end of line between two.
+        """
+        plain = [c for c in cuts if c.isascii()]
+        words = _ASCII.findall("\n".join(plain).lower().encode()) if plain else []
+        ends = np.array([i for i, w in enumerate(words) if w == b"\n"], np.int64)
+        sizes = np.diff(ends, prepend=-1, append=len(words)) - 1 if plain else np.zeros(0, np.int64)
+        if len(ends):
+            words = [w for w in words if w != b"\n"]
+        if len(plain) == len(cuts):
+            return words, sizes
+        other = {i: self.words(c) for i, c in enumerate(cuts) if not c.isascii()}
+        counts = np.zeros(len(cuts), np.int64)
+        counts[list(other)] = [len(ws) for ws in other.values()]
+        held = np.ones(len(cuts), bool)
+        held[list(other)] = False
+        counts[held] = sizes
+        out: list[bytes] = []
+        last = 0
+        # what stands before each cut that is not in ASCII, then its words
+        before = (np.cumsum(np.where(held, counts, 0)))[list(other)].tolist()
+        for ws, upto in zip(other.values(), before):
+            out += words[last:upto]
+            out += ws
+            last = upto
+        out += words[last:]
+        return out, counts
+
+
+def distinct(words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words in the order they come, and each word's place among them."""
+    held = dict.fromkeys(words)
+    number = dict(zip(held, range(len(held))))
+    return list(held), np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+
+
+def _flat(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs that start and are as long as given, one run after another."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+
 
 class Encoder:
     """Ids and tokens of texts. What stands between white space is encoded once while it is remembered."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Transducer | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.words = Cutter(vocabulary.letters, vocabulary.numbers, vocabulary.lower).words
+        self.cutter = Cutter(vocabulary.letters, vocabulary.numbers, vocabulary.lower)
         self.merger = Merger(vocabulary)
         self.ids: dict[str, bytes] = {}
-        self.shown: dict[str, str] = {}  # decoded
-        self.empty: set[str] = set()  # cuts without any word
         table = byte_table()
         self.table = {b: table[b] for b in range(256)}
         size = max(max(vocabulary.ids.values(), default=-1), max(vocabulary.special.values(), default=-1))
-        self.tokens = [""] * (size + 1)
+        tokens = [""] * (size + 1)
         for held in (vocabulary.ids, vocabulary.special):
             for token, i in held.items():
-                self.tokens[i] = token
+                tokens[i] = token
+        self.tokens = pa.array(tokens, pa.large_string())
         marks = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, marks)) + ")") if marks else None
+        self.marks = {token: np.array([i], "<u4").tobytes() for token, i in vocabulary.special.items()}
 
     def _merged(self, word: bytes) -> bytes:
         shown = word.decode("latin-1").translate(self.table)
         return struct.pack(f"<{len(ids := merge(shown, self.vocabulary))}I", *ids)
 
-    def decoded(self, ids: bytes) -> str:
+    def decoded(self, ids: Sequence[bytes]) -> pa.Array:
         """Tokens with a space between two, as the library writes them for such vocabularies."""
-        return " ".join([self.tokens[i] for i in struct.unpack(f"<{len(ids) // 4}I", ids)])
+        ends = np.cumsum([0, *map(len, ids)]) // 4
+        flat = self.tokens.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends), flat), pa.scalar(" ", flat.type))
 
     def forget(self) -> None:
         self.ids.clear()
-        self.shown.clear()
-        self.empty.clear()
+
+    def encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where the ids of each word start and how many they are.
+
+        Words of the lexicon are looked up together, the others merged together, or alone if they are long.
+        """
+        found = self.lexicon.find(words) if self.lexicon else np.full(len(words), -1, np.int64)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        known, new = np.flatnonzero(found >= 0), np.flatnonzero((found < 0) & (lengths <= 200))
+        starts, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        pools = [np.zeros(0, "<u4")]
+        if len(known):
+            starts[known] = self.lexicon.starts[found[known]]
+            sizes[known] = self.lexicon.starts[found[known] + 1] - starts[known]
+            pools.append(self.lexicon.ids[_flat(starts[known], sizes[known])])
+            starts[known] = np.cumsum(sizes[known]) - sizes[known]
+        at = sum(map(len, pools))
+        if len(new):
+            data = np.frombuffer(b"".join([words[i] for i in new.tolist()]), np.uint8)
+            ids, sizes[new] = self.merger.merged(data, lengths[new])
+            starts[new] = at + np.cumsum(sizes[new]) - sizes[new]
+            pools.append(ids)
+            at += len(ids)
+        for i in np.flatnonzero((found < 0) & (lengths > 200)).tolist():
+            ids = np.frombuffer(self._merged(words[i]), "<u4")
+            starts[i], sizes[i] = at, len(ids)
+            pools.append(ids)
+            at += len(ids)
+        return np.concatenate(pools), starts, sizes
 
     def learn(self, cuts: Iterable[str]) -> None:
-        """Encode new cuts: their words in the lexicon together, the others one by one."""
+        """Encode new cuts, all their words together."""
         cuts = list(cuts)
-        parts = [self.words(c) for c in cuts]
-        words = list(dict.fromkeys(w for ws in parts for w in ws))
-        found = self.lexicon.find(words).tolist() if self.lexicon else [-1] * len(words)
-        unseen = [w for w, i in zip(words, found) if i < 0 and len(w) <= 200]
-        ids = dict(zip(unseen, self.merger.merge(unseen)))
-        for word, i in zip(words, found):
-            if word not in ids:
-                ids[word] = self.lexicon.output(i) if i >= 0 else self._merged(word)
-        decoded = {w: self.decoded(i) for w, i in ids.items()}
-        for cut, ws in zip(cuts, parts):
-            self.ids[cut] = b"".join([ids[w] for w in ws])
-            self.shown[cut] = " ".join([decoded[w] for w in ws])
-            if not ws:
-                self.empty.add(cut)
+        for start in range(0, len(cuts), TOGETHER):
+            part = cuts[start : start + TOGETHER]
+            words, counts = self.cutter.many(part)
+            names, place = distinct(words)
+            ids, starts, sizes = self.encoded(names)
+            blob = ids[_flat(starts[place], sizes[place])].tobytes()
+            upto = np.concatenate([[0], 4 * np.cumsum(sizes[place])])
+            ends = upto[np.concatenate([[0], np.cumsum(counts)])].tolist()
+            self.ids.update(zip(part, [blob[i:j] for i, j in zip(ends, ends[1:])]))
 
     def cut(self, text: str) -> list[str]:
         """Parts that are encoded alone: at white space, with special tokens apart."""
@@ -461,11 +539,16 @@ class Encoder:
 
     def batch(self, texts: Sequence[str]) -> Iterator[tuple[bytes, str]]:
         """Ids and decoded text of each text."""
+        for ids, decoded in self.parts(texts):
+            yield from zip(ids, decoded.to_pylist())
+
+    def parts(self, texts: Sequence[str]) -> Iterator[tuple[list[bytes], pa.Array]]:
+        """The same of some texts at a time."""
         special = self.vocabulary.special
-        for start in range(0, len(texts), 500):
+        for start, end in slices(texts):
             split: list[list[str]] = []
             marked: set[int] = set()
-            for text in texts[start : start + 500]:
+            for text in texts[start:end]:
                 if self.special and any(mark in text for mark in special):
                     marked.add(len(split))
                     # special tokens stand at the odd places
@@ -473,21 +556,20 @@ class Encoder:
                     split.append([c for i, p in pieces for c in ([p] if i % 2 else self.cut(p))])
                 else:
                     split.append(self.cut(text))
-            new = {c for cuts in split for c in cuts}
+            new = set().union(*split).difference(self.marks)
             fresh = new.difference(self.ids)
             if len(self.ids) + len(fresh) > CACHED:
                 self.forget()
                 fresh = new
             self.learn(fresh)
+            coded = []
             for i, cuts in enumerate(split):
-                if self.empty:
-                    cuts = [c for c in cuts if c not in self.empty]
                 if i in marked:
                     # no cut at white space holds a special token, so these are the tokens themselves
-                    ids = [np.array([special[c]], "<u4").tobytes() if c in special else self.ids[c] for c in cuts]
-                    yield b"".join(ids), " ".join([c if c in special else self.shown[c] for c in cuts])
+                    coded.append(b"".join([self.marks[c] if c in self.marks else self.ids[c] for c in cuts]))
                 else:
-                    yield b"".join(map(self.ids.__getitem__, cuts)), " ".join(map(self.shown.__getitem__, cuts))
+                    coded.append(b"".join(map(self.ids.__getitem__, cuts)))
+            yield coded, self.decoded(coded)
 
 
 # --- on tables --------------------------------------------------------------------------------------
@@ -514,17 +596,23 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
-        words_of = Cutter(*sent.value).words
+        words_of = Cutter(*sent.value).many
         for batch in batches:
             cuts: Counter = Counter()
             for value in batch.column(0).to_pylist():
                 if value:
                     cuts.update(value.split())
-            held: Counter = Counter()
-            for cut, n in cuts.items():
-                for word in words_of(cut):
+            held: dict[bytes, int] = {}
+            each, often = list(cuts), np.fromiter(cuts.values(), np.int64, len(cuts))
+            del cuts
+            for start in range(0, len(each), TOGETHER):
+                words, counts = words_of(each[start : start + TOGETHER])
+                names, place = distinct(words)
+                # sums of counts below 2 ** 53 are exact
+                n = np.bincount(place, np.repeat(often[start : start + TOGETHER], counts), len(names))
+                for word, total in zip(names, n.astype(np.int64).tolist()):
                     if len(word) <= LONGEST:
-                        held[word] += n
+                        held[word] = held.get(word, 0) + total
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"]
             )
@@ -573,16 +661,17 @@ def encode_documents(
             encoder = Encoder(held, Transducer.mapped(folder))
             for batch in batches:
                 texts = [t or "" for t in batch.column(1).to_pylist()]
-                for start in range(0, len(texts), 500):
-                    out = list(encoder.batch(texts[start : start + 500]))
+                start = 0
+                for ids, decoded in encoder.parts(texts):
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column(0).slice(start, len(out)),
-                            pa.array([o[0] for o in out], pa.binary()),
-                            pa.array([o[1] for o in out], pa.string()),
+                            batch.column(0).slice(start, len(ids)),
+                            pa.array(ids, pa.binary()),
+                            decoded.cast(pa.string()),
                         ],
                         ["key", "ids", "decoded"],
                     )
+                    start += len(ids)
 
     coded = docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
     return coded.withColumnRenamed("key", key)

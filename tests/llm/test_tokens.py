@@ -188,6 +188,33 @@ def test_words_merged_together_are_merged_alike():
         assert got == [lexicon.merge("".join(table[b] for b in w), vocabulary) for w in batch]
 
 
+def test_cuts_are_cut_into_words_together(odd, monkeypatch):
+    """New cuts in ASCII cost no call each, and give the words that each gives alone."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, vocabulary = Tokenizer.from_file(path), lexicon.Vocabulary.read(path)
+    rng, alone, calls = random.Random(8), lexicon.Cutter.words, []
+    texts = [r.text or "" for r in odd.collect()]
+    texts += [" ".join("".join(rng.choice("aB1'stvelm.,!_é\x1c") for _ in range(9)) for _ in range(50)) for _ in range(40)]
+
+    def words(self, text):
+        calls.append(text)
+        return alone(self, text)
+
+    monkeypatch.setattr(lexicon.Cutter, "words", words)
+    encoder = lexicon.Encoder(vocabulary, None)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    got = list(encoder.batch(texts))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids, _ in got] == want
+    assert [t for _, t in got] == [library.decode(ids, skip_special_tokens=False) for ids in want]
+    assert not any(c.isascii() for c in calls)
+    cutter = lexicon.Cutter(vocabulary.letters, vocabulary.numbers, vocabulary.lower)
+    cuts = sorted({c for t in texts for c in encoder.cut(t)})
+    for some in (cuts, [c for c in cuts if c.isascii()], [c for c in cuts if not c.isascii()], cuts[:1], []):
+        found, counts = cutter.many(some)
+        each = [alone(cutter, c) for c in some]
+        assert found == [w for ws in each for w in ws] and counts.tolist() == [len(ws) for ws in each]
+
+
 def test_frequent_words_are_the_most_frequent(spark, odd):
     path = public_tokenizers.path("word_bpe_49k.json")
     vocabulary = lexicon.Vocabulary.read(path)
