@@ -199,6 +199,24 @@ def test_every_bigram_is_held_and_probed_by_ranges(spark, labelled, monkeypatch)
     assert {r.doc_id: r for r in language_model.score(docs, model, train).collect()} == first
 
 
+def test_batches_of_texts_are_sorted_and_sliced():
+    """Tokens of all texts at once, sorted keys without a hash table, and slices that leave no text out."""
+    rng = np.random.default_rng(7)
+    for sizes in ([], [0], [3], [0, 0, 5, 1, 0], rng.integers(0, 9, 300).tolist()):
+        words = [rng.integers(0, 2**64, n, np.uint64) % np.uint64(50) for n in sizes]
+        split = [language_model.tokens_of(w) for w in words]
+        none = np.zeros(0, np.uint64)
+        tokens, before, lengths = language_model._row_tokens(words)
+        assert tokens.dtype == before.dtype == np.uint64 and lengths.tolist() == [n + 1 for n in sizes]
+        assert np.array_equal(tokens, np.concatenate([none, *[t for t, _ in split]]))
+        assert np.array_equal(before, np.concatenate([none, *[b for _, b in split]]))
+        assert np.array_equal(language_model._distinct(tokens), np.unique(tokens))
+        for most in (1, 7, 10**6):
+            runs = list(language_model._slices(lengths, most))
+            assert [i for a, z in runs for i in range(a, z)] == list(range(len(sizes)))
+            assert all(z - a == 1 or lengths[a:z].sum() <= most for a, z in runs)
+
+
 def test_shares_of_all_words_add_up():
     """After every word, and after one never seen, within what quantised counts can miss."""
     rng = np.random.default_rng(4)
