@@ -56,6 +56,11 @@ def read_vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
     return ranks, special
 
 
+def single_spaced(text: str) -> bool:
+    """Whether no space stands beside white space."""
+    return not _RUN.search(text)
+
+
 class Pieces(dict):
     """Token ids, as bytes, of a space and the word after it; new words of a batch are encoded together."""
 
@@ -97,7 +102,7 @@ class Pieces(dict):
     def batch(self, texts: Sequence[str]) -> Iterator[bytes]:
         """The ids of each text."""
         # a single space between two others always starts a cut, so the words can be encoded alone
-        split = [None if _RUN.search(t) else t.split(" ") for t in texts]
+        split = [t.split(" ") if single_spaced(t) else None for t in texts]
         wanted: set[str] = set()
         for words in split:
             if words:

@@ -1,6 +1,7 @@
 """Two tokenizers' tokens of the same texts, aligned by white-space anchors, and how often ids meet.
 
-1. Each text is tokenised in full by both, and both tokens' bytes are verified against it.
+1. Each text is tokenised in full by both, and both tokens' bytes are verified against it. Where a single
+   space stands between words both tokenise each word alone, and a word met before is remembered.
 2. Where tokens of both end and the next tokens of both bear the mark of a space, an anchor is set: the
    ends are shared and verified, so that the text falls into windows of two runs of token ids.
 3. A window is aligned once and remembered by the ids in it; most windows are a word met before. Windows
@@ -12,9 +13,9 @@
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +26,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.packing import PATTERN, Pieces, read_vocabulary, slices
+from sentencepiece import sentencepiece_model_pb2
+
+from corpusloom.llm.packing import CACHED, PATTERN, Pieces, read_vocabulary, single_spaced, slices
 from corpusloom.llm.shingles import mixed
 from corpusloom.session import materialize
 
 SPACE_MARK = "▁"  # fixed value: a space in pieces
 TOGETHER = 1 << 21  # bytes of the texts aligned at once, a batch
+LEARNED = 256  # new words tokenised in one go
 REMEMBERED = 1 << 18  # windows a worker remembers; beyond it starts anew
 _FACTOR = 0x9E3779B97F4A7C15
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -53,6 +57,26 @@ def piece_bytes(processor: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     return out
 
 
+def parts_at_spaces(model: bytes) -> bool:
+    """Whether a space and the word after it are tokenised the same wherever they stand.
+
+    So it is where pieces are merged without normalising, every byte has its piece, spaces stay as they are
+    with one put before the text, and no piece goes on over a space: no merge joins two words, and the order
+    of merges inside of a word is its own.
+    """
+    held = sentencepiece_model_pb2.ModelProto.FromString(model)
+    trainer, normaliser = held.trainer_spec, held.normalizer_spec
+    kinds = sentencepiece_model_pb2.ModelProto.SentencePiece
+    plain = normaliser.add_dummy_prefix and normaliser.escape_whitespaces and not normaliser.remove_extra_whitespaces
+    plain = plain and not normaliser.precompiled_charsmap and not trainer.treat_whitespace_as_suffix
+    if not plain or trainer.model_type != trainer.BPE or not trainer.byte_fallback:
+        return False
+    if any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) for p in held.pieces):
+        return False
+    pieces = {p.piece for p in held.pieces}
+    return SPACE_MARK in pieces and not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
+
+
 class Tokens:
     """Byte lengths, space marks and decimal names of the ids of one vocabulary."""
 
@@ -67,6 +91,29 @@ class Tokens:
         return b"".join(map(self.entries.__getitem__, ids))
 
 
+class Remembered:
+    """Ids of both vocabularies for some texts, by number, and whether their bytes are the text's."""
+
+    def __init__(self) -> None:
+        none = np.zeros(0, np.int64)
+        self.ids = [np.zeros(0, np.int32)] * 2
+        self.starts, self.sizes, self.right = [none] * 2, [none] * 2, np.zeros(0, bool)
+
+    def __len__(self) -> int:
+        return len(self.right)
+
+    def added(self, ids: list[np.ndarray], sizes: list[np.ndarray], right: np.ndarray) -> Remembered:
+        """These and more of them, in the order of their numbers."""
+        out = Remembered()
+        for i in (0, 1):
+            at = len(self.ids[i])
+            out.ids[i] = np.concatenate([self.ids[i], ids[i].astype(np.int32)])
+            out.starts[i] = np.concatenate([self.starts[i], at + np.cumsum(sizes[i]) - sizes[i]])
+            out.sizes[i] = np.concatenate([self.sizes[i], sizes[i]])
+        out.right = np.concatenate([self.right, right])
+        return out
+
+
 class Pair:
     """Both tokenizers, from what was broadcast."""
 
@@ -81,21 +128,88 @@ class Pair:
         )
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.b = Tokens(piece_bytes(self.processor), ";")
-
-    def tokenised(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Both runs of ids of each text; None where there are none, or the bytes are not the text's."""
-        out: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(texts)
+        self.alone = parts_at_spaces(model)
+        self.words: dict[str, int] = {}
+        self.known = Remembered()
+
+    def _coded(self, texts: list[str], first: list[bytes], second: np.ndarray, nb: np.ndarray) -> tuple:
+        """Both runs of ids of each text that follows a space, how many they are, and whether they spell it."""
+        a = np.frombuffer(b"".join(first), "<u4").astype(np.int64)
+        na = np.array([len(x) // 4 for x in first], np.int64)
+        data = [b" " + t.encode("utf-8", "surrogatepass") for t in texts]
+        size = np.array([len(x) for x in data], np.int64)
+        # byte-level tokens are cut from the text's bytes, so that their lengths tell whether all are there
+        upto = np.concatenate([[0], np.cumsum(self.a.lengths[a])])
+        right = np.diff(upto[np.concatenate([[0], np.cumsum(na)])]) == size
+        ids = second.tolist()
+        if self.b.spell(ids) != b"".join(data):
+            ends = [0, *np.cumsum(nb).tolist()]
+            right &= np.array([self.b.spell(ids[i:j]) == x for i, j, x in zip(ends, ends[1:], data)], bool)
+        else:
+            upto = np.concatenate([[0], np.cumsum(self.b.lengths[second])])
+            right &= np.diff(upto[np.concatenate([[0], np.cumsum(nb)])]) == size
+        return [a, second], [na, nb], right
+
+    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the second vocabulary of each text, and how many."""
+        found = self.processor.encode(texts, num_threads=1) if texts else []
+        return np.fromiter(chain.from_iterable(found), np.int64), np.array([len(x) for x in found], np.int64)
+
+    def _learn(self, new: set[str]) -> None:
+        """Tokenise new words, several in one go: each starts at the one token with a space."""
+        listed = list(new)
+        if not listed:
+            return
+        self.encoding.learn(new)
+        first = [self.encoding.pop(w) for w in listed]
+        ids, _ = self._pieces([" ".join(listed[i : i + LEARNED]) for i in range(0, len(listed), LEARNED)])
+        starts = np.flatnonzero(self.b.marked[ids])
+        nb = np.diff(starts, append=len(ids))
+        if len(starts) != len(listed):
+            ids, nb = self._pieces(listed)
+        start = len(self.known)
+        self.known = self.known.added(*self._coded(listed, first, ids, nb))
+        self.words.update(zip(listed, range(start, start + len(listed))))
+
+    def tokenised(self, texts: list[str | None]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """Places of the texts that have tokens; the ids of these in both vocabularies, and how many each has."""
         places = [i for i, t in enumerate(texts) if t]
-        second = self.processor.encode([texts[i] for i in places], num_threads=1) if places else []
-        first = self.encoding.batch([" " + texts[i] for i in places])
-        for i, ids, b in zip(places, first, second):
-            whole = " " + texts[i]
-            a = np.frombuffer(ids, "<u4").astype(np.int64)
-            data = whole.encode("utf-8", "surrogatepass")
-            # byte-level tokens are cut from the text's bytes, so that their lengths tell whether all are there
-            if self.a.lengths[a].sum() == len(data) and self.b.spell(b) == data:
-                out[i] = a, np.frombuffer(array("q", b), np.int64)
-        return out
+        split = [self._split(texts[i]) for i in places]
+        wanted = set().union(*[words for words in split if words])
+        new = wanted.difference(self.words)
+        if len(self.words) + len(new) > CACHED:
+            self.words, self.known, new = {}, Remembered(), wanted
+        self._learn(new)
+        # texts that cannot be split are numbered behind the words, for this once
+        whole = [texts[i] for i, words in zip(places, split) if not words]
+        held, number = self.known, len(self.known)
+        if whole:
+            held = held.added(*self._coded(whole, list(self.encoding.batch([" " + t for t in whole])), *self._pieces(whole)))
+        counts = np.array([len(words) if words else 1 for words in split], np.int64)
+        numbers: list[int] = []
+        for words in split:
+            if words:
+                numbers += map(self.words.__getitem__, words)
+            else:
+                numbers.append(number)
+                number += 1
+        at = np.array(numbers, np.int64)
+        if len(places):
+            right = np.logical_and.reduceat(held.right[at], np.cumsum(counts) - counts)
+            at, counts, places = at[np.repeat(right, counts)], counts[right], np.array(places)[right].tolist()
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        ids, sizes = [], []
+        for i in (0, 1):
+            n = held.sizes[i][at]
+            ids.append(held.ids[i][_flat(held.starts[i][at], n)].astype(np.int64))
+            sizes.append(np.diff(np.concatenate([[0], np.cumsum(n)])[ends]))
+        return np.array(places, np.int64), ids, sizes
+
+    def _split(self, text: str) -> list[str] | None:
+        """The words of a text that both tokenise word by word; None for any other."""
+        if not self.alone or text[-1] == " " or SPACE_MARK in text or not single_spaced(" " + text):
+            return None
+        return text.split(" ")
 
 
 # --- windows ----------------------------------------------------------------------------------------
@@ -256,14 +370,11 @@ class Aligner:
         n = len(texts)
         counts = {c: np.zeros(n, np.int64) for c in COUNTS}
         groups, pairs, times = [""] * n, [b""] * n, [b""] * n
-        held = [(i, x) for i, x in enumerate(self.pair.tokenised(texts)) if x is not None]
-        if not held:
+        rows, (a, b), (na, nb) = self.pair.tokenised(texts)
+        if not len(rows):
             return counts, groups, pairs, times
-        rows = np.array([i for i, _ in held])
-        counts["n_a"][rows] = [len(x[0]) for _, x in held]
-        counts["n_b"][rows] = [len(x[1]) for _, x in held]
-        a, b = (np.concatenate([x[side] for _, x in held]) for side in (0, 1))
-        windows = Windows.cut(a, b, np.cumsum(counts["n_a"][rows]), self.pair)
+        counts["n_a"][rows], counts["n_b"][rows] = na, nb
+        windows = Windows.cut(a, b, np.cumsum(na), self.pair)
         first, kind = windows.distinct(a, b)
         number = self.numbers(a, b, windows, first)[kind]
         counts["n_groups"][rows] = np.bincount(windows.of, self.groups[number], len(rows)).astype(np.int64)

@@ -1,6 +1,7 @@
 """Aligned tokens against the two libraries and brute force."""
 
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -148,6 +149,70 @@ def test_hash_collisions_change_nothing(spark, libraries, monkeypatch):
     assert all((other[0][c] == right[0][c]).all() for c in right[0])
 
 
+class Counting:
+    """A processor that keeps what it is given."""
+
+    def __init__(self, processor):
+        self.processor, self.given = processor, []
+
+    def encode(self, texts, **given):
+        self.given += texts
+        return self.processor.encode(texts, **given)
+
+
+def test_words_met_before_are_not_tokenised_again(libraries, monkeypatch):
+    rng = random.Random(5)
+    signs = list("ab Cé1'  \n\t\u3000sß<😀.,▁½\x00中") + [" the ", " of", "<s>", "<|endoftext|>", "thing", "  "]
+    odd = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 60))) for _ in range(600)]
+    plain = [" ".join(rng.choice(["the", "of.", "to\nkens", "wörter", "x1y2"]) for _ in range(30)) + "z" for _ in range(50)]
+    texts = [*(t for _, t in HOSTILE), *odd, "trailing space ", *plain]
+    pair = token_alignment.Pair(token_alignment.read_vocabulary(A)[0], open(B, "rb").read())
+    pair.processor = Counting(pair.processor)
+    for most in (token_alignment.CACHED, 5, 5):
+        monkeypatch.setattr(token_alignment, "CACHED", most)
+        places, ids, sizes = pair.tokenised(texts)
+        ends = [[0, *n.cumsum().tolist()] for n in sizes]
+        got = {i: [side[e[k] : e[k + 1]].tolist() for side, e in zip(ids, ends)] for k, i in enumerate(places.tolist())}
+        for i, text in enumerate(texts):
+            placed = spelled(libraries, text) if text else None
+            assert got.get(i) == (placed and [[x for x, *_ in side] for side in placed])
+    monkeypatch.undo()
+    pair.tokenised(plain)
+    pair.processor.given.clear()
+    assert len(pair.tokenised(plain + plain[::-1])[0]) == 2 * len(plain)
+    assert not pair.processor.given
+
+
+def test_only_some_models_part_at_spaces():
+    from sentencepiece import sentencepiece_model_pb2
+
+    held = sentencepiece_model_pb2.ModelProto.FromString(open(B, "rb").read())
+    assert token_alignment.parts_at_spaces(held.SerializeToString())
+
+    def changed(change):
+        other = sentencepiece_model_pb2.ModelProto()
+        other.CopyFrom(held)
+        change(other)
+        return other.SerializeToString()
+
+    for change in (
+        lambda m: setattr(m.trainer_spec, "model_type", m.trainer_spec.UNIGRAM),
+        lambda m: setattr(m.trainer_spec, "byte_fallback", False),
+        lambda m: setattr(m.normalizer_spec, "remove_extra_whitespaces", True),
+        lambda m: setattr(m.normalizer_spec, "precompiled_charsmap", b"x"),
+        lambda m: m.pieces.add(piece="of▁the", score=-1.0),
+        lambda m: m.pieces.add(piece="own", score=0.0, type=m.SentencePiece.USER_DEFINED),
+    ):
+        assert not token_alignment.parts_at_spaces(changed(change))
+    whole = token_alignment.Pair(
+        token_alignment.read_vocabulary(A)[0], changed(lambda m: m.pieces.add(piece="the▁words", score=0.0))
+    )
+    texts = ["the words of 中 a text", "", "the words"]
+    places, (_, b), (_, nb) = whole.tokenised(texts)
+    assert b.tolist() == [i for k in places for i in whole.processor.encode(texts[k])]
+    assert nb.tolist() == [len(whole.processor.encode(texts[k])) for k in places]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert token_alignment.align(docs, A, B).count() == 0
