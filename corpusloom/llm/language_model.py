@@ -35,6 +35,8 @@ PROBES = 5  # hash functions of the filter
 GROWTH = 1.25  # between one quantised count and the next
 SHARE = 0.4  # of the bigram in the interpolation
 BATCH_BYTES = 6 << 20  # of text in a batch of documents
+COUNT_BYTES = 8 << 20  # of text counted at once, or one document
+PROBED = 1 << 17  # keys whose bits are set or looked up at once
 SLICE = 100_000  # tokens scored at once, or one document
 
 END = np.uint64(0x2545F4914F6CDD1D)  # the token after a text's last word, and before its first
@@ -84,6 +86,9 @@ class LogFrequencyFilter:
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The highest level that is held without a gap below; 0 where none is."""
+        return np.concatenate([np.zeros(0, np.int64), *[self._probed(k) for k in _runs(keys)]])
+
+    def _probed(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)
         alive = np.arange(len(keys))
         for level in range(1, len(_THRESHOLDS) + 1):
@@ -107,6 +112,11 @@ def _short(keys: np.ndarray, ranges: int) -> np.ndarray:
     return keys >> np.uint64(32 - bits) << np.uint64(32 - bits)
 
 
+def _runs(keys: np.ndarray) -> Iterator[np.ndarray]:
+    """The keys in runs of ``PROBED``, whose places in the filter are in memory at once."""
+    return (keys[i : i + PROBED] for i in range(0, len(keys), PROBED))
+
+
 def _positions(keys: np.ndarray, level: int, size: np.ndarray) -> list[np.ndarray]:
     with np.errstate(over="ignore"):
         h = mixed(keys + np.uint64(level) * _LEVEL)
@@ -148,59 +158,68 @@ def log10(
 
 
 def _counted(docs: DataFrame, ranges: int) -> DataFrame:
-    """Training counts of words (batch 0) and pairs (batch 1) of each Arrow batch, by range."""
+    """Training counts of words (batch 0) and pairs (batch 1) of some texts of an Arrow batch, by range.
+
+    An Arrow batch has as many rows as it likes, of any length; ``COUNT_BYTES`` of it are counted at once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            tokens, before, _ = _row_tokens(word_hashes(batch.column(0).to_pylist()))
-            both = pairs(before, tokens)
-            del before
-            words, n = np.unique(tokens, return_counts=True)
-            del tokens
-            yield keycounts.batch_of(keycounts.sent(0, words, n, ranges, wide=True))
-            both, n = np.unique(both, return_counts=True)
-            yield keycounts.batch_of(keycounts.sent(1, both, n, ranges))
-            del both, words, n
+            texts = batch.column(0)
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for first, last in _slices(sizes, COUNT_BYTES):
+                tokens, before, _ = _row_tokens(word_hashes(texts.slice(first, last - first).to_pylist()))
+                both = pairs(before, tokens)
+                del before
+                words, n = np.unique(tokens, return_counts=True)
+                del tokens
+                yield keycounts.batch_of(keycounts.sent(0, words, n, ranges, wide=True))
+                both, n = np.unique(both, return_counts=True)
+                yield keycounts.batch_of(keycounts.sent(1, both, n, ranges))
+                del both, words, n
 
     return docs.select("text").mapInArrow(run, keycounts.SENT)
 
 
+def _added(table: pa.Table, ranges: int) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """How many words a range has, distinct and in all; its keys and their levels."""
+    bits = ranges.bit_length() - 1
+    number = table.column("range")[0].as_py()
+    keys, found = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]
+    types = tokens = 0
+    for kind in (0, 1):
+        part = table.filter(pc.equal(table.column("batch"), kind))
+        if not len(part):
+            continue
+        held, totals = keycounts.added(part, wide=kind == 0)[1::2]
+        if kind == 0:
+            types, tokens = len(held), int(totals.sum())
+            held = _short(held.astype(np.uint64), ranges)
+        else:
+            high = np.uint64(number) << np.uint64(64 - bits)
+            held = high | (held.astype(np.uint64) << np.uint64(32 - bits))
+        keys.append(held)
+        found.append(levels(totals).astype(np.uint8))
+    return types, tokens, np.concatenate(keys), np.concatenate(found)
+
+
 _LEVELS = "range int, types long, tokens long, keys binary, levels binary, histogram array<long>"
 
 
 def _levelled(sent: DataFrame, ranges: int) -> DataFrame:
     """Keys and levels of each range, and how many words there are."""
     depth = len(_THRESHOLDS) + 1
-    bits = ranges.bit_length() - 1
 
     def run(table: pa.Table) -> pa.Table:
-        number = table.column("range")[0].as_py()
-        keys, found = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        types = tokens = 0
-        for kind in (0, 1):
-            part = table.filter(pc.equal(table.column("batch"), kind))
-            if not len(part):
-                continue
-            _, held, _, totals = keycounts.added(part, wide=kind == 0)
-            if kind == 0:
-                types, tokens = len(held), int(totals.sum())
-                held = _short(held.astype(np.uint64), ranges)
-            else:
-                high = np.uint64(number) << np.uint64(64 - bits)
-                held = high | (held.astype(np.uint64) << np.uint64(32 - bits))
-            keys.append(held)
-            found.append(levels(totals))
-        key, level = np.concatenate(keys), np.concatenate(found)
+        types, tokens, key, level = _added(table, ranges)
         histogram = np.bincount(level, minlength=depth)
         return pa.table(
             {
-                "range": pa.array([number], pa.int32()),
+                "range": table.column("range")[:1],
                 "types": pa.array([types], pa.int64()),
                 "tokens": pa.array([tokens], pa.int64()),
                 "keys": pa.array([key.astype("<u8").tobytes()], pa.binary()),
-                "levels": pa.array([level.astype(np.uint8).tobytes()], pa.binary()),
+                "levels": pa.array([level.tobytes()], pa.binary()),
                 "histogram": pa.array([histogram.tolist()], pa.list_(pa.int64())),
             }
         )
@@ -208,31 +227,51 @@ def _levelled(sent: DataFrame, ranges: int) -> DataFrame:
     return sent.groupBy("range").applyInArrow(run, _LEVELS)
 
 
+_PARTS = "range int, size long, bits binary, types long, tokens long"
+_PARTS_KINDS = (pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+
+
+def _filled(keys: np.ndarray, level: np.ndarray) -> tuple[int, bytes]:
+    """The filter's part of a range: every level of every key, as bits, and how many bits."""
+    size = -(-int(level.sum(dtype=np.int64)) * BITS_PER_ENTRY // 8) * 8
+    held = np.zeros(size, bool)
+    for number in range(1, int(level.max(initial=0)) + 1):
+        for mine in _runs(keys[level >= number]):
+            for place in _positions(mine, number, np.full(len(mine), size)):
+                held[place] = True
+    return size, np.packbits(held, bitorder="little").tobytes()
+
+
 def _parts(levelled: DataFrame, lowest: int) -> DataFrame:
-    """The filter's part of each range: every level of every key, as bits."""
+    """The filter's parts from written levels, without the n-grams of levels below the lowest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, blobs = [], []
+            filled = []
             for k, v in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                keys, level = np.frombuffer(k, "<u8"), np.frombuffer(v, np.uint8).astype(np.int64)
-                keys, level = keys[level >= lowest], level[level >= lowest]
-                size = -(-int(level.sum()) * BITS_PER_ENTRY // 8) * 8
-                held = np.zeros(size, bool)
-                for number in range(1, int(level.max(initial=0)) + 1):
-                    mine = keys[level >= number]
-                    for place in _positions(mine, number, np.full(len(mine), size)):
-                        held[place] = True
-                sizes.append(size)
-                blobs.append(np.packbits(held, bitorder="little").tobytes())
+                keys, level = np.frombuffer(k, "<u8"), np.frombuffer(v, np.uint8)
+                filled.append(_filled(keys[level >= lowest], level[level >= lowest]))
+            columns = (batch.column(0), [s for s, _ in filled], [b for _, b in filled], batch.column(3), batch.column(4))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary()), batch.column(3), batch.column(4)],
-                ["range", "size", "bits", "types", "tokens"],
+                [pa.array(c, k) for c, k in zip(columns, _PARTS_KINDS)], [f.split()[0] for f in _PARTS.split(", ")]
             )
 
-    return levelled.select("range", "keys", "levels", "types", "tokens").mapInArrow(
-        run, "range int, size long, bits binary, types long, tokens long"
-    )
+    return levelled.select("range", "keys", "levels", "types", "tokens").mapInArrow(run, _PARTS)
+
+
+def _counted_parts(sent: DataFrame, ranges: int) -> DataFrame:
+    """The filter's parts of all n-grams, each built by the function that counts its range.
+
+    Levels handed on to a second function would take a second Python worker beside each task's first.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        types, tokens, keys, level = _added(table, ranges)
+        size, bits = _filled(keys, level)
+        row = (table.column("range")[0].as_py(), size, bits, types, tokens)
+        return pa.table({f.split()[0]: pa.array([v], k) for f, v, k in zip(_PARTS.split(", "), row, _PARTS_KINDS)})
+
+    return sent.groupBy("range").applyInArrow(run, _PARTS)
 
 
 def train(docs: DataFrame, text: str = "text", max_bytes: int | None = None) -> LanguageModel:
@@ -245,13 +284,14 @@ def train(docs: DataFrame, text: str = "text", max_bytes: int | None = None) ->
     rows = docs.select(F.col(text).alias("text"))
     about = rows.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
     ranges = keycounts.ranges_for((about["b"] or 0) // 4)
-    levelled = _levelled(_counted(rows, ranges), ranges)
-    lowest = 1
-    if max_bytes is not None:
-        levelled = materialize(levelled, "levels")
-        lowest = _lowest(levelled, max_bytes)
-    parts = materialize(_parts(levelled, lowest), "filter")
-    del levelled
+    sent = _counted(rows, ranges)
+    if max_bytes is None:
+        parts = materialize(_counted_parts(sent, ranges), "filter")
+    else:
+        levelled = materialize(_levelled(sent, ranges), "levels")
+        parts = materialize(_parts(levelled, _lowest(levelled, max_bytes)), "filter")
+        del levelled
+    del sent
     release(docs.sparkSession)
     facts = parts.select(F.sum("types").alias("types"), F.sum("tokens").alias("tokens")).first()
     return LanguageModel(parts.select("range", "size", "bits"), ranges, facts["tokens"] or 0, facts["types"] or 0, about["n"])
@@ -385,11 +425,13 @@ def score(
     def send(table: pa.Table) -> pa.Table:
         tokens, before, lengths = _row_tokens(word_hashes(table.column("text").to_pylist()))
         both = _distinct(pairs(before, tokens))
+        del before
         keys, place = np.unique(tokens, return_inverse=True)
         trained = np.array(table.column("trained").to_pylist(), np.int64)
         # the ends of texts are known from the number of documents, and not counted
         weight = np.where(tokens == END, 0, np.repeat(trained, lengths))
         counts = np.bincount(place, weights=weight, minlength=len(keys)).astype("<i8")
+        del tokens, place, weight
         w, p = _cut(keys, ranges), _cut(both, ranges)
         _, low = keycounts.placed(both, ranges)
         number = table.column("batch")[0].as_py()
@@ -421,6 +463,7 @@ def score(
         tokens, before, lengths = _row_tokens(word_hashes(texts.column("text").to_pylist()))
         keys, place = np.unique(tokens, return_inverse=True)
         both, pair_place = np.unique(pairs(before, tokens), return_inverse=True)
+        del tokens, before
         counts = np.concatenate(
             [np.zeros(0, "<i8"), *[keycounts.unpacked(c, "<i8") for c in came.column("counts").to_pylist()]]
         )

@@ -15,7 +15,7 @@ _CODES = np.random.Generator(np.random.PCG64(20_240_601)).integers(
 )
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_TOGETHER = 1 << 21  # bytes hashed at once
+_TOGETHER = 1 << 19  # bytes hashed at once, each of which takes some tens of bytes of arrays
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

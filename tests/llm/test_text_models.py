@@ -217,6 +217,68 @@ def test_batches_of_texts_are_sorted_and_sliced():
             assert all(z - a == 1 or lengths[a:z].sum() <= most for a, z in runs)
 
 
+def test_counting_holds_a_part_of_a_batch_in_memory():
+    """An Arrow batch of many long texts is counted in parts, and no text is left out."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from corpusloom.llm import keycounts
+    from corpusloom.llm.shingles import word_hashes
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    rng = np.random.default_rng(11)
+    vocabulary = np.array([f"word{i}" for i in range(20_000)])
+    long = " ".join(vocabulary[rng.integers(0, 20_000, 300_000)])
+    texts = [None, "", *[long[i : i + 1 + i % 30_000] for i in range(0, len(long), 1_000)] * 8, long, None, "a"]
+    assert sum(len(t or "") for t in texts) > 30 << 20
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    counted = language_model._counted(Docs(), 64)
+    tracemalloc.start()
+    try:
+        sent = [b for b in counted(iter([batch.slice(0, 0), batch]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 150 << 20
+    table = pa.Table.from_batches(sent)
+    split = [language_model.tokens_of(w) for w in word_hashes(texts)]
+    tokens, before = (np.concatenate(x) for x in zip(*split))
+    want = np.unique(tokens, return_counts=True)
+    words = table.filter(pa.compute.equal(table.column("batch"), 0))
+    _, keys, _, totals = keycounts.added(words, wide=True)
+    assert np.array_equal(keys, want[0]) and np.array_equal(totals, want[1])
+    both = table.filter(pa.compute.equal(table.column("batch"), 1))
+    counts = [keycounts.unpacked(c, "<u4").sum(dtype=np.int64) for c in both.column("counts").to_pylist()]
+    assert sum(counts) == len(tokens)
+
+
+def test_parts_are_built_where_they_are_counted(spark, labelled, monkeypatch):
+    """One Python function after the shuffle, not two with a worker each; the parts are those of written levels."""
+    docs = labelled.select("text").where("doc_id % 5 = 0")
+    written, real = [], language_model.materialize
+    monkeypatch.setattr(language_model, "materialize", lambda df, name: written.append((name, df)) or real(df, name))
+    monkeypatch.setattr(language_model, "PROBED", 1_000)
+    model = language_model.train(docs)
+    ((name, df),) = written
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert name == "filter" and plan.count("MapInArrow") == 1 and plan.count("FlatMapGroupsInArrow") == 1
+    levelled = language_model._levelled(language_model._counted(docs, model.ranges), model.ranges)
+    monkeypatch.undo()
+    want = {r["range"]: r for r in language_model._parts(levelled, 1).select("range", "size", "bits").collect()}
+    assert {r["range"]: r for r in model.parts.collect()} == want
+    keys = language_model._short(np.random.default_rng(2).integers(0, 2**64, 5_000, np.uint64), model.ranges)
+    first = model.filter.levels(keys)
+    monkeypatch.setattr(language_model, "PROBED", 700)
+    assert np.array_equal(model.filter.levels(keys), first) and len(model.filter.levels(keys[:0])) == 0
+
+
 def test_shares_of_all_words_add_up():
     """After every word, and after one never seen, within what quantised counts can miss."""
     rng = np.random.default_rng(4)
