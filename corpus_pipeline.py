@@ -44,7 +44,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     folder = os.environ.get("TOKENIZER_DIR")
     name = "byte_bpe_50k.json"
     tokenizer = os.path.join(folder, name) if folder else public_tokenizers.path(name)
-    return packing.pack(packing.token_pieces(docs, tokenizer))
+    # the pieces are written and moved once with ids as short as they can be
+    width = packing.id_width(*packing.read_vocabulary(tokenizer))
+    return packing.widened(packing.pack(packing.token_pieces(docs, tokenizer, width=width)), width)
 
 
 # (name, function), in order

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.rows import ROW, with_rows
-from corpusloom.session import materialize, release
+from corpusloom.session import discard, materialize, release
 
 WHITE_SPACE = " \t\n\x0b\f\r"  # fixed value: the characters that do not count
 
@@ -40,7 +40,7 @@ def _decided(base: DataFrame, first_bytes: int, growth: int) -> DataFrame:
     state = base.select(
         ROW, F.lit(0).cast("long").alias("__group"), squeezed("__text").cast("binary").alias("__rest")
     )
-    width, settled = first_bytes, []
+    width, settled, steps = first_bytes, [], []
     while True:
         digit = F.substring("__rest", 1, width)
         placed = state.withColumn("__digit", digit)
@@ -51,6 +51,7 @@ def _decided(base: DataFrame, first_bytes: int, growth: int) -> DataFrame:
             .select("__group", "__digit", "__next"),
             "radix-groups",
         )
+        steps.append(shared)
         if shared.isEmpty():
             break
         # read back from the written table, so that a group with a third of all rows can be split, and
@@ -64,6 +65,7 @@ def _decided(base: DataFrame, first_bytes: int, growth: int) -> DataFrame:
             ),
             "radix-state",
         )
+        steps.append(state)
         del placed
         release(base.sparkSession)
         settled.append(state.where("__ended").select(ROW, "__group"))
@@ -73,6 +75,9 @@ def _decided(base: DataFrame, first_bytes: int, growth: int) -> DataFrame:
     for more in settled:
         members = members.unionByName(more)
     members = materialize(members.join(base.select(ROW, "__id", "__points"), ROW), "radix-members")
+    # the bytes that were still shared are read no more
+    for step in steps:
+        discard(step)
     order = F.struct(
         (-F.col("__points")).alias("a"),
         F.col("__id").isNull().alias("b"),
@@ -125,6 +130,7 @@ def drop_exact_duplicates(
     base = _written(docs, key, text, rest, "radix-docs")
     decided = _decided(base, first_bytes, growth)
     dropped = materialize(decided.where(F.col("__stays") != F.col(ROW)).select(ROW), "radix-dropped")
+    discard(decided)
     release(base.sparkSession)
     kept = base.join(dropped, ROW, "left_anti")
     named = {key: "__id", text: "__text"}

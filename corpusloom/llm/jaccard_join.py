@@ -218,7 +218,7 @@ def link_sets(written: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
     discard(several)
     release(written.sparkSession)
     tested = None
-    component = posted.select("set").distinct().select("set", F.col("set").alias("component"))
+    component = alone = posted.select("set").distinct().select("set", F.col("set").alias("component"))
     for step in range(LEADER_ROUNDS + 1):
         placed = posted.join(component, "set")
         open_keys = materialize(
@@ -243,6 +243,7 @@ def link_sets(written: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
             "open",
         )
         if open_keys.isEmpty():
+            discard(open_keys)
             break
         if step < LEADER_ROUNDS:
             x, y = open_keys.alias("x"), placed.alias("y")
@@ -264,6 +265,7 @@ def link_sets(written: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
+        discard(open_keys)
         now = pairs.select("a", "b")
         tested = now if tested is None else tested.unionByName(now)
         # the sets of this round's pairs alone are hashed again, and dropped after it
@@ -276,16 +278,23 @@ def link_sets(written: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
         discard(compared)
         release(written.sparkSession)
         if found.isEmpty():
+            discard(found)
             continue
         # the new links join groups so far, and what they join is all that is followed
         grouped = connected_components(found, "ca", "cb").withColumnRenamed("component", "joined")
-        component = materialize(
+        before, component = component, materialize(
             component.join(grouped, F.col("component") == F.col("node"), "left").select(
                 "set", F.coalesce("joined", "component").alias("component")
             ),
             "groups",
         )
+        for table in (found, grouped) if before is alone else (found, grouped, before):
+            discard(table)
         release(written.sparkSession)
+    if tested is not None:
+        discard(tested)
+    if component is not alone:
+        discard(posted)
     of = signed.join(firsts, ["s1", "s2", "n"], "left").select(ROW, "n", "set")
     return of, component
 
@@ -341,5 +350,7 @@ def drop_near_duplicates(
     )
     others = placed.join(first, "group").where(F.col(ROW) != F.col("f.c")).select(ROW)
     others = materialize(others, "near-copies")
+    for table in (of, component, placed, first):
+        discard(table)
     release(whole.sparkSession)
     return whole.join(others, ROW, "left_anti").select(*docs.columns)

@@ -56,6 +56,11 @@ def read_vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
     return ranks, special
 
 
+def id_width(ranks: dict[bytes, int], special: dict[str, int]) -> int:
+    """Bytes that hold any id of a vocabulary: 2 up to 65,536 ids, else 4."""
+    return 2 if max([*ranks.values(), *special.values()], default=0) < 1 << 16 else 4
+
+
 def single_spaced(text: str) -> bool:
     """Whether no space stands beside white space."""
     return not _RUN.search(text)
@@ -140,14 +145,19 @@ def token_pieces(
     text: str = "text",
     end: int = 2,
     capacity: int = 1024,
+    width: int = 4,
 ) -> DataFrame:
     """Cut each document's ids into pieces: (key, ``piece``, ``start``, ``length``, ``ids``).
 
     A document is its ids and then ``end``; null and empty texts are ``end`` alone. Only documents longer
     than ``capacity`` are cut, into pieces of ``capacity`` of which the first may be shorter. ``ids`` are
-    little-endian unsigned 32-bit integers. Repeated rows give their pieces each.
+    little-endian unsigned integers of ``width`` bytes, 4 or, if all ids fit (``id_width``), 2. Repeated rows
+    give their pieces each.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(tokenizer))
+    vocabulary = read_vocabulary(tokenizer)
+    if width not in (2, 4) or width < id_width(*vocabulary) or end >= 1 << 8 * width:
+        raise ValueError(f"ids do not fit into {width} bytes")
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
     schema = T.StructType(
         [
             T.StructField("key", docs.schema[key].dataType),
@@ -165,34 +175,44 @@ def token_pieces(
             tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special), ranks
         )
         for batch in batches:
-            of, numbers, starts, lengths, ids = [], [], [], [], []
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            coded = (held for a, z in slices(texts) for held in pieces.batch(texts[a:z]))
-            for row, held in enumerate(coded):
-                held += last
-                n = len(held) // 4
-                edges = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
-                for number, (a, b) in enumerate(zip(edges, edges[1:])):
-                    of.append(row)
-                    numbers.append(number)
-                    starts.append(a)
-                    lengths.append(b - a)
-                    ids.append(held[4 * a : 4 * b])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(of, pa.int64())),
-                    pa.array(numbers, pa.int32()),
-                    pa.array(starts, pa.int64()),
-                    pa.array(lengths, pa.int64()),
-                    pa.array(ids, pa.binary()),
-                ],
-                ["key", "piece", "start", "length", "ids"],
-            )
+            for begin, stop in slices(texts):
+                of, numbers, starts, lengths, ids = [], [], [], [], []
+                for row, held in enumerate(pieces.batch(texts[begin:stop]), begin):
+                    held += last
+                    n = len(held) // 4
+                    if width == 2:
+                        held = np.frombuffer(held, "<u4").astype("<u2").tobytes()
+                    edges = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
+                    for number, (a, b) in enumerate(zip(edges, edges[1:])):
+                        of.append(row)
+                        numbers.append(number)
+                        starts.append(a)
+                        lengths.append(b - a)
+                        ids.append(held[width * a : width * b])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(of, pa.int64())),
+                        pa.array(numbers, pa.int32()),
+                        pa.array(starts, pa.int64()),
+                        pa.array(lengths, pa.int64()),
+                        pa.array(ids, pa.binary()),
+                    ],
+                    ["key", "piece", "start", "length", "ids"],
+                )
 
     cut = docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
     return cut.withColumnRenamed("key", key)
 
 
+def widened(pieces: DataFrame, width: int, ids: str = "ids") -> DataFrame:
+    """The same rows with ids of ``width`` bytes as unsigned 32-bit integers."""
+    if width == 4:
+        return pieces
+    # two zero bytes after every two, without a Python worker for it
+    return pieces.withColumn(ids, F.unhex(F.regexp_replace(F.hex(ids), "(....)", "$10000")))
+
+
 # --- the plan ---------------------------------------------------------------------------------------
 
 
