@@ -13,6 +13,9 @@
 
 There are as many symbols as keep the words of one reduced word few: a neighbourhood grows with the
 alphabet, the words that meet in it by chance shrink with it.
+
+The joins merge, as hinted: Spark takes the words' compressed files for their size in memory, and a table of
+neighbours for as small as the words it comes from, and would send such a table through the driver.
 """
 
 from __future__ import annotations
@@ -234,7 +237,8 @@ def near_words(words: DataFrame, alphabet: int) -> DataFrame:
     A word's neighbourhood holds the number of a near word's reduced word once, so a pair meets once.
     """
     reduced_words = _reduced_numbers(words, alphabet)
-    met = _neighbours(words, alphabet, bitmap_of(reduced_words)).join(reduced_words, "number")
+    near = _neighbours(words, alphabet, bitmap_of(reduced_words))
+    met = near.hint("merge").join(reduced_words, "number")
     return met.where(F.levenshtein("word", "near", 1) == 1).select("word", "near", "near_n")
 
 
@@ -252,7 +256,7 @@ def _with_roots(forms: DataFrame) -> DataFrame:
     while True:
         further = ends.select(F.col("word").alias("root"), F.col("root").alias("next")).where("root != next")
         stepped = materialize(
-            ends.join(further, "root", "left").select(
+            ends.join(further.hint("merge"), "root", "left").select(
                 "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")
             ),
             "spelling-roots",
@@ -280,7 +284,7 @@ def spelling_groups(words: DataFrame, margin: int = MARGIN, symbols: int | None
     best_n = -F.col("best.order")
     fits = best_n >= margin * F.col("n")
     forms = materialize(
-        words.join(near, "word", "left").select(
+        words.join(near.hint("merge"), "word", "left").select(
             "word",
             "n",
             F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
@@ -289,4 +293,5 @@ def spelling_groups(words: DataFrame, margin: int = MARGIN, symbols: int | None
         ),
         "spelling-forms",
     )
-    return forms.join(_with_roots(forms), "word").select("word", "form", "root", "n", "n_near", "form_n")
+    roots = _with_roots(forms).hint("merge")
+    return forms.join(roots, "word").select("word", "form", "root", "n", "n_near", "form_n")

@@ -101,6 +101,24 @@ def test_chain_of_forms_is_followed_to_its_end(spark):
     assert {r[2] for r in rows_of(sv.spelling_groups(words))} == {"a" * 16}
 
 
+def test_no_table_of_words_is_broadcast(spark, monkeypatch):
+    """Files of words are small beside the words, and a table of neighbours is sized by its words."""
+    plans = []
+    write = sv.materialize
+
+    def planned(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(sv, "materialize", planned)
+    words = {"haben": 9, "habem": 3, "hoben": 4, "klein": 3}
+    got = sv.spelling_groups(spark.createDataFrame(list(words.items()), "word string, n long"))
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert "SortMergeJoin" in plans[1] and "SortMergeJoin" in plans[-1]
+    assert not [p for p in plans if "Broadcast" in p]
+    assert rows_of(got) == expected(words)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert sv.spelling_groups(sv.word_counts(docs)).count() == 0
