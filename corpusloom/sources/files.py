@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,44 @@ def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return [path for path in paths if matching(spark, path)]
 
 
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """The path as tasks open it, or None in a store that only Hadoop's file systems reach."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    uri = system.makeQualified(place).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
+def packed_endings(spark: SparkSession) -> tuple[str, ...]:
+    """Ends of the names of files that Spark's readers unpack."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    kinds = hadoop.io.compress.CompressionCodecFactory.getCodecClasses(conf)
+    return tuple(hadoop.util.ReflectionUtils.newInstance(kind, conf).getDefaultExtension() for kind in kinds)
+
+
+def files_below(top: str) -> Iterator[tuple[str, int]]:
+    """Path and bytes of the files below a mounted folder that Spark's readers take: not empty, not hidden."""
+    if not os.path.isdir(top):
+        size = os.path.getsize(top)
+        if size and not _hidden(os.path.basename(top)):
+            yield top, size
+        return
+    folders = [top]
+    while folders:
+        with os.scandir(folders.pop()) as entries:
+            for entry in entries:
+                if entry.is_dir():
+                    # Spark looks into folders of these two names
+                    if not _hidden(entry.name) or entry.name.startswith(("_metadata", "_common_metadata")):
+                        folders.append(entry.path)
+                elif not _hidden(entry.name) and entry.is_file() and (size := entry.stat().st_size):
+                    yield entry.path, size
+
+
+def _hidden(name: str) -> bool:
+    return name.startswith("_") and "=" not in name or name.startswith(".") or name.endswith("._COPYING_")
+
+
 def below(spark: SparkSession, path: str, file: Column) -> Column:
     """A file's path below a given path, or below the last folder before the first wildcard of a pattern."""
     fixed = path

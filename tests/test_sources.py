@@ -1,17 +1,21 @@
+import bz2
+import gzip
 import json
 import tarfile
 import wave
 from types import SimpleNamespace
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from corpusloom.operators.tables import filter_batches, filter_length, map_rows
 from corpusloom.plans import labeled, speech
 from corpusloom.session import shared_dir
+from corpusloom.sources import labeled as labeled_files
 from corpusloom.sources import tabular
 from corpusloom.sources.archives import read_tar_members
-from corpusloom.sources.labeled import read_labeled_dirs
+from corpusloom.sources.labeled import read_labeled_dirs, write_labeled_dirs
 from corpusloom.sources.media import media_lengths
 
 AWKWARD = ["a, b", 'say "hi"', "two\nlines\r\n", "NA", "", "  blanks  ", "tab\t;", "null", "\\\\"]
@@ -31,6 +35,87 @@ def test_labeled_dirs(spark, tmp_path):
     assert len(got) == 12 and {(r["text"], r["label"], r["subset"]) for r in got} == expected
 
 
+def test_many_labeled_files_are_listed_and_read_by_few_tasks(spark, tmp_path):
+    for name in ("pos", "neg"):
+        (tmp_path / "train" / name).mkdir(parents=True)
+        for i in range(300):
+            (tmp_path / "train" / name / f"{i}.txt").write_text(f"{name} {i}")
+    got = read_labeled_dirs(spark, str(tmp_path), subsets=["train"])
+    assert got.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    # names stay off the driver, and no join takes the texts for small
+    assert got.inputFiles() == []
+    assert int(str(got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > 1 << 40
+    rows = {(r["text"], r["label"], r["subset"]) for r in got.collect()}
+    assert rows == {(f"{n} {i}", c, "train") for n, c in (("pos", 1), ("neg", 0)) for i in range(300)}
+
+
+ODD_FILES = {
+    "empty.txt": b"",
+    "no_utf8.txt": b"caf\xe9\x00\xff",
+    "_hidden.txt": b"h",
+    ".hidden": b"h",
+    "_a=1.txt": b"kept",
+    "_metadata.txt": b"h",
+    "_metadata/pos/1.txt": b"kept too",
+    "copy.txt._COPYING_": b"h",
+    "deep/pos/a+b %20;.txt": b"two\r\nlines",
+    "_deep/pos/1.txt": b"h",
+    "long.txt": b"x" * 9_000_000,
+    "gz.txt": b"\x1f\x8b not packed",
+}
+
+
+@pytest.mark.parametrize("packed", [{}, {"a.gz": gzip.compress(b"unpacked"), "b.bz2": bz2.compress(b"too")}])
+def test_odd_labeled_files_are_read_as_spark_reads_them(spark, tmp_path, packed):
+    for path, content in (ODD_FILES | packed).items():
+        file = tmp_path / "set" / "train" / "pos" / path
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(content)
+    (tmp_path / "set" / "train" / "pos" / "gone.txt").symlink_to(tmp_path / "nothing")
+    (tmp_path / "set" / "train" / "neg").mkdir()
+    whole = spark.read.text(f"{tmp_path}/set/train/pos", wholetext=True, recursiveFileLookup=True)
+    by_spark = whole.select(F.base64(F.col("value").cast("binary")), F.md5("value"), "_metadata.file_name")
+    for root in ("set", "se[t]"):
+        got = read_labeled_dirs(spark, str(tmp_path / root), subsets=["train"])
+        assert [f.dataType.simpleString() for f in got.schema] == ["string", "int", "string", "string"]
+        rows = got.select(F.base64(F.col("text").cast("binary")), F.md5("text"), "path", "label", "subset").collect()
+        assert sorted(r[:2] for r in rows) == sorted(r[:2] for r in by_spark.collect())
+        assert len(rows) == 6 + len(packed)
+        names = {r["path"].removeprefix(f"file:{tmp_path}/set/train/pos/"): r[3:] for r in rows}
+        assert names.pop("deep/pos/a+b %20;.txt") == (1, "deep")
+        assert names.pop("_metadata/pos/1.txt") == (1, "_metadata")
+        assert set(names.values()) == {(1, "train")}
+
+
+def test_a_missing_class_folder_is_an_error(spark, tmp_path):
+    (tmp_path / "train" / "pos").mkdir(parents=True)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_labeled_dirs(spark, str(tmp_path), subsets=["train"])
+    (tmp_path / "train" / "neg").mkdir()
+    assert read_labeled_dirs(spark, str(tmp_path), subsets=["train"]).collect() == []
+
+
+@pytest.mark.parametrize("by_spark", [False, True])
+def test_a_file_for_each_row(spark, tmp_path, monkeypatch, by_spark):
+    if by_spark:
+        monkeypatch.setattr(labeled_files, "mounted", lambda spark, path: None)
+    texts = [None, "", "same", "same", "same", "two\r\nlines\n", "end\x1d", "é"]
+    rows = spark.createDataFrame(
+        [(t, f) for t in texts for f in ("train/pos", "train/neg")], "text string, folder string"
+    )
+    root = str(tmp_path / "set with space")
+    write_labeled_dirs(rows, root, ["train/pos", "train/neg", "test/pos", "test/neg"], "\x1d")
+    got = read_labeled_dirs(spark, root).collect()
+    assert len({r["path"] for r in got}) == len(got) == 16
+    expected = sorted(((t or "") + "\x1d", c) for t in texts for c in (0, 1))
+    assert sorted((r["text"], r["label"]) for r in got) == expected
+    if not by_spark:
+        # no checksum files and none of an attempt
+        assert len(list((tmp_path / "set with space").rglob("*.*"))) == 16
+    with pytest.raises((FileExistsError, AnalysisException)):
+        write_labeled_dirs(rows, root, ["train/pos"], "\x1d")
+
+
 def test_archives(spark, tmp_path):
     for a in ("one", "two"):
         with tarfile.open(tmp_path / f"{a}.tar.gz", "w:gz") as archive:
